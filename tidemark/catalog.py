@@ -12,8 +12,13 @@ from tidemark.functions.times import utc
 from tidemark.operators import consume, cursor, dead_letters, feed, search, synth, upsert
 from tidemark.operators.validate import accepted, rejected, with_error
 from tidemark.plans import batches, reconcile, status
+from tidemark.session import new_dir
 from tidemark.sources import bindings as B
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_table, stream_table
+from tidemark.streaming import consume as feed_consumer
+from tidemark.streaming.replicate import replay_dead_letters, replicate
+from tidemark.streaming.tables import ReplicationTables
+from tidemark.streaming.throughput import throughput_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -916,3 +921,110 @@ def sample_ids(spark, folder):
 )
 def insert_record(spark, folder):
     return synth.insert_record(B.records(spark, folder), "poison@example.com", "Poison Record", B.as_of(), poison=True)
+
+
+# --- streams --------------------------------------------------------------------------------------
+
+
+def _replicated(spark: SparkSession, folder: str) -> ReplicationTables:
+    """The changes of all events replicated as a stream into a new folder."""
+    tables = ReplicationTables(new_dir(spark, "replica"))
+    rows = B.unordered(stream_table(spark, folder, "events"))
+    replicate(rows, tables, S.INCREMENTAL).awaitTermination()
+    return tables
+
+
+@query("stream_state", given("unordered", STATE_SQL.format(table="unordered")))
+def stream_state(spark, folder):
+    return _replicated(spark, folder).state(spark).select(*S.RECORD_COLUMNS, "seq")
+
+
+@query(
+    "stream_compacted_state",
+    given("unordered", STATE_SQL.format(table="unordered")),
+)
+def stream_compacted_state(spark, folder):
+    tables = _replicated(spark, folder)
+    tables.compact(spark)
+    return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
+
+
+def _first_rejected_sql(status_sql: str) -> str:
+    return f"""SELECT seq AS id, id AS record_id, version, 'elasticsearch' AS sink, {DOCUMENT_SQL} AS payload,
+ '{S.POISON_ERROR}' AS error, {status_sql} AS status FROM unordered WHERE poison
+ QUALIFY row_number() OVER (PARTITION BY id, version ORDER BY seq) = 1"""
+
+
+@query("stream_dead_letters", given("unordered", _first_rejected_sql("'open'")))
+def stream_dead_letters(spark, folder):
+    entries = _replicated(spark, folder).dead_letters(spark)
+    return entries.select("id", "record_id", "version", "sink", "payload", "error", "status")
+
+
+@query(
+    "stream_replay",
+    given(
+        "unordered",
+        _first_rejected_sql("CASE WHEN seq % 2 = 0 THEN 'replayed' ELSE 'open' END"),
+    ),
+)
+def stream_replay(spark, folder):
+    """Every second dead letter of a replicated stream sent again and marked."""
+    tables = _replicated(spark, folder)
+    every_second = tables.dead_letters(spark).where(F.col("id") % 2 == 0).select("id")
+    replay_dead_letters(spark, tables, B.records(spark, folder), every_second, 0)
+    return tables.dead_letters(spark).select("id", "record_id", "version", "sink", "payload", "error", "status")
+
+
+@query(
+    "stream_feed",
+    given("unordered", "SELECT id || ':' || version AS event_id, id AS record_id, version, seq, 'record.' || id AS key FROM unordered"),
+)
+def stream_feed(spark, folder):
+    return _replicated(spark, folder).feed(spark).select("event_id", "record_id", "version", "seq", "key")
+
+
+@query(
+    "stream_checkpoints",
+    given(
+        "unordered",
+        """SELECT 'incremental' AS mode, arg_max(id, (updated_at, id)) AS cursor_id, max(updated_at) AS cursor_ts FROM unordered""",
+    ),
+)
+def stream_checkpoints(spark, folder):
+    return _replicated(spark, folder).checkpoints(spark)
+
+
+STREAM_CONSUMED_SQL = """SELECT id || ':' || version AS event_id, arg_min(id, seq) AS record_id, arg_min(version, seq) AS version,
+ count(*) - 1 AS duplicate_hits, min(seq) AS first_seq FROM unordered GROUP BY 1"""
+
+
+@query("stream_consume", given("unordered", STREAM_CONSUMED_SQL))
+def stream_consume(spark, folder):
+    tables = _replicated(spark, folder)
+    feed_consumer.consume(feed_consumer.feed_stream(spark, tables), tables).awaitTermination()
+    return feed_consumer.consumed(spark, tables)
+
+
+@query("stream_consume_stateful", given("unordered", STREAM_CONSUMED_SQL))
+def stream_consume_stateful(spark, folder):
+    tables = _replicated(spark, folder)
+    feed_consumer.consume_stateful(feed_consumer.feed_stream(spark, tables), tables).awaitTermination()
+    return feed_consumer.running_counts(spark, tables)
+
+
+@query("stream_throughput", ORACLES["throughput_hourly"])
+def stream_throughput(spark, folder):
+    """Buckets as the stream updates them; the last update of each is the count."""
+    root = new_dir(spark, "throughput")
+    buckets = throughput_stream(B.attempt_rows(stream_table(spark, folder, "events")), "1 hour")
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/buckets/batch_id={batch_id}")
+
+    buckets.writeStream.outputMode("update").foreachBatch(write).option(
+        "checkpointLocation", f"{root}/_checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    updates = spark.read.schema("bucket TIMESTAMP, rows BIGINT, batch_id BIGINT").parquet(f"{root}/buckets")
+    last = upsert.current_state(updates, "bucket", ("batch_id",))
+    return last.select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "rows")

@@ -107,10 +107,10 @@ def dead_letters(rows: DataFrame) -> DataFrame:
     )
 
 
-def attempts(spark: SparkSession, folder: str) -> DataFrame:
-    """A batch log: one attempt per event, failed where the event is an error."""
+def attempt_rows(events: DataFrame) -> DataFrame:
+    """One attempt per event, failed where the event is an error."""
     key, failed = F.col("event_id"), F.col("event_type") == "error"
-    read = read_table(spark, folder, "events").select(
+    return events.select(
         F.when(key % 2 == 0, S.BACKFILL).otherwise(S.INCREMENTAL).alias("mode"),
         key.alias("batch_id"),
         key.alias("attempt"),
@@ -120,6 +120,11 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
         F.when(failed, 0).otherwise(key % 3).cast("bigint").alias("rejected"),
         F.when(failed, F.when(key % 7 == 0, FEED_DOWN).otherwise(SINK_DOWN)).alias("error"),
     )
+
+
+def attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch log, with the cursor each mode had reached."""
+    read = attempt_rows(read_table(spark, folder, "events"))
     moved = running(read, ["mode"], "attempt", F.col("rows"), "sum", "_earlier")
     return moved.withColumn("cursor_id", F.col("_earlier") + F.col("rows")).drop("_earlier")
 
