@@ -10,11 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schema as S
 from tidemark.functions.documents import event_id, event_json, routing_key
-from tidemark.functions.times import utc
+from tidemark.functions.times import micros, utc
 from tidemark.operators import dead_letters
 from tidemark.operators.validate import Rule, accepted, with_error
 from tidemark.plans.batches import FEED_ERROR, SINK_ERROR
-from tidemark.streaming.tables import DOCUMENT_LOG, FEED_LOG, ReplicationTables
+from tidemark.streaming.tables import ReplicationTables
 
 ATTEMPTS_PER_BATCH = 1 << 20  # attempt numbers grow with the batch, then with the try
 
@@ -31,11 +31,14 @@ def _write(rows: DataFrame, tables: ReplicationTables, table: str, mode: str, ba
     rows.write.mode("overwrite").parquet(tables.batch_path(table, mode, batch_id))
 
 
+def _written(spark: SparkSession, tables: ReplicationTables, table: str, mode: str, batch_id: int) -> int:
+    """Rows there are to read; the count comes from the file footers."""
+    return tables.read_batch(spark, table, mode, batch_id, "id BIGINT").count()
+
+
 def _started_at(spark: SparkSession, tables: ReplicationTables, mode: str, batch_id: int) -> datetime:
     """When the batch was first tried; a redo finds the same, so it writes the same rows."""
-    schema = "mode STRING, batch_id BIGINT, started_at TIMESTAMP_NTZ"
-    this = (F.col("mode") == mode) & (F.col("batch_id") == batch_id)
-    known = tables.read(spark, "starts", schema).where(this).first()
+    known = tables.read_batch(spark, "starts", mode, batch_id, "started_at TIMESTAMP_NTZ").first()
     if known is not None:
         return known["started_at"]
     now = _utc_now()
@@ -44,8 +47,8 @@ def _started_at(spark: SparkSession, tables: ReplicationTables, mode: str, batch
 
 
 def _log_attempt(spark, tables, mode, batch_id, ok, rows=0, rejected=0, cursor=(None, None), error=None) -> None:
-    this = (F.col("mode") == mode) & (F.col("batch_id") == batch_id)
-    attempt = batch_id * ATTEMPTS_PER_BATCH + tables.batch_log(spark).where(this).count()
+    tries = tables.read_batch(spark, "batch_log", mode, batch_id, "ok BOOLEAN").count()
+    attempt = batch_id * ATTEMPTS_PER_BATCH + tries
     values: dict[str, Column] = {
         "attempted_at": utc(_utc_now()),
         "ok": F.lit(ok),
@@ -63,10 +66,8 @@ def _log_attempt(spark, tables, mode, batch_id, ok, rows=0, rejected=0, cursor=(
 
 def store_documents(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int) -> int:
     """Append the accepted rows; returns how many are there to read."""
-    spark = checked.sparkSession
     _write(accepted(checked).select(*S.RECORD_COLUMNS, "seq"), tables, "documents", mode, batch_id)
-    path = tables.batch_path("documents", mode, batch_id)
-    return spark.read.schema(DOCUMENT_LOG).parquet(path).count()
+    return _written(checked.sparkSession, tables, "documents", mode, batch_id)
 
 
 def store_dead_letters(
@@ -78,7 +79,7 @@ def store_dead_letters(
     entries = dead_letters.entries(checked, F.lit(here), created_at)
     existing = tables.dead_letters(spark).where(F.col("batch_id") != here)
     _write(dead_letters.to_append(entries, existing).drop("batch_id"), tables, "dead_letters", mode, batch_id)
-    return spark.read.parquet(tables.batch_path("dead_letters", mode, batch_id)).count()
+    return _written(spark, tables, "dead_letters", mode, batch_id)
 
 
 def publish(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int, emitted_at: Column) -> int:
@@ -92,8 +93,7 @@ def publish(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id:
         event_json(emitted_at).alias("value"),
     )
     _write(events, tables, "feed", mode, batch_id)
-    path = tables.batch_path("feed", mode, batch_id)
-    return checked.sparkSession.read.schema(FEED_LOG).parquet(path).count()
+    return _written(checked.sparkSession, tables, "feed", mode, batch_id)
 
 
 def commit_batch(
@@ -172,7 +172,9 @@ def replay_dead_letters(
     plan = dead_letters.replay(requests, tables.dead_letters(spark), records, now)
     if tables.batch_log(spark).where(this & F.col("ok")).isEmpty():
         plan.write.mode("overwrite").parquet(path)
-        commit_batch(dead_letters.replay_rows(spark.read.schema(plan.schema).parquet(path)), batch_id, tables, mode)
+        rows = dead_letters.replay_rows(spark.read.schema(plan.schema).parquet(path))
+        # Sent now, so later than any row stored with the same version.
+        commit_batch(rows.withColumn("seq", micros(now)), batch_id, tables, mode)
     done = spark.read.schema(plan.schema).parquet(path)
     dead_letters.replay_marks(done, now).write.mode("overwrite").parquet(
         tables.path(f"replay_marks/batch_id={batch_id}")

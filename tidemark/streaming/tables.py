@@ -21,7 +21,7 @@ ENTRY_LOG = S.DEAD_LETTERS.replace("batch_id STRING, ", "") + PARTITIONS
 FEED_LOG = "event_id STRING, record_id BIGINT, version BIGINT, seq BIGINT, key STRING, value STRING" + PARTITIONS
 MARK_LOG = "id BIGINT, replayed_at TIMESTAMP_NTZ"
 SNAPSHOT_LOG = "snapshot BIGINT, mode STRING, last_batch BIGINT"
-NEWEST = ("version", "batch_id", "mode", "seq")
+NEWEST = ("version", "seq", "batch_id", "mode")  # seq is given by the source; the order of files is not
 
 
 @dataclass(frozen=True)
@@ -36,8 +36,15 @@ class ReplicationTables:
 
     def read(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
         """A table with all its batches; empty before the first."""
+        return self._read(spark, self.path(table), schema)
+
+    def read_batch(self, spark: SparkSession, table: str, mode: str, batch_id: int, schema: str) -> DataFrame:
+        """One batch of a table, without listing the others; empty when it has not been written."""
+        return self._read(spark, self.batch_path(table, mode, batch_id), schema)
+
+    def _read(self, spark: SparkSession, path: str, schema: str) -> DataFrame:
         try:
-            return spark.read.schema(schema).parquet(self.path(table))
+            return spark.read.schema(schema).parquet(path)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -105,5 +112,5 @@ class ReplicationTables:
         if last is not None:
             rows = rows.unionByName(spark.read.schema(DOCUMENT_LOG).parquet(self.path(f"snapshots/{last}")))
         current_state(rows, order=NEWEST).write.mode("overwrite").parquet(self.path(f"snapshots/{snapshot}"))
-        said = spark.createDataFrame([(snapshot, m, b) for m, b in upto.items()], SNAPSHOT_LOG)
-        said.coalesce(1).write.mode("overwrite").parquet(self.path(f"snapshot_log/{snapshot}"))
+        said = spark.createDataFrame(list(upto.items()), "mode STRING, last_batch BIGINT")
+        said.coalesce(1).write.mode("overwrite").parquet(self.path(f"snapshot_log/snapshot={snapshot}"))
