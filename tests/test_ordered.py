@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.operators.cursor import backfill_pages, incremental_pages
-from tidemark.operators.ordered import id_levels, positions, running
+from tidemark.operators.ordered import positions, running
 
 
 def _log(seed, rows=600):
@@ -28,7 +28,7 @@ def test_running_max_crosses_ranges(spark):
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
     best = lambda a, b: b if a is None else a if b is None else max(a, b)
     for bits in (2, 5, 40):
-        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=bits).collect()
+        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=bits, sample=1).collect()
         assert {(r["k"], r["seq"]): r["prior"] for r in got} == _expected(rows, best)
         assert len(got) == len(rows)
 
@@ -36,7 +36,7 @@ def test_running_max_crosses_ranges(spark):
 def test_running_sum_starts_at_zero(spark):
     rows = _log(2)
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
-    got = running(df, ["k"], "seq", F.lit(1), "sum", "before", bits=4).collect()
+    got = running(df, ["k"], "seq", F.lit(1), "sum", "before", bits=4, sample=1).collect()
     expected = _expected(rows, lambda a, _: (a or 0) + 1)
     assert {(r["k"], r["seq"]): r["before"] for r in got} == {k: v or 0 for k, v in expected.items()}
 
@@ -45,8 +45,9 @@ def test_running_with_a_start(spark):
     rows = [(1, 5, 3), (1, 9, 1), (2, 7, None), (3, 8, 2)]
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
     start = spark.createDataFrame([(1, 2), (2, 9), (8, 1)], "k BIGINT, prior BIGINT")
-    got = running(df, ["k"], "seq", F.col("v"), "max", "prior", start, bits=1).collect()
-    assert {(r["k"], r["seq"]): r["prior"] for r in got} == {(1, 5): 2, (1, 9): 3, (2, 7): 9, (3, 8): None}
+    for bits in (0, 1, 20):
+        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", start, bits=bits, sample=1).collect()
+        assert {(r["k"], r["seq"]): r["prior"] for r in got} == {(1, 5): 2, (1, 9): 3, (2, 7): 9, (3, 8): None}
 
 
 def test_running_keeps_rows_with_a_null_key(spark):
@@ -58,7 +59,7 @@ def test_positions_of_ids_far_apart(spark):
     r = random.Random(3)
     ids = {r.randrange(-(2**62), 2**62) for _ in range(300)} | set(range(500)) | {2**40 + i for i in range(200)}
     df = spark.createDataFrame([(i,) for i in ids], "id BIGINT")
-    got = positions(df, id_levels("id"), ["id"]).collect()
+    got = positions(df, ["id"]).collect()
     assert [x["id"] for x in sorted(got, key=lambda x: x["position"])] == sorted(ids)
     assert sorted(x["position"] for x in got) == list(range(len(ids)))
 
@@ -82,3 +83,13 @@ def test_page_cursors_read_the_table_once_each(spark):
     got = sorted((x["page"], x["cursor_id"], x["rows"]) for x in backfill_pages(df, 500).collect())
     expected = [(n, max(ids[i : i + 500]), len(ids[i : i + 500])) for n, i in enumerate(range(0, len(ids), 500))]
     assert got == expected
+
+
+def test_running_is_the_same_whichever_keys_are_cut(spark, monkeypatch):
+    from tidemark.operators import ordered
+
+    df = spark.createDataFrame(_log(5), "k BIGINT, seq BIGINT, v BIGINT")
+    run = lambda: sorted(running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=3, sample=1).collect(), key=str)
+    all_cut = run()
+    monkeypatch.setattr(ordered, "HOT_KEYS", 1)
+    assert run() == all_cut

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark import schema as S
 from tidemark.functions.cursors import after_id, after_key
 from tidemark.functions.times import utc
-from tidemark.operators.ordered import id_levels, positions, time_levels
+from tidemark.operators.ordered import positions
 
 
 def scan(records: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def rows_after_checkpoint(records: DataFrame, checkpoints: DataFrame, mode: str)
 
 def backfill_pages(records: DataFrame, size: int = S.BATCH_ROWS) -> DataFrame:
     """Every page of a whole backfill at once: its number, row count and closing cursor."""
-    numbered = positions(records.select("id"), id_levels("id"), ["id"])
+    numbered = positions(records.select("id"), ["id"])
     return (
         numbered.groupBy(F.floor(F.col("position") / size).cast("bigint").alias("page"))
         .agg(F.max("id").alias("cursor_id"), F.count(F.lit(1)).alias("rows"))
@@ -58,8 +58,7 @@ def backfill_pages(records: DataFrame, size: int = S.BATCH_ROWS) -> DataFrame:
 
 def incremental_pages(records: DataFrame, size: int = S.BATCH_ROWS) -> DataFrame:
     """As ``backfill_pages`` in (updated_at, id) order; ties of any size are split by id."""
-    levels = [*time_levels("updated_at"), *id_levels("id")]
-    numbered = positions(records.select("updated_at", "id"), levels, ["id"])
+    numbered = positions(records.select("updated_at", "id"), ["updated_at", "id"])
     last = F.max(F.struct("updated_at", "id")).alias("_last")
     return (
         numbered.groupBy(F.floor(F.col("position") / size).cast("bigint").alias("page"))
@@ -97,10 +96,11 @@ def checkpoint(checkpoints: DataFrame, mode: str) -> DataFrame:
 def save_checkpoint(checkpoints: DataFrame, cursor: DataFrame, mode: str) -> DataFrame:
     """Checkpoints after a batch; an empty batch leaves the cursor where it was."""
     moved = cursor.where(F.col("cursor_id").isNotNull()).select(
-        F.lit(mode).alias("mode"), "cursor_id", "cursor_ts"
+        F.lit(mode).alias("mode"), "cursor_id", "cursor_ts", F.lit(1).alias("_age")
     )
-    kept = checkpoints.select("mode", "cursor_id", "cursor_ts").join(moved, "mode", "left_anti")
-    return kept.unionByName(moved)
+    found = checkpoints.select("mode", "cursor_id", "cursor_ts", F.lit(0).alias("_age"))
+    newest = F.max_by(F.struct("cursor_id", "cursor_ts"), "_age").alias("_at")
+    return found.unionByName(moved).groupBy("mode").agg(newest).select("mode", "_at.*")
 
 
 def with_boot_watermark(checkpoints: DataFrame, started_at: Column) -> DataFrame:

@@ -1,24 +1,34 @@
-"""Running values and row positions that no single key, tie or range can pull into one task.
+"""Running values and row positions that no single key can pull into one task.
 
-A plain window puts a whole key (or, without one, the whole table) into one task. Here the order
-column is cut into fixed ranges; a window runs inside each range, and what the earlier ranges add
-up to is carried in from a small aggregated table. Ranges depend on the values only, so a retried
-task, or another run, cuts them the same way.
+A plain window puts a whole key, or without one the whole table, into one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.times import micros
+from tidemark.session import new_dir
 
-RANGE_BITS = 20  # 2**20 order values per range
+RANGE_BITS = 20  # a hot key is cut into ranges of 2**20 order values
+HOT_SAMPLE = 128  # one row in so many is counted to find the hot keys
+HOT_KEYS = 100_000  # of which at most so many are cut, the hottest first
 
 _AGGREGATE = {"max": F.max, "sum": F.sum}
+_FIRST = -(2**63)
 
 
-def _range_of(column: Column, bits: int) -> Column:
-    return F.shiftright(column, bits)
+def _hot_keys(rows: DataFrame, keys: list[str], seq: str, bits: int, sample: int) -> DataFrame:
+    """Keys with about 2**bits rows or more. Which they are affects the speed, not the result.
+
+    The sample goes by a hash, so that every use, and every retry, finds the same keys.
+    """
+    counted = (
+        rows.where(F.pmod(F.xxhash64(seq), F.lit(sample)) == 0)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_seen"))
+        .where(F.col("_seen") >= max(1, (1 << bits) // sample))
+    )
+    return counted.orderBy(F.col("_seen").desc(), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
 
 
 def running(
@@ -30,24 +40,31 @@ def running(
     out: str,
     start: DataFrame | None = None,
     bits: int = RANGE_BITS,
+    sample: int = HOT_SAMPLE,
 ) -> DataFrame:
     """Add ``out``: the max or sum of ``value`` over the earlier rows of the same keys.
 
     ``seq`` is a bigint that is unique within a key; the current row is not included. ``start``
-    (keys + ``out``) gives a value from before the first row. Null keys get null.
+    (keys + ``out``) gives a value from before the first row.
+
+    A hot key is cut into fixed ranges of ``seq``; a window runs inside each, and what the ranges
+    before add up to is carried in. The hot keys are broadcast: there are ``HOT_KEYS`` at most.
     """
     aggregate = _AGGREGATE[how]
-    ranged = rows.withColumn("_range", _range_of(F.col(seq), bits)).withColumn("_value", value)
-
-    totals = ranged.groupBy(*keys, "_range").agg(aggregate("_value").alias("_total"))
+    valued = rows.withColumn("_value", value).withColumn("_given", F.lit(True))
     if start is not None:
-        lowest = F.lit(-(2**63)).cast("bigint").alias("_range")
-        totals = totals.unionByName(start.select(*keys, lowest, F.col(out).alias("_total")))
-    earlier_ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_range", aggregate("_total").over(earlier_ranges).alias("_carried"))
+        before = start.select(*keys, F.lit(_FIRST).cast("bigint").alias(seq), F.col(out).alias("_value"))
+        valued = valued.unionByName(before, allowMissingColumns=True)
+    hot = F.broadcast(_hot_keys(rows, keys, seq, bits, sample))
+    ranged = valued.join(hot, keys, "left").withColumn("_range", F.when(F.col("_hot"), F.shiftright(seq, bits)))
 
+    # Rows of other keys have no range, and stay together under a null.
     earlier_rows = Window.partitionBy(*keys, "_range").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.withColumn("_inside", aggregate("_value").over(earlier_rows))
+    inside = ranged.withColumn("_inside", aggregate("_value").over(earlier_rows)).where("_given")
+
+    totals = ranged.where("_hot").groupBy(*keys, "_range").agg(aggregate("_value").alias("_total"))
+    earlier_ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*keys, "_range", aggregate("_total").over(earlier_ranges).alias("_carried"))
 
     if how == "max":
         combined = F.greatest("_carried", "_inside")
@@ -60,42 +77,24 @@ def running(
     )
 
 
-def positions(rows: DataFrame, levels: list[Column], order: list[str], out: str = "position") -> DataFrame:
-    """Number all rows from 0 in one global order, without a global sort in one task.
+def positions(rows: DataFrame, order: list[str], out: str = "position") -> DataFrame:
+    """Number all rows from 0 in one global order; ``order`` must tell all rows apart.
 
-    ``levels`` are ever finer ranges of the order (the first few bits of the key, then more); each
-    range is counted, counts are summed over the ranges before it one level at a time, and rows
-    are numbered inside the finest range only.
+    The rows are sorted by ranges that Spark samples, so that a value many rows share is cut by
+    the columns after it, and each task numbers its own range. The result is written to the shared
+    folder before the ranges are counted: were it computed twice, it could be cut differently.
     """
-    names = [f"_level{i}" for i in range(len(levels))]
-    leveled = rows.withColumns(dict(zip(names, levels)))
-    sizes = leveled.groupBy(*names).agg(F.count(F.lit(1)).alias("_size"))
-
-    starts = None
-    for depth in range(1, len(names) + 1):
-        outer, current = names[: depth - 1], names[:depth]
-        level = sizes.groupBy(*current).agg(F.sum("_size").alias("_size"))
-        before = Window.partitionBy(*outer).orderBy(current[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        level = level.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        if starts is not None:
-            level = level.join(starts, outer).withColumn("_before", F.col("_before") + F.col("_start"))
-        starts = level.select(*current, F.col("_before").alias("_start"))
-
-    within = Window.partitionBy(*names).orderBy(*order)
-    return (
-        leveled.withColumn("_within", F.row_number().over(within) - F.lit(1))
-        .join(starts, names)
-        .withColumn(out, (F.col("_start") + F.col("_within")).cast("bigint"))
-        .select(*rows.columns, out)
+    path = new_dir(rows.sparkSession, "positions")
+    numbered = rows.orderBy(*order).select(
+        *rows.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")
+    )
+    numbered.write.parquet(path)
+    written = rows.sparkSession.read.schema(numbered.schema).parquet(path)
+
+    parts = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    # One row per task of the sort.
+    return written.join(F.broadcast(starts), "_part").select(
+        *rows.columns, (F.col("_start") + F.col("_row")).alias(out)
     )
-
-
-def id_levels(column: str) -> list[Column]:
-    """At most 2**24 ranges on top, 2**20 below each, 2**20 ids in each of those."""
-    return [_range_of(F.col(column), 40), _range_of(F.col(column), 20)]
-
-
-def time_levels(column: str) -> list[Column]:
-    """Ranges of about 12 days, 1 second and 1 microsecond."""
-    at = micros(F.col(column))
-    return [_range_of(at, 40), _range_of(at, 20), at]
