@@ -1,5 +1,7 @@
 """Kills, outages and redeliveries: the outputs must be those of a run without them."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tidemark.sources import bindings as B
 from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming import consume as consumer, replicate as replication
 from tidemark.streaming.replicate import replay_dead_letters, replicate
+from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
 from tidemark.streaming.throughput import throughput_stream
 
@@ -262,3 +265,39 @@ def test_status_of_a_replication_has_every_field(spark, split, clean):
     assert facts["health"] == "green" and facts["records_processed"] == 1000 and facts["lag_count"] == 0
     assert status.status_lines(row).where("value IS NULL").count() == 0
     assert status.metric_rows(row).where("value IS NULL").count() == 0
+
+
+def test_sync_of_a_changing_table_survives_a_kill(spark, tables, folder, monkeypatch):
+    source = B.records(spark, folder).where("id > 0")
+    boot = datetime(2002, 1, 1)
+    real, calls = replication.publish, []
+
+    def dies_once(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+        return real(*args)
+
+    monkeypatch.setattr(replication, "publish", dies_once)
+    with pytest.raises(RuntimeError):
+        sync(source, tables, S.BACKFILL, boot, rows_per_batch=400)
+    killed_at = tables.checkpoints(spark).first()["cursor_id"]
+    assert killed_at == 800
+    assert sync(source, tables, S.BACKFILL, boot, rows_per_batch=400) == 2
+    assert sync(source, tables, S.BACKFILL, boot, rows_per_batch=400) == 0
+    assert {r["verdict"] for r in reconcile.by_key(source.where("not poison"), tables.state(spark)).collect()} == {"ok"}
+    assert tables.feed(spark).count() == source.count() == tables.batch_log(spark).where("ok").agg(F.sum("rows")).first()[0]
+
+    assert sync(source, tables, S.INCREMENTAL, boot) == 0
+    changed = synth.bump(source, utc("2003-01-01 00:00:00"), 30).drop("bumped")
+    assert sync(changed, tables, S.INCREMENTAL, boot) == 1
+    assert sync(changed, tables, S.INCREMENTAL, boot) == 0
+    assert {r["verdict"] for r in reconcile.by_key(changed.where("not poison"), tables.state(spark)).collect()} == {"ok"}
+    ids = tables.dead_letters(spark).select("id")
+    assert ids.distinct().count() == ids.count()
+
+    late = changed.withColumn("version", F.when(F.col("id") == 5, 99).otherwise(F.col("version")).cast("bigint"))
+    late = late.withColumn("updated_at", F.when(F.col("id") == 5, utc("2002-12-31 23:00:00")).otherwise(F.col("updated_at")))
+    assert sync(late, tables, S.INCREMENTAL, boot) == 0
+    assert sync(late, tables, S.INCREMENTAL, boot, overlap="2 HOURS") == 1
+    assert tables.state(spark).where("id = 5").first()["version"] == 99

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from tidemark.sources import bindings as B
 from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming import consume as feed_consumer
 from tidemark.streaming.replicate import replay_dead_letters, replicate
+from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
 from tidemark.streaming.throughput import throughput_stream
 
@@ -581,9 +583,14 @@ def _last_event(spark, folder):
     return read_table(spark, folder, "events").agg(F.max("ts")).scalar()
 
 
+def _attempt_rows(spark, folder):
+    """The batch log without its cursors, which these reports do not look at."""
+    return B.attempt_rows(read_table(spark, folder, "events"))
+
+
 @query("throughput_now", given("attempts", RATE_SQL))
 def throughput_now(spark, folder):
-    return batches.current_rate(B.attempts(spark, folder), _last_event(spark, folder))
+    return batches.current_rate(_attempt_rows(spark, folder), _last_event(spark, folder))
 
 
 @query(
@@ -591,7 +598,7 @@ def throughput_now(spark, folder):
     given("attempts", "SELECT date_trunc('second', attempted_at) AS bucket, sum(rows)::BIGINT AS rows FROM attempts WHERE ok GROUP BY 1"),
 )
 def throughput_buckets(spark, folder):
-    return batches.throughput(B.attempts(spark, folder))
+    return batches.throughput(_attempt_rows(spark, folder))
 
 
 @query(
@@ -599,7 +606,7 @@ def throughput_buckets(spark, folder):
     given("attempts", "SELECT date_trunc('hour', attempted_at) AS bucket, sum(rows)::BIGINT AS rows FROM attempts WHERE ok GROUP BY 1"),
 )
 def throughput_hourly(spark, folder):
-    return batches.throughput(B.attempts(spark, folder), "1 hour")
+    return batches.throughput(_attempt_rows(spark, folder), "1 hour")
 
 
 @query(
@@ -611,7 +618,7 @@ def throughput_hourly(spark, folder):
     ),
 )
 def throughput_recent(spark, folder):
-    return batches.throughput(B.attempts(spark, folder), as_of=_last_event(spark, folder), kept="1 DAY")
+    return batches.throughput(_attempt_rows(spark, folder), as_of=_last_event(spark, folder), kept="1 DAY")
 
 
 COUNTERS_SQL = """SELECT count(*) FILTER (error LIKE 'sink:%') AS backoff_sleeps, count(*) FILTER (error LIKE 'sink:%') AS es_transport_errors,
@@ -621,7 +628,7 @@ COUNTERS_SQL = """SELECT count(*) FILTER (error LIKE 'sink:%') AS backoff_sleeps
 
 @query("counters", given("attempts", f"SELECT name, value FROM (UNPIVOT ({COUNTERS_SQL}) ON COLUMNS(*) INTO NAME name VALUE value)"))
 def counters(spark, folder):
-    return batches.counters(B.attempts(spark, folder))
+    return batches.counters(_attempt_rows(spark, folder))
 
 
 STATUS_SQL = f"""SELECT CASE WHEN circuit THEN 'red' ELSE 'green' END AS health, NOT circuit AS healthy, 'effectively-once' AS guarantee,
@@ -854,6 +861,16 @@ def search_many(spark, folder):
     return search.search_many(B.text_records(spark, folder), B.text_queries(spark, folder))
 
 
+@query(
+    "newest_text_ids",
+    given("records", "SELECT id FROM (SELECT id::VARCHAR AS id FROM records) ORDER BY id::BIGINT DESC LIMIT 100"),
+)
+def newest_text_ids(spark, folder):
+    """Ids kept as text, in the order of their numbers."""
+    text = B.records(spark, folder).select(F.col("id").cast("string").alias("id"))
+    return search.by_number(text, descending=True).limit(100)
+
+
 # --- rows added to and changed in the source ------------------------------------------------------
 
 NOW_SQL = f"TIMESTAMP '{B.AS_OF}'"
@@ -949,6 +966,25 @@ def stream_compacted_state(spark, folder):
     return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
 
 
+@query(
+    "sync_state",
+    given(
+        "records",
+        f"""SELECT id, email, name, payload, CASE WHEN bumped THEN version + 1 ELSE version END AS version, poison,
+ CASE WHEN bumped THEN {NOW_SQL} ELSE updated_at END AS updated_at, created_at
+ FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records) WHERE NOT poison AND (id > 0 OR bumped)""",
+    ),
+)
+def sync_state(spark, folder):
+    """A backfill in two or more pages, source rows changed after it, and an incremental sync."""
+    tables = ReplicationTables(new_dir(spark, "sync"))
+    records = B.records(spark, folder)
+    started = datetime(1999, 12, 31)
+    sync(records, tables, S.BACKFILL, started, rows_per_batch=records.count() // 2 + 1)
+    sync(synth.bump(records, B.as_of()), tables, S.INCREMENTAL, started)
+    return tables.state(spark).select(*S.RECORD_COLUMNS)
+
+
 def _first_rejected_sql(status_sql: str) -> str:
     return f"""SELECT seq AS id, id AS record_id, version, 'elasticsearch' AS sink, {DOCUMENT_SQL} AS payload,
  '{S.POISON_ERROR}' AS error, {status_sql} AS status FROM unordered WHERE poison

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # What separates words, and what counts as an id query.
+WORD_CHARACTER = r"[\p{L}\p{N}_]"
 WORD_BREAK = r"[^\p{L}\p{N}_]+"
 ID_QUERY = r"^[0-9]+$"
 # End of fixed values.
@@ -19,6 +20,18 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), WORD_BREAK)), "")
 
 
+def shares_word(text: Column, query: Column) -> Column:
+    """Whether the text has any word of the query, without splitting the text.
+
+    For a literal query the pattern is a constant, compiled once.
+    """
+    words = tokens(query)
+    any_word = F.concat(
+        F.lit(f"(?<!{WORD_CHARACTER})(?:"), F.array_join(words, "|"), F.lit(f")(?!{WORD_CHARACTER})")
+    )
+    return (F.size(words) > 0) & F.rlike(F.lower(text), any_word)
+
+
 def trimmed(query: Column) -> Column:
     return F.trim(F.coalesce(query, F.lit("")))
 

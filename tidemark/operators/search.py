@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import schema as S
-from tidemark.functions.text import contains_ignoring_case, is_id_query, tokens, trimmed
+from tidemark.functions.text import contains_ignoring_case, is_id_query, shares_word, tokens, trimmed
 
 BROADCAST_BYTES = 32 << 20  # search terms up to this size go to every task
 
@@ -13,11 +13,10 @@ BROADCAST_BYTES = 32 << 20  # search terms up to this size go to every task
 def matches(query: Column) -> Column:
     """Blank finds all, digits find an id, other text any shared word or the exact email or name."""
     text = trimmed(query)
-    shares_word = F.arrays_overlap(tokens(F.col("name")), tokens(text))
     return (
         F.when(text == "", F.lit(True))
         .when(is_id_query(text), F.col("id") == text.try_cast("bigint"))
-        .otherwise(shares_word | (F.col("email") == text) | (F.col("name") == text))
+        .otherwise(shares_word(F.col("name"), text) | (F.col("email") == text) | (F.col("name") == text))
     )
 
 
@@ -116,3 +115,9 @@ def record_detail(source: DataFrame, sink: DataFrame) -> DataFrame:
         "id", F.col("version").alias(f"{name}_version"), F.col("updated_at").alias(f"{name}_updated_at")
     )
     return side(source, "source").join(side(sink, "sink"), "id", "full_outer")
+
+
+def by_number(rows: DataFrame, column: str = "id", descending: bool = False) -> DataFrame:
+    """Rows in the numeric order of an id that is text."""
+    number = F.col(column).cast("bigint")
+    return rows.orderBy(number.desc() if descending else number)

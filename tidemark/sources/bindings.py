@@ -9,7 +9,7 @@ from tidemark.functions.documents import document_json, event_id
 from tidemark.functions.times import utc
 from tidemark.operators.ordered import running
 from tidemark.operators.validate import rejected, with_error
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_table, spread
 
 CHECKPOINT_ID = 5000
 CHECKPOINT_TS = "1996-09-17 00:00:00"
@@ -130,8 +130,10 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_records(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("email"), F.col("text").alias("name")
+    return spread(
+        read_table(spark, folder, "documents").select(
+            F.col("doc_id").alias("id"), F.col("source").alias("email"), F.col("text").alias("name")
+        )
     )
 
 

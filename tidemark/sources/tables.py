@@ -11,6 +11,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal a table just read in fewer pieces than there are cores out evenly.
+
+    For work that costs much per row, on a table in few large row groups; a large table is left
+    as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """A Parquet table as a stream of its files.
 
