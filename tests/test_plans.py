@@ -11,7 +11,7 @@ from tidemark.plans import reconcile
 from tidemark.sources import bindings as B
 from tidemark.sources.tables import read_table
 
-BATCH = [name for name in contract.queries() if not name.startswith("stream_")]
+BATCH = [name for name in contract.queries() if not name.startswith(("stream_", "sync_"))]
 
 
 def plan(df):

@@ -4,19 +4,19 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, differences
-from conftest import SMALL
 
+FOLDER = "/root/testdata/sf0.01"  # the smallest with rows past the cursors
 SQL = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
 def duck():
-    return connect(SMALL)
+    return connect(FOLDER)
 
 
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query_matches_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SMALL)
+    df = contract.queries()[name](spark, FOLDER)
     if name in SQL:
         assert differences(df, duck, SQL[name]) == []
     else:
