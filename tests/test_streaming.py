@@ -91,20 +91,23 @@ def test_killed_between_two_outputs(spark, split, clean, tables, monkeypatch, st
         assert resumed["cursor_id"] is not None
 
 
-def test_outage_holds_the_cursor_and_is_reported(spark, split, clean, tables, monkeypatch):
-    real, down = replication.store_documents, [False]
+def test_outage_holds_the_cursor_and_is_reported(spark, split, clean, tables):
+    calls, sent = [], []
 
-    def sink(checked, at, mode, batch_id):
-        if batch_id == 2 and down[0] < 3:
-            down[0] += 1
+    def sink(documents):
+        calls.append(1)
+        if 3 <= len(calls) <= 5:
             raise ConnectionError("unavailable")
-        return real(checked, at, mode, batch_id)
+        sent.append(documents.count())
 
-    monkeypatch.setattr(replication, "store_documents", sink)
+    published = []
+    run = lambda: replicate(
+        rows(spark, split), tables, S.INCREMENTAL, store_to=sink, publish_to=lambda m: published.append(m.count())
+    ).awaitTermination()
     cursors = []
     for _ in range(3):
         with pytest.raises(StreamingQueryException):
-            replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+            run()
         cursors.append(tables.checkpoints(spark).first()[:])
     assert len(set(cursors)) == 1
     log = tables.batch_log(spark)
@@ -112,7 +115,8 @@ def test_outage_holds_the_cursor_and_is_reported(spark, split, clean, tables, mo
     open_outage = batches.outages(log).first()
     assert (open_outage["failed_attempts"], open_outage["recovered_at"]) == (3, None)
 
-    replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+    run()
+    assert sum(published) == 1000 and sum(sent) == clean.documents(spark).count()
     assert everything(spark, tables) == everything(spark, clean)
     outage = batches.outages(tables.batch_log(spark)).collect()
     assert len(outage) == 1 and outage[0]["failed_attempts"] == 3 and outage[0]["recovered_at"] is not None
@@ -219,7 +223,7 @@ def test_consumer_redelivery_and_unreadable(spark, tables):
             tables.batch_path("feed", S.BACKFILL, n)
         )
     for run in (consumer.consume, consumer.consume_stateful):
-        run(consumer.feed_stream(spark, tables, 1), tables).awaitTermination()
+        run(consumer.feed_stream(spark, tables, 1, as_messages=True), tables).awaitTermination()
     expected = {("1:1", 1, 1, 1, 1), ("1:2", 1, 2, 0, 2), ("2:1", 2, 1, 0, 5)}
     assert {r[:] for r in consumer.consumed(spark, tables).collect()} == expected
     columns = ["event_id", "record_id", "version", "duplicate_hits", "first_seq"]

@@ -635,7 +635,8 @@ STATUS_SQL = f"""SELECT CASE WHEN circuit THEN 'red' ELSE 'green' END AS health,
  {B.CHECKPOINT_ID}::BIGINT AS resumed_backfill, {B.TIED_ID}::BIGINT AS resumed_incremental, true AS backfill_running,
  backfill_cursor, last_read_id, backfill_percent, source_count, max_id, {B.TIED_ID}::BIGINT AS incremental_cursor_id,
  TIMESTAMP '{B.CHECKPOINT_TS}' AS incremental_cursor_ts, lag_count, lag_seconds, rows_per_second AS throughput_per_sec,
- (SELECT count(*) FROM dlq WHERE status = 'open') AS dlq_open, circuit AS circuit_open, (SELECT count(*) FROM sink) AS sink_docs,
+ (SELECT count(*) FROM dlq WHERE status = 'open') AS dlq_open, circuit AS circuit_open,
+ (SELECT coalesce(error, '') FROM attempts ORDER BY attempt DESC LIMIT 1) AS circuit_reason, (SELECT count(*) FROM sink) AS sink_docs,
  backoff_sleeps, es_transport_errors, dlq_written, rabbit_errors, records_processed
  FROM ({PROGRESS_SQL}), ({LAG_SQL.format(as_of='(SELECT max(ts) FROM events)')}), ({RATE_SQL}), ({COUNTERS_SQL}),
  (SELECT NOT arg_max(ok, attempt) AS circuit, coalesce(max(cursor_id) FILTER (mode = 'backfill'), 0) AS last_read_id FROM attempts)"""
@@ -771,7 +772,7 @@ GATES_SQL = f"""WITH c AS ({LOST_SQL}), o AS (SELECT sum(failed_attempts)::BIGIN
  'sleeps=' || sleeps || ' cursor_delta=' || cursor_delta || ' lost=' || lost FROM c, o
  UNION ALL SELECT 'G4', stored = expected - flagged AND dead_lettered = flagged AND with_context >= flagged,
  'stored=' || stored || ' dead_lettered=' || dead_lettered || ' with_context=' || with_context FROM p, d, x
- UNION ALL SELECT 'G5', source_count IS NOT NULL, 'fields=24' FROM ({STATUS_SQL})"""
+ UNION ALL SELECT 'G5', source_count IS NOT NULL, 'fields=25' FROM ({STATUS_SQL})"""
 
 
 @query("gate_report", given("records sink deliveries dlq attempts", f"SELECT * FROM ({GATES_SQL})"))
@@ -1042,6 +1043,14 @@ def stream_consume(spark, folder):
     return feed_consumer.consumed(spark, tables)
 
 
+@query("stream_consume_messages", given("unordered", STREAM_CONSUMED_SQL))
+def stream_consume_messages(spark, folder):
+    """As stream_consume, from the messages' JSON text."""
+    tables = _replicated(spark, folder)
+    feed_consumer.consume(feed_consumer.feed_stream(spark, tables, as_messages=True), tables).awaitTermination()
+    return feed_consumer.consumed(spark, tables)
+
+
 @query("stream_consume_stateful", given("unordered", STREAM_CONSUMED_SQL))
 def stream_consume_stateful(spark, folder):
     tables = _replicated(spark, folder)

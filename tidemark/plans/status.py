@@ -108,6 +108,7 @@ def status(
         current_rate_column(as_of).alias("throughput_per_sec"),
         last_read.alias("last_read_id"),
         F.coalesce(~F.max_by("ok", "attempt"), F.lit(False)).alias("circuit_open"),
+        F.coalesce(F.max_by("error", "attempt"), F.lit("")).alias("circuit_reason"),
         *counter_columns(),
     )
     together = beside(
@@ -141,6 +142,7 @@ def status(
         F.col("log.throughput_per_sec").alias("throughput_per_sec"),
         "dlq_open",
         circuit_open.alias("circuit_open"),
+        F.col("log.circuit_reason").alias("circuit_reason"),
         "sink_docs",
         *[F.col(f"log.{name}").alias(name) for name in COUNTERS],
     )

@@ -12,11 +12,14 @@ from tidemark.operators.upsert import current_state
 from tidemark.streaming.tables import FEED_LOG, ReplicationTables
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EVENT_COLUMNS = [c.split()[0] for c in S.EVENT.split(", ")]
 COUNT_LOG = S.CONSUMED + ", batch_id BIGINT"
 
 
-def feed_stream(spark: SparkSession, tables: ReplicationTables, files_per_batch: int | None = None) -> DataFrame:
-    """The feed's messages as they are appended.
+def feed_stream(
+    spark: SparkSession, tables: ReplicationTables, files_per_batch: int | None = None, as_messages: bool = False
+) -> DataFrame:
+    """The feed's events as they are appended; ``as_messages`` gives their JSON text instead.
 
     A batch that runs again replaces its files: the consumer may miss the old ones (their rows
     are in the new ones) or see both (the repeats are counted as such).
@@ -24,22 +27,29 @@ def feed_stream(spark: SparkSession, tables: ReplicationTables, files_per_batch:
     reader = spark.readStream.schema(FEED_LOG).option("ignoreMissingFiles", "true")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(tables.path("feed")).select("seq", "value")
+    feed = reader.parquet(tables.path("feed"))
+    return feed.select("seq", "value") if as_messages else feed.select("seq", *EVENT_COLUMNS)
 
 
-def _consume_batch(messages: DataFrame, batch_id: int, tables: ReplicationTables) -> None:
-    events, unreadable = parse_messages(messages)
-    unreadable.write.mode("overwrite").parquet(tables.path(f"unreadable/batch_id={batch_id}"))
+def _events(source: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    return parse_messages(source) if "value" in source.columns else (source, None)
+
+
+def _consume_batch(rows: DataFrame, batch_id: int, tables: ReplicationTables) -> None:
+    events, unreadable = _events(rows)
     consumed_events(events).write.mode("overwrite").parquet(tables.path(f"consumed/batch_id={batch_id}"))
+    if unreadable is not None:
+        unreadable.write.mode("overwrite").parquet(tables.path(f"unreadable/batch_id={batch_id}"))
 
 
-def consume(messages: DataFrame, tables: ReplicationTables, trigger: dict | None = None) -> StreamingQuery:
+def consume(source: DataFrame, tables: ReplicationTables, trigger: dict | None = None) -> StreamingQuery:
     """Count each batch's events on their own; ``consumed`` folds the counts when read.
 
-    Nothing is kept in memory between batches, however many events there have ever been.
+    ``source`` has events, or messages in a column ``value``; messages that cannot be read are
+    kept apart. Nothing is held in memory between batches, however many events there have been.
     """
     return (
-        messages.writeStream.foreachBatch(lambda rows, batch_id: _consume_batch(rows, batch_id, tables))
+        source.writeStream.foreachBatch(lambda rows, batch_id: _consume_batch(rows, batch_id, tables))
         .option("checkpointLocation", tables.path("_checkpoints/consume"))
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -50,13 +60,13 @@ def consumed(spark: SparkSession, tables: ReplicationTables) -> DataFrame:
     return merge_consumed(tables.read(spark, "consumed", S.CONSUMED))
 
 
-def consume_stateful(messages: DataFrame, tables: ReplicationTables, trigger: dict | None = None) -> StreamingQuery:
+def consume_stateful(source: DataFrame, tables: ReplicationTables, trigger: dict | None = None) -> StreamingQuery:
     """The same with running counts in the state store, for readers that want them as they change.
 
     State grows with the number of distinct events; it is kept in RocksDB, off the heap.
     """
-    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    events, _ = parse_messages(messages)
+    source.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    events, _ = _events(source)
 
     def write(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(tables.path(f"counts/batch_id={batch_id}"))

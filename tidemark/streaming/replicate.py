@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schema as S
-from tidemark.functions.documents import event_id, event_json, routing_key
+from tidemark.functions.documents import event_id, event_json, routing_key, to_documents
 from tidemark.functions.times import micros, utc
 from tidemark.operators import dead_letters
 from tidemark.operators.validate import Rule, accepted, with_error
 from tidemark.plans.batches import FEED_ERROR, SINK_ERROR
 from tidemark.streaming.tables import ReplicationTables
 
+Sender = Callable[[DataFrame], None]
+
 ATTEMPTS_PER_BATCH = 1 << 20  # attempt numbers grow with the batch, then with the try
 
 
@@ -97,17 +99,27 @@ def publish(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id:
 
 
 def commit_batch(
-    rows: DataFrame, batch_id: int, tables: ReplicationTables, mode: str, rules: list[Rule] | None = None
+    rows: DataFrame,
+    batch_id: int,
+    tables: ReplicationTables,
+    mode: str,
+    rules: list[Rule] | None = None,
+    store_to: Sender | None = None,
+    publish_to: Sender | None = None,
 ) -> None:
     """Write one batch's outputs, check them, then log it as done.
 
     The order is documents, dead letters, feed, log row. Whatever fails, the batch is not
     done, the failed attempt is logged and the error is passed on; the same batch then runs again.
+
+    The rows are read once per output, which a stream's source must allow anyway: each output reads
+    only the columns it needs, which costs less than keeping whole rows. Should a source not give
+    the same rows each time, the counts tell. ``store_to`` and ``publish_to`` are given the documents
+    and the messages to send elsewhere too; when they raise, the batch fails like any other.
     """
     spark = rows.sparkSession
     started_at = utc(_started_at(spark, tables, mode, batch_id))
     checked = with_error(rows.select(*S.RECORD_COLUMNS, "seq"), rules)
-    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     stage = SINK_ERROR
     try:
         facts = checked.agg(
@@ -119,16 +131,18 @@ def commit_batch(
         stored = store_documents(checked, tables, mode, batch_id)
         if stored + facts["rejected"] != facts["rows"]:
             raise IncompleteBatch(f"{stored} stored and {facts['rejected']} rejected of {facts['rows']} rows")
+        if store_to is not None:
+            store_to(to_documents(tables.read_batch(spark, "documents", mode, batch_id, S.RECORDS)))
         entered = store_dead_letters(checked, tables, mode, batch_id, started_at) if facts["rejected"] else 0
         stage = FEED_ERROR
         published = publish(checked, tables, mode, batch_id, started_at)
         if published != facts["rows"]:
             raise IncompleteBatch(f"{published} published of {facts['rows']} rows")
+        if publish_to is not None:
+            publish_to(tables.read_batch(spark, "feed", mode, batch_id, "key STRING, value STRING"))
     except Exception as failure:
         _log_attempt(spark, tables, mode, batch_id, ok=False, error=f"{stage} {failure}"[:1000])
         raise
-    finally:
-        checked.unpersist()
     cursor = (None, None)
     if facts["rows"]:
         last = facts["last"]
@@ -142,6 +156,8 @@ def replicate(
     mode: str,
     rules: list[Rule] | None = None,
     trigger: dict | None = None,
+    store_to: Sender | None = None,
+    publish_to: Sender | None = None,
 ) -> StreamingQuery:
     """Start replicating a stream of rows (record columns and ``seq``, their arrival number).
 
@@ -150,7 +166,7 @@ def replicate(
     """
     return (
         source.writeStream.queryName(f"replicate-{mode}-{tables.root[-8:]}")
-        .foreachBatch(lambda rows, batch_id: commit_batch(rows, batch_id, tables, mode, rules))
+        .foreachBatch(lambda rows, n: commit_batch(rows, n, tables, mode, rules, store_to, publish_to))
         .option("checkpointLocation", tables.path(f"_checkpoints/{mode}"))
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -23,7 +23,7 @@ from tidemark.operators.cursor import (
 )
 from tidemark.operators.ordered import positions
 from tidemark.operators.validate import Rule
-from tidemark.streaming.replicate import commit_batch
+from tidemark.streaming.replicate import Sender, commit_batch
 from tidemark.streaming.tables import ReplicationTables
 
 ROWS_PER_BATCH = 10_000_000
@@ -46,6 +46,8 @@ def sync(
     rows_per_batch: int = ROWS_PER_BATCH,
     rules: list[Rule] | None = None,
     overlap: str | None = None,
+    store_to: Sender | None = None,
+    publish_to: Sender | None = None,
 ) -> int:
     """Replicate all there is past the mode's cursor; returns how many batches that took.
 
@@ -79,6 +81,6 @@ def sync(
         rows = positions(rows.where(~past(page)), order)
         # Arrival numbers: even for the backfill, odd for the other mode, so that none is used twice.
         arrival = (F.lit(sent) + F.col("position")) * 2 + (0 if mode == S.BACKFILL else 1)
-        commit_batch(rows.withColumn("seq", arrival), batch_id, tables, mode, rules)
+        commit_batch(rows.withColumn("seq", arrival), batch_id, tables, mode, rules, store_to, publish_to)
         sent, before = sent + page["rows"], page
     return len(pages)
