@@ -63,6 +63,14 @@ def test_boot_watermark_only_for_a_cursor_never_used(spark):
     assert cursor.with_boot_watermark(moved, now()).first()["cursor_ts"] == datetime(2020, 1, 1)
 
 
+def test_rows_after_a_missing_or_null_cursor(spark, folder):
+    records = B.records(spark, folder)
+    none = spark.createDataFrame([], S.CHECKPOINTS)
+    null = spark.createDataFrame([(S.INCREMENTAL, 0, None)], S.CHECKPOINTS)
+    for checkpoints in (none, null):
+        assert cursor.rows_after_checkpoint(records, checkpoints, S.INCREMENTAL).count() == records.count()
+
+
 def test_empty_batch_leaves_the_cursor(spark, folder):
     checkpoints = B.checkpoints(spark)
     none = B.records(spark, folder).limit(0)

@@ -34,6 +34,12 @@ def test_pages_push_their_cursor_and_sort_no_more_than_a_page(spark):
     assert "TakeOrderedAndProject" in page and "Exchange" not in page
 
 
+def test_a_stored_cursor_is_pushed_too(spark):
+    found = B.checkpoints(spark)
+    assert f"GreaterThan(o_orderkey,{B.CHECKPOINT_ID})" in plan(cursor.rows_after_checkpoint(source(spark), found, "backfill"))
+    assert "GreaterThanOrEqual(o_orderdate," in plan(cursor.rows_after_checkpoint(source(spark), found, "incremental"))
+
+
 def test_state_cuts_to_one_row_per_key_before_the_shuffle(spark):
     text = plan(upsert.upsert(None, B.changes_unordered(spark, SMALL)))
     assert text.count("WindowGroupLimit") == 2

@@ -15,7 +15,7 @@ from tidemark.operators.validate import accepted, rejected, with_error
 from tidemark.plans import batches, reconcile, status
 from tidemark.session import new_dir
 from tidemark.sources import bindings as B
-from tidemark.sources.tables import read_table, stream_table
+from tidemark.sources.tables import read_table, spread, stream_table
 from tidemark.streaming import consume as feed_consumer
 from tidemark.streaming.replicate import replay_dead_letters, replicate
 from tidemark.streaming.sync import sync
@@ -163,7 +163,7 @@ def item_results(spark, folder):
     ),
 )
 def batch_completeness(spark, folder):
-    batch = F.floor(F.col("seq") / S.BATCH_ROWS).cast("bigint")
+    batch = F.expr(f"seq div {S.BATCH_ROWS}")
     submitted = B.changes_unordered(spark, folder).withColumn("batch_id", batch)
     return upsert.completeness(submitted, _answers(spark, folder).withColumn("batch_id", batch))
 
@@ -341,7 +341,7 @@ TO_APPEND_SQL = f"""SELECT * FROM ({NEW_ENTRIES_SQL}) n WHERE NOT EXISTS (SELECT
 
 
 def _entries(rows: DataFrame) -> DataFrame:
-    batch = F.floor(F.col("seq") / S.BATCH_ROWS)
+    batch = F.expr(f"seq div {S.BATCH_ROWS}")
     return dead_letters.entries(with_error(rows), batch, F.col("updated_at"))
 
 
@@ -494,7 +494,7 @@ def feed_events(spark, folder):
     ),
 )
 def recent_changes(spark, folder):
-    batch = F.floor(F.col("seq") / S.BATCH_ROWS)
+    batch = F.expr(f"seq div {S.BATCH_ROWS}")
     rows = B.changes(spark, folder).withColumn("batch_id", batch)
     return feed.recent_changes(feed.changes(rows, F.lit(S.INCREMENTAL)))
 
@@ -859,7 +859,7 @@ SEARCH_MANY_SQL = f"""SELECT query_id, rank, id FROM (SELECT query_id, id, row_n
 
 @query("search_many", given("text_records", SEARCH_MANY_SQL))
 def search_many(spark, folder):
-    return search.search_many(B.text_records(spark, folder), B.text_queries(spark, folder))
+    return search.search_many(spread(B.text_records(spark, folder)), B.text_queries(spark, folder))
 
 
 @query(

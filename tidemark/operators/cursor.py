@@ -36,22 +36,24 @@ def incremental_page(
 
 
 def rows_after_checkpoint(records: DataFrame, checkpoints: DataFrame, mode: str) -> DataFrame:
-    """All rows past the stored cursor of a mode.
+    """All rows past the stored cursor of a mode; all rows when there is none.
 
-    The cursor is one row, applied as scalar subqueries, which the scan can still filter by.
+    The cursor, one row, is read first, so that the scan is given plain values to filter by.
     """
-    cursor = checkpoint(checkpoints, mode)
-    cursor_id = cursor.select("cursor_id").scalar()
+    cursor = checkpoint(checkpoints, mode).first()
+    if cursor is None:
+        return scan(records)
     if mode == S.BACKFILL:
-        return scan(records).where(after_id(cursor_id))
-    return scan(records).where(after_key(cursor.select("cursor_ts").scalar(), cursor_id))
+        return scan(records).where(after_id(cursor["cursor_id"]))
+    since = cursor["cursor_ts"] or S.EPOCH
+    return scan(records).where(after_key(utc(since), cursor["cursor_id"]))
 
 
 def backfill_pages(records: DataFrame, size: int = S.BATCH_ROWS) -> DataFrame:
     """Every page of a whole backfill at once: its number, row count and closing cursor."""
     numbered = positions(records.select("id"), ["id"])
     return (
-        numbered.groupBy(F.floor(F.col("position") / size).cast("bigint").alias("page"))
+        numbered.groupBy(F.expr(f"position div {size}").alias("page"))
         .agg(F.max("id").alias("cursor_id"), F.count(F.lit(1)).alias("rows"))
     )
 
@@ -61,7 +63,7 @@ def incremental_pages(records: DataFrame, size: int = S.BATCH_ROWS) -> DataFrame
     numbered = positions(records.select("updated_at", "id"), ["updated_at", "id"])
     last = F.max(F.struct("updated_at", "id")).alias("_last")
     return (
-        numbered.groupBy(F.floor(F.col("position") / size).cast("bigint").alias("page"))
+        numbered.groupBy(F.expr(f"position div {size}").alias("page"))
         .agg(last, F.count(F.lit(1)).alias("rows"))
         .select(
             "page",

@@ -9,7 +9,7 @@ from tidemark.functions.documents import document_json, event_id
 from tidemark.functions.times import utc
 from tidemark.operators.ordered import running
 from tidemark.operators.validate import rejected, with_error
-from tidemark.sources.tables import read_table, spread
+from tidemark.sources.tables import read_table
 
 CHECKPOINT_ID = 5000
 CHECKPOINT_TS = "1996-09-17 00:00:00"
@@ -97,7 +97,7 @@ def dead_letters(rows: DataFrame) -> DataFrame:
         F.col("seq").alias("id"),
         F.col("id").alias("record_id"),
         "version",
-        F.floor(F.col("seq") / S.BATCH_ROWS).cast("string").alias("batch_id"),
+        F.expr(f"seq div {S.BATCH_ROWS}").cast("string").alias("batch_id"),
         F.lit(S.DEFAULT_SINK).alias("sink"),
         document_json().alias("payload"),
         "error",
@@ -130,10 +130,8 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_records(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(
-        read_table(spark, folder, "documents").select(
-            F.col("doc_id").alias("id"), F.col("source").alias("email"), F.col("text").alias("name")
-        )
+    return read_table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("email"), F.col("text").alias("name")
     )
 
 
