@@ -304,3 +304,18 @@ def test_id_ranges_cover_every_id_once(spark):
         predicates = id_ranges(low, high, parts)
         counts = df.agg(*[F.count_if(F.expr(p)).alias(f"p{n}") for n, p in enumerate(predicates)]).first()
         assert sum(counts) == len(ids), (low, high, parts)
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    from types import SimpleNamespace
+
+    from tidemark.session import shared_dir
+
+    session = lambda folder, master: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default),
+        sparkContext=SimpleNamespace(master=master, applicationId="app"),
+    )
+    assert shared_dir(session("hdfs://nn/shared", "yarn")) == "hdfs://nn/shared"
+    with pytest.raises(ValueError):
+        shared_dir(session(None, "yarn"))
+    assert shared_dir(session(None, "local[8]")) == shared_dir(session(None, "local[8]"))

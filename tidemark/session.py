@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,16 +38,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every node can reach, as the cluster names it; a local one only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    configured = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    return _local_dir(context.applicationId)
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
