@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, secrets, tokens
+from tidemark.llm import chat, secrets, simhash, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -36,6 +36,10 @@ def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"), words=4, radius=4)
+
+
 #: A conversation whose texts are made of control strings.
 CONTROL_CHAT = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
@@ -54,6 +58,7 @@ def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_secret_scans": op3_secret_scans,
+    "op4_simhash_dedup": op4_simhash_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
 }
