@@ -8,13 +8,17 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, secrets, simhash, tokens
+from tidemark.llm import chat, mixing, secrets, simhash, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     schema = pa.schema(
         [(n, pa.int64()) for n in ("doc_id", "n_assign", "n_access", "n_hex")]
@@ -57,6 +61,7 @@ def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op8_chat_formatting": op8_chat_formatting,
