@@ -7,8 +7,9 @@ from collections.abc import Callable
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, secrets, simhash, tokens
+from tidemark.llm import chat, mixing, quality, secrets, simhash, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -44,6 +45,13 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), words=4, radius=4)
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    scored = quality.score(docs, quality.train(docs, read(spark, folder, "labels")), ["doc_id"])
+    predicted = (F.col("score") >= quality.KEEP).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 #: A conversation whose texts are made of control strings.
 CONTROL_CHAT = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
@@ -64,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
 }
