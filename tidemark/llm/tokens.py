@@ -22,6 +22,9 @@ documents and is closed at ``CHUNK`` ids, so only a single longer document makes
 from __future__ import annotations
 
 import functools
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,41 +40,86 @@ from tidemark.llm.common import batches, values
 
 BLOCK = 1 << 16
 CHUNK = 1 << 20
-#: Words whose ids a worker remembers, twice over (the newer and the older half).
-REMEMBERED = 250_000
+#: Pieces whose ids a worker remembers, twice over (the newer and the older half).
+REMEMBERED = 400_000
 LEVEL = 3
 
 
-class WordIds(dict):
-    """Ids of words (both as bytes), encoded when first met.
-
-    For vocabularies that drop white space and join no token across it, so that a text's ids are
-    those of its words one after the other. Words are parted at ASCII white space only, which every
-    such vocabulary drops. Two generations are kept, so that frequent words stay and memory is bounded.
+#: Bytes as the characters that stand for them in byte-level vocabularies: printable ones for themselves,
+#: the others, in order, for the characters from 256 on.
+_PRINTABLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_CHARACTER = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+#: The pieces of a lower-cased text of plain Latin letters, digits and ASCII symbols.
+_PIECES = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u012F\u0131-\u017F]+|[0-9]|[!-/:-@\[-`{-~]+"
+)
+_SPACES = " \n\t\r\x0b\x0c"
+#: What is done to a text, and how it is cut, before pieces reach the vocabulary; a file that says
+#: something else is always asked word by word.
+_KNOWN_STEPS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pattern": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+}
+
+
+class PieceIds(dict):
+    """Ids of pieces of text, as bytes, looked up in the vocabulary when first met.
+
+    For vocabularies that cut a text into pieces, drop white space and join no token across pieces, so
+    that a text's ids are those of its pieces one after the other. Texts of plain Latin letters, digits
+    and symbols are lower-cased and cut here; any other text is parted at ASCII white space, and words
+    that hold something else are given to the tokenizer. Two generations are kept, so that frequent
+    pieces stay and memory is bounded.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.older: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
+        self.model = self.tokenizer.model
+        self.older: dict[str, bytes] = {}
+        steps = json.loads(self.tokenizer.to_str())
+        cut = ((steps["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
+        self.plain = steps["normalizer"] == _KNOWN_STEPS["normalizer"] and cut == _KNOWN_STEPS["pattern"]
+
+    def __missing__(self, piece: str) -> bytes:
+        """A piece, or a space and a word for the tokenizer."""
+        ids = self.older.get(piece)
         if ids is None:
-            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            if piece[0] == " ":
+                found = self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+            else:
+                letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_CHARACTER)
+                found = [t.id for t in self.model.tokenize(letters)]
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        self[word] = ids
+        self[piece] = ids
         return ids
 
+    def pieces(self, text: str) -> list[str] | None:
+        """The pieces of a plain text, None of another one."""
+        low = text.lower()
+        found = _PIECES.findall(low)
+        whole = sum(map(len, found)) + sum(map(low.count, _SPACES)) == len(low)
+        return found if self.plain and whole and "<|" not in low else None  # <| may open a special token
+
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        found = self.pieces(text)
+        if found is None:
+            found = []
+            for word in text.encode().split():
+                plain = self.pieces(word := word.decode())
+                found += [f" {word}"] if plain is None else plain
+        return b"".join(map(self.__getitem__, found))
 
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def pack(ids: np.ndarray) -> list[bytes]:
@@ -115,13 +163,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        known = piece_ids(tokenizer)
         part, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
 
         def chunks() -> Iterator[tuple]:
             number, ahead, n, docs_of, sizes, held = 0, 0, 0, [], [], []
             for doc_id, text in values(stream):
-                ids = words.encode(text or "") + end
+                ids = known.encode(text or "") + end
                 docs_of.append(doc_id)
                 sizes.append(len(ids) // 4)
                 held.append(ids)
