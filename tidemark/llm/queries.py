@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, quality, secrets, simhash, tokens
+from tidemark.llm import chat, decontaminate, mixing, quality, secrets, simhash, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -45,6 +45,18 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), words=4, radius=4)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"), ["doc_id"])
+    return found.select(
+        "kept.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     scored = quality.score(docs, quality.train(docs, read(spark, folder, "labels")), ["doc_id"])
@@ -72,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
@@ -79,7 +92,29 @@ QUERIES: dict[str, Query] = {
 
 _ESCAPED = r"""replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"""
 
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
 ORACLES: dict[str, str] = {
+    "op5_benchmark_decontamination": f"""
+WITH items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, list_slice(w, i, i + 9) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(win) AS n FROM windows),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, i, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths)),
+hits AS (SELECT doc_id, i, len(win) AS n, item FROM places JOIN windows USING (win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op8_chat_formatting": f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
