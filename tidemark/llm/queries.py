@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, mixing, quality, secrets, simhash, tokens
+from tidemark.llm import chat, decontaminate, fingerprint, mixing, quality, secrets, simhash, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -80,6 +80,10 @@ def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.documents_of(tokens.read_tokens(spark, path))
 
 
+def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.compare(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_secret_scans": op3_secret_scans,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 _ESCAPED = r"""replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"""
