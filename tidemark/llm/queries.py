@@ -9,13 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, fingerprint, mixing, quality, secrets, simhash, tokens
+from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, secrets, simhash, suffix, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.deduplicate(read(spark, folder, "documents"), digest=True)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"]).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.lower(F.hex("kept")).alias("kept_sha256"),
+    )
+
+
 def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
@@ -64,6 +75,11 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = automata.deduplicate(read(spark, folder, "documents"), digest=True)
+    return found.select("doc_id", "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 #: A conversation whose texts are made of control strings.
 CONTROL_CHAT = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
@@ -85,11 +101,13 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
     "op10_document_fingerprints": op10_document_fingerprints,
