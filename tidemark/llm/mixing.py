@@ -170,9 +170,14 @@ def _flight(round_: int):
     return run
 
 
+def text_hash() -> Column:
+    """With doc_id (0 for null), what tells documents apart."""
+    return F.xxhash64("text", "source", F.col("doc_id").isNull(), F.col("source").isNull())
+
+
 def copies(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, source, size, source_size, target, copies``: how often the mix takes each row."""
-    sizes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", size_of(F.col("text")).alias("size"))
+    sizes = docs.select("doc_id", text_hash().alias("text_hash"), "source", size_of(F.col("text")).alias("size"))
     sizes = written(sizes, "sizes")
     goals = written(targets(sizes), "targets")
     due = F.coalesce(F.col("target") / F.col("source_size"), F.lit(0.0))
@@ -206,6 +211,16 @@ def copies(docs: DataFrame) -> DataFrame:
     )
 
 
+def repeated(docs: DataFrame) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken. Repeated rows are paired by their number."""
+    key = ["k1", "k2", "number"]
+    number = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(0)).alias("k1"), text_hash().alias("k2"))
+    taken = copies(docs).select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.col("text_hash").alias("k2"), "copies")
+    both = rows.withColumn("number", number).join(taken.withColumn("number", number), key)
+    return both.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken``: the words the mix takes of each document, repeats counted."""
     return copies(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

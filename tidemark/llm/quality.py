@@ -198,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``score``, the chance that a text is of quality 1."""
+    """Columns ``keep`` of ``docs`` as the struct ``kept``, and ``score``, the chance that a text is of quality 1."""
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col("text").alias("scored_text"))
     schema = kept.select("kept", F.lit(0.0).alias("score")).schema
 
@@ -213,4 +213,4 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                     found = np.full(part.num_rows, 0.5)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["kept", "score"])
 
-    return kept.mapInArrow(run, schema).select("kept.*", "score")
+    return kept.mapInArrow(run, schema)

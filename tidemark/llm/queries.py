@@ -70,7 +70,7 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
-    scored = quality.score(docs, quality.train(docs, read(spark, folder, "labels")), ["doc_id"])
+    scored = quality.score(docs, quality.train(docs, read(spark, folder, "labels")), ["doc_id"]).select("kept.doc_id", "score")
     predicted = (F.col("score") >= quality.KEEP).cast("int").alias("predicted")
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 

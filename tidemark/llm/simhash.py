@@ -22,12 +22,13 @@ pairs: a fingerprint once reached is compared no more but as a query.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, values, written
@@ -38,7 +39,8 @@ CHUNK = 16_384
 SMALL = 24
 SEED = 42
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
+_WORD = (1 << 64) - 1
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,7 +70,7 @@ def fingerprint(hashes: np.ndarray, bits: int = 64) -> bytes:
         return bytes(bits // 8)
     out = []
     for k in range(bits // 64):
-        of_word = hashes if k == 0 else mixed(hashes + np.uint64(k) * _STEP)
+        of_word = hashes if k == 0 else mixed(hashes + np.uint64(k * _STEP & _WORD))
         counts = np.zeros(64, np.int64)
         for start in range(0, len(of_word), 1 << 15):
             rows = of_word[start : start + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -85,7 +87,7 @@ def fingerprints(docs: DataFrame, words: int, bits: int = 64, minima: int = 0) -
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fingerprint", pa.binary()), ("minima", pa.list_(pa.int64()))]
     )
-    orders = [np.uint64(k + 1) * np.uint64(0xD6E8FEB86659FD93) for k in range(minima)]
+    orders = [np.uint64((k + 1) * 0xD6E8FEB86659FD93 & _WORD) for k in range(minima)]
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -320,3 +322,24 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(lowest, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 5, bits: int = 256, similarity: float = 0.8, minima: int = 8) -> DataFrame:
+    """Rows of ``docs`` without near-duplicates: of each component the row with the smallest doc_id stays.
+
+    Texts are alike if they share one of ``minima`` least shingle hashes and the cosine that their fingerprints tell
+    of their shingle counts is ``similarity`` or more: an angle is the share of differing bits, times pi. Ids that
+    are null come last, rows of one id are ordered by their texts' hash; of repeated rows one stays.
+    """
+    radius = int(bits * math.acos(similarity) / math.pi)
+    prints = written(fingerprints(docs, words, bits, minima), "fingerprints")
+    rooted = prints.join(groups(prints, minimum_keys(), radius, bits), "fingerprint", "left")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = rooted.groupBy(F.coalesce("root", "fingerprint")).agg(F.min(order).alias("first")).select("first.*")
+    key = ["k1", "k2", "no_id"]
+    first = first.select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.col("text_hash").alias("k2"), "no_id")
+    no_id = F.col("doc_id").isNull().alias("no_id")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text").alias("k2"), no_id).join(first, key)
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    return rows.withColumn("number", number).where("number = 1").select("row.*")
