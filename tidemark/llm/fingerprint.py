@@ -29,44 +29,46 @@ SAMPLES, AT_ONCE = 64, 4
 #: Steps per unit of ln a when values are compared, and what is added so that all are positive.
 _STEPS, _SHIFT = 1 << 34, 128.0
 _KEY = ["k1", "k2"]
-#: Numbers of a document that go along with its words, as rows of their own: no word holds a space.
-_RIDERS = ("chars", "sha0", "sha1", "sha2", "sha3", "null_id")
+#: A digest in four numbers that goes along with a document's words, as rows of their own: no word holds a space.
+_RIDERS = ("sha0", "sha1", "sha2", "sha3")
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[{SPACES}]+"), "")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``k1, k2, text``: keys without nulls, by which all that is known of a document is brought together."""
+def _keyed(docs: DataFrame) -> DataFrame:
     no_id = F.col("doc_id").isNull()
-    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text", no_id).alias("k2"), F.coalesce("text", F.lit("")).alias("text"), no_id.alias("no_id"))
+    key = [F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text", no_id).alias("k2")]
+    return docs.select(*key, F.coalesce("text", F.lit("")).alias("text"), no_id.cast("int").alias("no_id"))
 
 
-def followers(texts: DataFrame) -> DataFrame:
-    """``k1, k2, next1, next2, chars``: every document, the one after it, and its own length."""
-    each = texts.groupBy(*_KEY).agg(F.max(F.char_length("text")).alias("chars"), F.max(F.col("no_id").cast("int")).alias("no_id"))
+def followers(docs: DataFrame) -> DataFrame:
+    """``k1, k2, next1, next2, chars, no_id, rows``: every document, the one after it, its length, its repeated rows."""
+    each = _keyed(docs).groupBy(*_KEY).agg(F.max(F.char_length("text")).alias("chars"), F.max("no_id").alias("no_id"), F.count("*").alias("rows"))
     order = [F.col("no_id").desc(), F.col("k1"), F.col("k2")]
-    rows = written(each.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("n", F.monotonically_increasing_id()), "order")
-    rows = rows.withColumn("part", F.shiftright("n", 33)).withColumn("row", F.col("n").bitwiseAND((1 << 33) - 1))
-    sizes = rows.groupBy("part").agg(F.count("*").alias("size"))
+    placed = written(each.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("n", F.monotonically_increasing_id()), "order")
+    placed = placed.withColumn("part", F.shiftright("n", 33)).withColumn("row", F.col("n").bitwiseAND((1 << 33) - 1))
+    sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per writing task
-    bases = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"), F.sum("size").over(Window.partitionBy(F.lit(0))).alias("total"))
-    placed = rows.join(F.broadcast(bases), "part").select(*_KEY, "chars", "total", (F.col("base") + F.col("row")).alias("place"))
+    whole = F.sum("size").over(Window.partitionBy(F.lit(0)))
+    bases = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"), whole.alias("total"))
+    placed = placed.join(F.broadcast(bases), "part").withColumn("place", F.col("base") + F.col("row"))
     ahead = placed.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.pmod(F.col("place") - 1, F.col("total")).alias("place"))
-    return written(placed.join(ahead, "place").select(*_KEY, "next1", "next2", "chars"), "next")
+    return written(placed.join(ahead, "place").select(*_KEY, "next1", "next2", "chars", "no_id", "rows"), "next")
 
 
-def edited(texts: DataFrame, after: DataFrame) -> DataFrame:
-    """``k1, k2, text, edited`` and the riders of each row: the last quarter is replaced by the next text's start."""
-    asked = after.select(F.col("next1").alias("k1"), F.col("next2").alias("k2"), F.col("k1").alias("of1"), F.col("k2").alias("of2"), F.floor(F.col("chars") / 4).cast("int").alias("cut"))
-    starts = texts.join(asked, _KEY).select("of1", "of2", F.expr("substring(text, 1, cut)").alias("start"))
-    starts = starts.groupBy(F.col("of1").alias("k1"), F.col("of2").alias("k2")).agg(F.min("start").alias("start"))
+def edited(docs: DataFrame, after: DataFrame) -> DataFrame:
+    """``k1, k2, text, edited, riders`` of each document: the last quarter is replaced by the next text's start."""
+    texts = _keyed(docs).groupBy(*_KEY).agg(F.first("text").alias("text"))  # repeated rows are one document
+    cut = F.floor(F.col("chars") / 4).cast("int").alias("cut")
+    asked = after.select(F.col("next1").alias("k1"), F.col("next2").alias("k2"), F.col("k1").alias("of1"), F.col("k2").alias("of2"), cut)
+    starts = texts.join(asked, _KEY).select(F.col("of1").alias("k1"), F.col("of2").alias("k2"), F.expr("substring(text, 1, cut)").alias("start"))
     both = texts.join(starts, _KEY).withColumn("n", F.char_length("text"))
-    both = both.select(*_KEY, "no_id", "n", "text", F.concat(F.expr("substring(text, 1, n - n div 4)"), "start").alias("edited"))
+    both = both.select(*_KEY, "text", F.concat(F.expr("substring(text, 1, n - n div 4)"), "start").alias("edited"))
     both = both.withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
     numbers = [F.conv(F.substring("sha", 16 * k + 1, 16), 16, -10).cast("bigint") for k in range(4)]
-    return both.select(*_KEY, "text", "edited", F.array(F.col("n").cast("bigint"), *numbers, F.col("no_id").cast("bigint")).alias("riders"))
+    return both.select(*_KEY, "text", "edited", F.array(*numbers).alias("riders"))
 
 
 def counts(pairs: DataFrame) -> DataFrame:
@@ -144,18 +146,19 @@ def likeness(a: str, b: str) -> Column:
 
 def compare(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, its edited text's, and its likeness to that and to the next document."""
-    texts = keyed(docs)
-    after = followers(texts)
-    found = written(fingerprints(counts(edited(texts, after))), "fingerprints")
-    ahead = found.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("fingerprint").alias("next_fingerprint")).distinct()
-    near = found.join(after.drop("chars"), _KEY).join(ahead, ["next1", "next2"])
+    after = followers(docs)
+    found = written(fingerprints(counts(edited(docs, after))), "fingerprints")
+    ahead = found.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("fingerprint").alias("next_fingerprint"))
+    near = found.join(after, _KEY).join(ahead, ["next1", "next2"])
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"sha{k}"), 16, "0") for k in range(4)]))
-    return near.select(
-        F.when(F.col("null_id") == 0, F.col("k1")).alias("doc_id"),
-        F.col("chars").alias("n_chars"),
+    each = near.select(
+        F.when(F.col("no_id") == 0, F.col("k1")).alias("doc_id"),
+        F.col("chars").cast("bigint").alias("n_chars"),
         sha.alias("edited_sha256"),
         "fingerprint",
         "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        F.explode(F.sequence(F.lit(1), "rows")).alias("row"),
     )
+    return each.drop("row")
