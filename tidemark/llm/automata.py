@@ -35,7 +35,7 @@ def _character(k: int) -> str:
 
 
 def solve(rows: list[tuple], window: int = WINDOW) -> Iterator[tuple]:
-    """Of a shard's distinct spans (key, n, low, high, text): runs of windows that recur, with their first document."""
+    """Of a shard's distinct spans (mark, key, n, low, high, text): runs of windows that recur, with their first document."""
     code: dict[bytes, str] = {}
     coded = []
     for row in rows:
@@ -46,7 +46,7 @@ def solve(rows: list[tuple], window: int = WINDOW) -> Iterator[tuple]:
         coded.append("".join(map(code.__getitem__, words)))
 
     met: dict[str, tuple[int, int]] = {}
-    for (_, _, low, high, _), text in zip(rows, coded):
+    for (_, _, _, low, high, _), text in zip(rows, coded):
         for k in range(len(text) - window + 1):
             w = text[k : k + window]
             l, h = met.get(w, (low, high))

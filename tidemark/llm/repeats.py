@@ -7,7 +7,7 @@
 4. Spans of a mark meet in a shard, where ``solve`` finds the windows that recur. Shards are bounded in bytes.
 5. What is found goes back to every place the span stands at, and by document to the texts.
 
-A mark with more than ``VARIANTS`` different spans would make a shard without bound. Its windows are counted
+A mark with more than ``VARIANTS`` different spans would make a shard without bound (that many make a few MB). Its windows are counted
 one by one instead, each under its own hash: exact as well, spread over all tasks, and combined before the
 shuffle. Spans of a mark are dealt by joins whose other side has one row per mark, so that a mark that every third
 text has is split like any skewed key. Texts are compressed for their way through the shuffle.
@@ -33,7 +33,7 @@ from tidemark.llm.spans import cut
 
 KEY = ["k1", "k2"]
 #: Windows of a span, and different spans of a mark, at most.
-SPAN, VARIANTS = 1024, 256
+SPAN, VARIANTS = 1024, 8192
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ class Kind:
     piece: Callable[[object, int, int], bytes]  # the units from one to another
     windows: Callable[[bytes], list[bytes]]  # the windows of a piece
     recurs: Callable[[], Column]  # of ``n``, ``low``, ``high``: number, smallest and largest document
-    solve: Callable[[list[tuple]], Iterator[tuple]]  # a shard's (key, n, low, high, text) to (index, start, n, low)
+    solve: Callable[[list[tuple]], Iterator[tuple]]  # a shard's (mark, key, n, low, high, text) to (index, start, n, low)
     shard: int  # bytes of text after which a shard is closed
     needs_id: bool = False  # documents without an id take no part
 
@@ -75,8 +75,8 @@ _SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mark", pa.int64())
 _SPANS_DDL = "k1 bigint, k2 bigint, mark bigint, key bigint, start int, n int, weight int"
 
 
-def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
-    """Every span: where it is, its mark, its content's hash, 2 as weight if it may hold a window twice."""
+def spans_of(docs: DataFrame, kind: Kind, keys: bool = True) -> DataFrame:
+    """Every span: where it is, its mark, its content's hash (if wanted), 2 as weight if it may hold a window twice."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = xxhash.xxh3_64_intdigest
@@ -93,8 +93,10 @@ def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
             if not len(starts):
                 continue
             ends = starts + counts + kind.size - 1
-            keys = [hash_of(kind.piece(pieces, a, b)) for a, b in zip(starts.tolist(), ends.tolist())]
-            columns = [np.full(len(starts), k1), np.full(len(starts), k2), marks.view(np.int64), np.array(keys, np.uint64).view(np.int64)]
+            content = np.zeros(len(starts), np.uint64)
+            if keys:
+                content[:] = [hash_of(kind.piece(pieces, a, b)) for a, b in zip(starts.tolist(), ends.tolist())]
+            columns = [np.full(len(starts), k1), np.full(len(starts), k2), marks.view(np.int64), content.view(np.int64)]
             held.append(columns + [starts.astype(np.int32), counts.astype(np.int32), 1 + inside.astype(np.int32)])
             if sum(len(h[0]) for h in held[-64:]) > 20_000 or len(held) >= 512:
                 yield batch()
@@ -136,7 +138,7 @@ def _sharded(texts: DataFrame, kind: Kind) -> DataFrame:
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(held: list[tuple]) -> Iterator[tuple]:
-            for k, offset, windows, low in kind.solve([row[1:] for row in held]):
+            for k, offset, windows, low in kind.solve(held):
                 yield held[k][0], held[k][1], offset, windows, low
 
         def rows() -> Iterator[tuple]:
@@ -182,9 +184,8 @@ def _counted(texts: DataFrame, kind: Kind) -> DataFrame:
 
 def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     """``k1, k2, runs``: of each document that has any, the runs (start, windows, low) of recurring windows."""
-    spans = spans_of(docs, kind)
-    marks = spans.groupBy("mark").agg(F.sum("weight").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
-    kept = written(spans.join(marks.where(kind.recurs()).select("mark"), "mark"), "spans")
+    marks = spans_of(docs, kind, keys=False).groupBy("mark").agg(F.sum("weight").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
+    kept = written(spans_of(docs, kind).join(marks.where(kind.recurs()).select("mark"), "mark"), "spans")
 
     one = kept.groupBy("mark", "key").agg(
         F.count("*").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.min(F.struct("k1", "k2", "start", "n")).alias("from")

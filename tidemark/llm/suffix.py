@@ -16,6 +16,7 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     for k in range(7):  # seven characters of nine bits
         key = (key << 9) | np.where(stopped, 0, padded[k : k + n])
         stopped |= padded[k : k + n] == 0
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key).astype(np.int32)
     first = np.r_[True, key[order][1:] != key[order][:-1]]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1
@@ -59,7 +60,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
         inside = next_ < ends[rows]
         second = np.where(inside, rank[np.where(inside, next_, 0)], 0)
         both = rank[rows] * (n + 2) + second
-        sorted_ = np.argsort(both, kind="stable")
+        sorted_ = np.argsort(both)
         order[at] = rows[sorted_]
         ordered = both[sorted_]
         first[at] = np.r_[True, ordered[1:] != ordered[:-1]]
@@ -75,43 +76,50 @@ def shared_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
     are derived by increasing value; what has none at the end is at least the length.
     """
     n = len(bwt)
-    by_char = np.argsort(bwt, kind="stable").astype(np.int64)
+    by_char = np.argsort(bwt, kind="stable").astype(np.int32)
     chars = bwt[by_char]
-    lead = np.empty(n, np.int64)  # row -> the row of its suffix with the character before it
-    lead[by_char] = np.arange(n)
+    lead = np.empty(n, np.int32)  # row -> the row of its suffix with the character before it
+    lead[by_char] = np.arange(n, dtype=np.int32)
     same = chars[1:] == chars[:-1]
-    following = np.full(n, n, np.int64)  # row -> the next row with the same character before it
+    following = np.full(n, n, np.int32)  # row -> the next row with the same character before it
     following[by_char[:-1][same]] = by_char[1:][same]
     keys = chars.astype(np.int64) * (n + 1) + by_char  # for counting a character up to a row
     alphabet = np.unique(chars).astype(np.int64)
+    begins = bwt == 0  # a string begins here: nothing is before it
 
     known = np.zeros(n + 1, bool)
     known[[0, n]] = True
-    low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    low, high = np.zeros(1, np.int32), np.full(1, n, np.int32)
     for value in range(length):
-        wide = high - low > NARROW
+        sizes = high - low
+        # one row: what is before it is one row too
+        rows = low[sizes == 1]
+        rows = rows[~begins[rows]] if value else rows
+        begin, finish = [lead[rows]], [lead[rows] + 1]
         # wide intervals: every character of the alphabet, counted up to either end
-        wl, wh = low[wide], high[wide]
-        begin = np.searchsorted(keys, (alphabet * (n + 1) + wl[:, None]).reshape(-1))
-        finish = np.searchsorted(keys, (alphabet * (n + 1) + wh[:, None]).reshape(-1))
-        some = finish > begin
-        extends = np.tile(alphabet, len(wl)) > 0
-        if value == 0:
-            extends[:] = True  # the ends of strings are the first interval
-        begin, finish = begin[some & extends], finish[some & extends]
-        # narrow ones: the last row of each character in the interval
-        nl, nh = low[~wide], high[~wide]
-        sizes = nh - nl
-        rows = np.arange(sizes.sum()) + np.repeat(nl - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
-        of = np.repeat(np.arange(len(nl)), sizes)
-        last = (following[rows] >= nh[of]) & ((bwt[rows] > 0) | (value == 0))
-        rows, of = rows[last], of[last]
-        new = ~known[lead[rows] + 1]
-        rows, of = rows[new], of[new]
-        begin_n = np.searchsorted(keys, bwt[rows].astype(np.int64) * (n + 1) + nl[of])
-        begin, finish = np.r_[begin, begin_n], np.r_[finish, lead[rows] + 1]
-        fresh = ~known[finish]
-        low, high = begin[fresh], finish[fresh]
+        wide = sizes > NARROW
+        if wide.any():
+            first = np.searchsorted(keys, (alphabet * (n + 1) + low[wide][:, None]).reshape(-1))
+            last = np.searchsorted(keys, (alphabet * (n + 1) + high[wide][:, None]).reshape(-1))
+            extends = last > first
+            if value:  # at first, the ends of strings are an interval too
+                extends &= np.tile(alphabet, int(wide.sum())) > 0
+            begin.append(first[extends].astype(np.int32))
+            finish.append(last[extends].astype(np.int32))
+        # the others: the last row of each character in the interval
+        rest = (sizes > 1) & ~wide
+        nl, nh, ns = low[rest], high[rest], sizes[rest]
+        rows = np.arange(ns.sum(), dtype=np.int32) + np.repeat(nl - np.r_[0, np.cumsum(ns)[:-1]].astype(np.int32), ns)
+        chosen = following[rows] >= np.repeat(nh, ns)
+        if value:
+            chosen &= ~begins[rows]
+        chosen &= ~known[lead[rows] + 1]
+        rows, left = rows[chosen], np.repeat(nl, ns)[chosen]
+        begin.append(np.searchsorted(keys, bwt[rows].astype(np.int64) * (n + 1) + left).astype(np.int32))
+        finish.append(lead[rows] + 1)
+        low, high = np.concatenate(begin), np.concatenate(finish)
+        fresh = ~known[high]
+        low, high = low[fresh], high[fresh]
         known[high] = True
         if not len(low):
             break
@@ -119,10 +127,19 @@ def shared_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
 
 
 def solve(rows: list[tuple], length: int = LENGTH) -> Iterator[tuple]:
-    """Of a shard's distinct strings (key, n, low, high, text): runs of starts of strings that recur."""
-    if not rows:
+    """Of a shard's distinct strings (mark, key, n, low, high, text): runs of starts of strings that recur.
+
+    A string that stands several times recurs from start to end. It is put in order with the others of its
+    mark, which may share parts of it; the only one of its mark has nothing to be compared with.
+    """
+    of_mark = Counter(row[0] for row in rows)
+    put = [k for k, row in enumerate(rows) if row[2] == 1 or of_mark[row[0]] > 1]
+    for k, row in enumerate(rows):
+        if row[2] > 1:
+            yield k, 0, len(row[-1]) - length + 1, 0
+    if not put:
         return
-    texts = [row[-1] for row in rows]
+    texts = [rows[k][-1] for k in put]
     sizes = np.array([len(t) for t in texts])
     joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + 1
     ends = np.cumsum(sizes + 1) - 1  # where each string's end stands
@@ -132,10 +149,8 @@ def solve(rows: list[tuple], length: int = LENGTH) -> Iterator[tuple]:
     shared = shared_prefixes(np.r_[np.uint16(0), joined[:-1]][order], length)
     recurs = np.zeros(len(joined), bool)
     recurs[order] = shared | np.r_[shared[1:], False]
-    for k, (b, size) in enumerate(zip(ends, sizes)):
-        if rows[k][1] > 1:  # the same string stands elsewhere, from start to end
-            yield k, 0, int(size) - length + 1, 0
-        else:
+    for k, b, size in zip(put, ends, sizes):
+        if rows[k][2] == 1:
             yield from _runs(k, recurs[b - size : b - length + 1])
 
 
@@ -157,7 +172,7 @@ BYTES = Kind(
     windows=lambda text: [text[k : k + LENGTH] for k in range(len(text) - LENGTH + 1)],
     recurs=lambda: F.col("n") > 1,
     solve=solve,
-    shard=1 << 20,
+    shard=1 << 19,
 )
 
 _REMOVED = pa.schema(
