@@ -57,7 +57,7 @@ def test_prefixes_from_transform(seed):
     draw = random.Random(seed)
     length = draw.choice([3, 8, 20])
     texts = sorted({"".join(draw.choices("ab", k=draw.randint(length, 90))).encode() for _ in range(30)})
-    found = {(k, at) for k, a, n, _ in suffix.solve([(0, 1, 0, 0, t) for t in texts], length) for at in range(a, a + n)}
+    found = {(k, at) for k, a, n, _ in suffix.solve([(0, k, 1, 0, 0, t) for k, t in enumerate(texts)], length) for at in range(a, a + n)}
     met: dict = {}
     for k, t in enumerate(texts):
         for at in range(len(t) - length + 1):
