@@ -10,12 +10,14 @@ from __future__ import annotations
 import json
 import os
 import time
+from datetime import datetime
 
 from tidemark import catalog
 from tidemark.session import local_session, new_dir
 from tidemark.sources import bindings as B
 from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming.replicate import replicate
+from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -40,7 +42,6 @@ HEADLINE = {
     "status": "orders",
     "search_text": "documents",
     "search_many": "documents",
-    "bump_sample": "orders",
 }
 
 
@@ -69,6 +70,13 @@ def main() -> None:
         replicate(rows, ReplicationTables(new_dir(spark, "bench")), "incremental").awaitTermination()
 
     note("stream_replicate", stream, sizes["events"])
+
+    def synced() -> None:
+        """The orders in 20 batches."""
+        rows = sizes["orders"] // 20 + 1
+        sync(B.records(spark, FOLDER), ReplicationTables(new_dir(spark, "bench")), "backfill", datetime(2000, 1, 1), rows)
+
+    note("sync_20_batches", synced, sizes["orders"])
     print(
         json.dumps(
             {

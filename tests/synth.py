@@ -1,10 +1,11 @@
-"""Rows added to and changed in the source: top-up, a flagged batch, sampled updates, one insert."""
+"""Fixtures: rows added to and changed in the source: top-up, a flagged batch, sampled updates, one insert."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schema as S
+from tidemark.operators.sample import sample_ids
 
 # What generated rows look like.
 SEED_TIERS = 5
@@ -76,12 +77,6 @@ def insert_record(records: DataFrame, email: str, name: str, now: Column, poison
     return records.select(*S.RECORD_COLUMNS).unionByName(_new_rows(one, columns, now))
 
 
-def sample_ids(records: DataFrame, rows: int, seed: int = 0) -> DataFrame:
-    """``rows`` ids in hash order: looks random, and a retry picks the same ones."""
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col("id")))
-    return records.select("id").orderBy(order, "id").limit(rows)
-
-
 def bump(records: DataFrame, now: Column, rows: int = BUMPED_ROWS, seed: int = 0) -> DataFrame:
     """The table with a sample of rows at their next version; ``bumped`` says which."""
     picked = sample_ids(records, rows, seed).withColumn("bumped", F.lit(True))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.functions.times import utc
-from tidemark.operators import consume, cursor, dead_letters, feed, search, synth
+import synth
+from tidemark.operators import consume, cursor, dead_letters, feed, search
 from tidemark.operators.validate import with_error
 from tidemark.plans import batches, reconcile, status
 from tidemark.sources import bindings as B
@@ -166,11 +167,11 @@ def test_merging_parts_in_any_order(spark):
 
 # --- search
 
-WORD = re.compile(r"[^\W]+", re.UNICODE)
+WORD = re.compile(r"[\u4e00-\u9fff\u3040-\u309f]|(?:(?![\u4e00-\u9fff\u3040-\u309f])[\w\u0300-\u036f])+", re.UNICODE)
 
 
 def found(rows, query, limit=50):
-    q = query.strip()
+    q = query.strip(" \t\n\r\u00a0\ufeff")
     words = set(WORD.findall(q.lower()))
     hit = lambda i, e, n: (
         True if not q else i == int(q) if re.fullmatch("[0-9]+", q) else bool(words & set(WORD.findall(n.lower()))) or q in (e, n)
@@ -179,6 +180,7 @@ def found(rows, query, limit=50):
 
 
 QUERIES = ["", "  ", "12", " 0012 ", "hot", "HOT cold7", "cold3 cold4", "a@x.com", "---", "--", "nothing", "99999999999999999999", "Été_1"]
+QUERIES += ["\t", "\t42", "\u00a012\n", "東京", "京", "e\u0301te", "e", "\ufeffhot"]
 
 
 @pytest.fixture(scope="module")
@@ -187,6 +189,8 @@ def texts():
     rows = []
     for i in range(400):
         words = [f"Cold{r.randrange(60)}"] + (["hot"] if r.random() < 0.4 else []) + (["été_1"] if i % 50 == 0 else [])
+        words += ["東京都は日本の首都"] if i % 70 == 0 else []
+        words += ["e\u0301te\u0301", "e\u0301te"] if i % 75 == 0 else []
         rows.append((i, r.choice(["a@x.com", "b@x.com"]), "---" if i % 90 == 0 else " ".join(words)))
     return rows
 
@@ -197,10 +201,18 @@ def test_search_equals_a_scan(spark, texts):
         assert [r["id"] for r in search.search(df, q, 20).collect()] == found(texts, q, 20), q
 
 
-@pytest.mark.parametrize("small_terms", [True, False])
-def test_many_searches_equal_single_ones(spark, texts, monkeypatch, small_terms):
-    if not small_terms:
-        monkeypatch.setattr(search, "BROADCAST_BYTES", -1)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_many_searches_equal_single_ones(spark, texts, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        many_searches(spark, texts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        search.search_many(people(spark, texts), spark.createDataFrame([(1, "x")], "query_id BIGINT, query STRING"), 5000)
+
+
+def many_searches(spark, texts):
     queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id BIGINT, query STRING")
     got = search.search_many(people(spark, texts), queries, 20).collect()
     for n, q in enumerate(QUERIES):
@@ -208,7 +220,39 @@ def test_many_searches_equal_single_ones(spark, texts, monkeypatch, small_terms)
         assert ranked == list(enumerate(found(texts, q, 20), 1)), q
 
 
-# --- synthesis
+def test_like_takes_a_backslash(spark):
+    df = people(spark, [(1, "ab", "n"), (2, "a\\b", "n"), (3, "a%b", "n"), (4, "aXb", "n"), (5, "x", "A_B"), (6, "a\\%b", "n")])
+    hits = lambda q: sorted(r["id"] for r in search.search_like(df, q).collect())
+    assert hits("a\\b") == [1] and hits("a\\\\b") == [2] and hits("a\\%b") == [3] and hits("a_b") == [2, 3, 4, 5]
+    assert hits("a\\_b") == [5] and hits("\\ab") == [1] and hits("a\\\\\\%b") == [6]
+
+
+def test_no_rules_reject_nothing(spark, folder):
+    rows = B.records(spark, folder)
+    assert with_error(rows, []).where("error IS NOT NULL").count() == 0 < with_error(rows).where("error IS NOT NULL").count()
+
+
+def test_messages_need_all_three_fields(spark):
+    bodies = ['{"event_id":"1:1","record_id":1,"version":1}', '{"event_id":"1:1","version":1}', '{"event_id":"1:1","record_id":1}', '{"record_id":1,"version":1}']
+    events, rest = feed.parse_messages(spark.createDataFrame([(b,) for b in bodies], "value STRING"))
+    assert events.count() == 1 and sorted(r["value"] for r in rest.collect()) == sorted(bodies[1:])
+
+
+def test_overlap_pages_go_on_and_never_move_the_cursor_back(spark, folder):
+    records = B.records(spark, folder)
+    at, last = datetime(1996, 9, 17), 0
+    page, seen, cursors = cursor.incremental_page(records, at, last, 50, overlap="100 DAYS").collect(), [], [(at, last)]
+    while page:
+        seen += [r["id"] for r in page]
+        end = page[-1]["updated_at"], page[-1]["id"]
+        cursors.append(cursor.later_cursor(end, cursors[-1]))
+        page = cursor.incremental_page(records, *end, 400).collect()
+    since = records.where(F.col("updated_at") >= utc(at) - F.expr("INTERVAL 100 DAYS"))
+    assert len(seen) == len(set(seen)) == since.count()
+    assert cursors == sorted(cursors) and cursors[0] == cursors[1]
+
+
+# --- changed sources
 
 
 def test_top_up_fills_once(spark, folder):
@@ -235,10 +279,30 @@ def test_bump_is_the_same_sample_each_time(spark, folder):
 
 def log(spark, rows, start=datetime(2024, 1, 1)):
     """(mode, attempt, seconds, ok) as a batch log."""
-    full = [(m, a, a, start + timedelta(seconds=s), ok, 500 if ok else 0, 0, 500 * a, None, None if ok else "sink: x") for m, a, s, ok in rows]
+    full = [
+        (m, a, a, start + timedelta(seconds=s), ok is True, 500 if ok is True else 0, 0, 500 * a, None, 500 * a + 500, start, a, "", a,
+         start + timedelta(seconds=s) if ok is False else None, None if ok is True else "feed: x" if ok is None else "sink: x")
+        for m, a, s, ok in rows
+    ]
     return spark.createDataFrame(full, S.BATCH_LOG)
 
 
+def health(spark, folder, rows):
+    source, found = B.records(spark, folder).limit(5), B.checkpoints(spark)
+    none = spark.createDataFrame([], S.DEAD_LETTERS)
+    return status.status(source, source, found, none, log(spark, rows), found, now(), incremental_running=True).first()
+
+
+def test_health_is_the_last_attempt_in_time(spark, folder):
+    """A sink that is down for one mode is down, however far the other one got; a feed that fails is not the sink."""
+    down = health(spark, folder, [(S.BACKFILL, 9, 0, True), (S.INCREMENTAL, 1, 5, False), (S.INCREMENTAL, 2, 9, False)])
+    assert (down["health"], down["circuit_reason"], down["circuit_since"]) == ("red", "sink: x", datetime(2024, 1, 1, 0, 0, 9))
+    assert (down["last_read_id"], down["last_read_incremental_id"], down["incremental_running"]) == (5000, 1500, True)
+    for rows in ([(S.INCREMENTAL, 2, 5, False), (S.BACKFILL, 1, 9, True)], [(S.BACKFILL, 1, 1, True), (S.BACKFILL, 2, 2, None)]):
+        up = health(spark, folder, rows)
+        assert (up["health"], up["circuit_reason"], up["circuit_since"]) == ("green", "", None)
+
+
 def test_outages_of_two_modes(spark):
     rows = [(S.BACKFILL, 1, 0, True), (S.BACKFILL, 2, 1, False), (S.BACKFILL, 3, 3, False), (S.BACKFILL, 4, 60, True),
             (S.BACKFILL, 5, 61, False), (S.INCREMENTAL, 1, 0, False), (S.INCREMENTAL, 2, 9, False)]
@@ -285,13 +349,24 @@ def test_gates_pass_for_a_sink_that_has_everything(spark, folder):
     one = lambda **kw: spark.createDataFrame([tuple(kw.values())], list(kw))
     partial = one(expected=500, flagged=3, stored=497, dead_lettered=3, with_context=3)
     args = dict(
-        resume=one(checkpoint_id=40, resumed_id=40), outage=one(sleeps=9, cursor_delta=0, recovery_seconds=23.0),
-        partial=partial, status=one(health="green", lag_count=0),
+        resume=one(checkpoint_id=40, resumed_id=40, read_id=1040), outage=one(sleeps=9, cursor_delta=0, recovery_seconds=23.0),
+        partial=partial, status=one(**{name: 1 for name in reconcile.REQUIRED}),
     )
     good = reconcile.gate_report(reconcile.lost_and_duplicated(source, source, seen), **args)
     assert [r["passed"] for r in good.orderBy("gate").collect()] == [True] * 5
     short = reconcile.gate_report(reconcile.lost_and_duplicated(source, source.where("id <> 3"), seen), **args)
     assert [r["passed"] for r in short.orderBy("gate").collect()] == [False, False, False, True, True]
+    for resume in (one(checkpoint_id=40, resumed_id=41, read_id=41), one(checkpoint_id=40, resumed_id=40, read_id=1041)):
+        told = reconcile.gate_report(reconcile.lost_and_duplicated(source, source, seen), **{**args, "resume": resume})
+        assert [r["passed"] for r in told.orderBy("gate").collect()] == [False, True, True, True, True]
+
+
+def test_reconcile_sees_where_a_null_is(spark):
+    one = people(spark, [(1, "x", None), (2, "e", "n")])
+    other = people(spark, [(1, None, "x"), (2, "e", "n")])
+    spaced = other.withColumn("payload", F.lit('{"a": 1,  "b": 2}')), other.withColumn("payload", F.lit('{"b":2,"a":1}'))
+    assert {r["id"]: r["verdict"] for r in reconcile.by_key(one, other).collect()} == {1: "differs", 2: "ok"}
+    assert {r["verdict"] for r in reconcile.by_key(*spaced).collect()} == {"ok"}
 
 
 # --- sources

@@ -28,7 +28,7 @@ def test_running_max_crosses_ranges(spark):
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
     best = lambda a, b: b if a is None else a if b is None else max(a, b)
     for bits in (2, 5, 40):
-        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=bits, sample=1).collect()
+        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=bits).collect()
         assert {(r["k"], r["seq"]): r["prior"] for r in got} == _expected(rows, best)
         assert len(got) == len(rows)
 
@@ -36,7 +36,7 @@ def test_running_max_crosses_ranges(spark):
 def test_running_sum_starts_at_zero(spark):
     rows = _log(2)
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
-    got = running(df, ["k"], "seq", F.lit(1), "sum", "before", bits=4, sample=1).collect()
+    got = running(df, ["k"], "seq", F.lit(1), "sum", "before", bits=4).collect()
     expected = _expected(rows, lambda a, _: (a or 0) + 1)
     assert {(r["k"], r["seq"]): r["before"] for r in got} == {k: v or 0 for k, v in expected.items()}
 
@@ -46,7 +46,7 @@ def test_running_with_a_start(spark):
     df = spark.createDataFrame(rows, "k BIGINT, seq BIGINT, v BIGINT")
     start = spark.createDataFrame([(1, 2), (2, 9), (8, 1)], "k BIGINT, prior BIGINT")
     for bits in (0, 1, 20):
-        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", start, bits=bits, sample=1).collect()
+        got = running(df, ["k"], "seq", F.col("v"), "max", "prior", start, bits=bits).collect()
         assert {(r["k"], r["seq"]): r["prior"] for r in got} == {(1, 5): 2, (1, 9): 3, (2, 7): 9, (3, 8): None}
 
 
@@ -85,11 +85,27 @@ def test_page_cursors_read_the_table_once_each(spark):
     assert got == expected
 
 
-def test_running_is_the_same_whichever_keys_are_cut(spark, monkeypatch):
-    from tidemark.operators import ordered
+def test_running_reads_its_rows_twice(spark, folder):
+    rows = spark.read.parquet(f"{folder}/events.parquet")
+    plan = running(rows, ["user_id"], "event_id", F.lit(1), "sum", "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
 
-    df = spark.createDataFrame(_log(5), "k BIGINT, seq BIGINT, v BIGINT")
-    run = lambda: sorted(running(df, ["k"], "seq", F.col("v"), "max", "prior", bits=3, sample=1).collect(), key=str)
-    all_cut = run()
-    monkeypatch.setattr(ordered, "HOT_KEYS", 1)
-    assert run() == all_cut
+
+def test_sorted_copy_pages_and_removal(spark):
+    import os
+
+    from tidemark.operators.ordered import SortedCopy
+
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("id"))
+    copy = SortedCopy(rows, ["id"])
+    ids = sorted(r["id"] for r in rows.collect())
+    assert copy.size == 5000
+    for low, high in [(0, 10), (700, 1900), (4990, 6000), (6000, 7000)]:
+        page = copy.page(low, high)
+        assert sorted((r["position"], r["id"]) for r in page.collect()) == list(enumerate(ids))[low:high]
+    assert "PushedFilters: [IsNotNull(_part)" in copy.page(700, 900)._jdf.queryExecution().executedPlan().toString()
+    copy.remove()
+    assert not os.path.exists(copy.path)
+    empty = SortedCopy(rows.limit(0), ["id"])
+    assert empty.size == 0 and empty.page(0, 10).count() == 0
+    empty.remove()

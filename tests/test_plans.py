@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from conftest import SMALL
 from tidemark import catalog
 from tidemark.operators import cursor, consume, upsert
@@ -11,7 +10,7 @@ from tidemark.plans import reconcile
 from tidemark.sources import bindings as B
 from tidemark.sources.tables import read_table
 
-BATCH = [name for name in contract.queries() if not name.startswith(("stream_", "sync_"))]
+BATCH = [name for name in catalog.QUERIES if not name.startswith(("stream_", "sync_"))]
 
 
 def plan(df):

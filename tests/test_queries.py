@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from tidemark import catalog
 from compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.01"  # the smallest with rows past the cursors
@@ -14,7 +15,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
     if name in SQL:

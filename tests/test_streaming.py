@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as S
 from tidemark.functions.times import utc
-from tidemark.operators import consume, synth, upsert
+import synth
+from tidemark.operators import consume, upsert
 from tidemark.operators.dead_letters import has_replay_context, is_open
 from tidemark.operators.validate import accepted, with_error
 from tidemark.plans import batches, reconcile, status
@@ -19,7 +20,7 @@ from tidemark.streaming import consume as consumer, replicate as replication
 from tidemark.streaming.replicate import replay_dead_letters, replicate
 from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
-from tidemark.streaming.throughput import throughput_stream
+from tidemark.streaming.throughput import count_throughput, counted
 
 FILES = 3
 
@@ -67,7 +68,7 @@ def test_stream_equals_batch(spark, split, clean):
     assert log.agg(F.sum("rows"), F.sum("rejected")).first()[:] == (1000, len(dead))
 
 
-@pytest.mark.parametrize("step", ["store_documents", "store_dead_letters", "publish", "_log_attempt"])
+@pytest.mark.parametrize("step", ["store_rows", "store_dead_letters", "publish", "_log_attempt"])
 def test_killed_between_two_outputs(spark, split, clean, tables, monkeypatch, step):
     real, calls = getattr(replication, step), []
     dies_at = 1 if step == "_log_attempt" else 3
@@ -125,15 +126,19 @@ def test_outage_holds_the_cursor_and_is_reported(spark, split, clean, tables):
     assert counted["records_processed"] == 1000
 
 
-def test_incomplete_write_is_not_committed(spark, split, clean, tables, monkeypatch):
-    real = replication.store_documents
-    monkeypatch.setattr(replication, "store_documents", lambda *a: real(*a) - 1)
+def results(documents, refuse="false", error=None):
+    """What a sink answers, item by item."""
+    said = F.when(F.expr(refuse), "rejected").otherwise("created")
+    return documents.select("id", "version", "seq", said.alias("outcome"), F.when(F.expr(refuse), F.lit(error)).alias("error"))
+
+
+def test_incomplete_write_is_not_committed(spark, split, clean, tables):
+    twice = lambda documents: results(documents).union(results(documents))  # more answers than rows
     with pytest.raises(StreamingQueryException, match="IncompleteBatch"):
-        replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+        replicate(rows(spark, split), tables, S.INCREMENTAL, store_to=twice).awaitTermination()
     assert tables.documents(spark).count() == 0
     assert tables.feed(spark).count() == 0
-    monkeypatch.setattr(replication, "store_documents", real)
-    replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+    replicate(rows(spark, split), tables, S.INCREMENTAL, store_to=results).awaitTermination()
     assert everything(spark, tables) == everything(spark, clean)
 
 
@@ -157,11 +162,11 @@ def test_both_modes_overlap(spark, split, clean, tables):
 
 def test_compaction_changes_nothing(spark, split, clean, tables):
     source = rows(spark, split)
-    replicate(source, tables, S.BACKFILL).awaitTermination()
+    replicate(source, tables, S.INCREMENTAL).awaitTermination()
     before = everything(spark, tables)
     tables.compact(spark)
     assert everything(spark, tables) == before == everything(spark, clean)
-    replicate(source, tables, S.INCREMENTAL).awaitTermination()
+    replicate(source, tables, S.BACKFILL).awaitTermination()
     assert everything(spark, tables)[0] == before[0]
     tables.compact(spark)
     tables.compact(spark)
@@ -209,21 +214,26 @@ def test_rejected_again_after_replay(spark, tables):
     send = lambda n: replication.commit_batch(row.withColumn("seq", F.lit(n).cast("bigint")), n, tables, S.INCREMENTAL)
     send(0)
     send(1)
-    assert [r["id"] for r in tables.dead_letters(spark).collect()] == [0]
-    replay_dead_letters(spark, tables, row.limit(0), spark.createDataFrame([(0,)], "id BIGINT"), 0)
+    assert [r["id"] for r in tables.dead_letters(spark).collect()] == [1]
+    replay_dead_letters(spark, tables, row.limit(0), spark.createDataFrame([(1,)], "id BIGINT"), 0)
     send(2)
-    assert {r["id"]: r["status"] for r in tables.dead_letters(spark).collect()} == {0: "replayed", 2: "open"}
+    assert {r["id"]: r["status"] for r in tables.dead_letters(spark).collect()} == {1: "replayed", 5: "open"}
+    # the same arrival number in the other mode is an entry of its own
+    replay_dead_letters(spark, tables, row.limit(0), spark.createDataFrame([(5,)], "id BIGINT"), 1)
+    replication.commit_batch(row.withColumn("seq", F.lit(0).cast("bigint")), 0, tables, S.BACKFILL)
+    assert {r["id"]: r["status"] for r in tables.dead_letters(spark).collect()} == {1: "replayed", 5: "replayed", 0: "open"}
 
 
 def test_consumer_redelivery_and_unreadable(spark, tables):
     body = lambda event, record, version: f'{{"event_id":"{event}","record_id":{record},"version":{version}}}'
     sent = [(1, body("1:1", 1, 1)), (2, body("1:2", 1, 2)), (3, "{broken"), (4, body("1:1", 1, 1)), (5, body("2:1", 2, 1))]
     for n, part in enumerate((sent[:3], sent[3:])):
-        spark.createDataFrame(part, "seq BIGINT, value STRING").coalesce(1).write.parquet(
-            tables.batch_path("feed", S.BACKFILL, n)
-        )
+        spark.createDataFrame(part, "seq BIGINT, value STRING").coalesce(1).write.mode("append").parquet(tables.path("messages"))
+    messages = spark.readStream.schema("seq BIGINT, value STRING").option("maxFilesPerTrigger", 1).parquet(tables.path("messages"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     for run in (consumer.consume, consumer.consume_stateful):
-        run(consumer.feed_stream(spark, tables, 1, as_messages=True), tables).awaitTermination()
+        run(messages, tables).awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
     expected = {("1:1", 1, 1, 1, 1), ("1:2", 1, 2, 0, 2), ("2:1", 2, 1, 0, 5)}
     assert {r[:] for r in consumer.consumed(spark, tables).collect()} == expected
     columns = ["event_id", "record_id", "version", "duplicate_hits", "first_seq"]
@@ -243,17 +253,35 @@ def test_first_deliveries_within_a_time(spark, split, tables):
     assert spark.read.parquet(tables.path("first")).count() == 1000
 
 
-def test_throughput_stream_drops_old_buckets_from_state(spark, split, tables):
-    attempts = B.attempt_rows(stream_table(spark, split, "events", files_per_batch=1))
-    query = throughput_stream(attempts).writeStream.outputMode("append").format("parquet").option(
-        "checkpointLocation", tables.path("_checkpoints/t")
-    ).trigger(availableNow=True).start(tables.path("t"))
-    query.awaitTermination()
-    got = {r["bucket"]: r["rows"] for r in spark.read.parquet(tables.path("t")).collect()}
-    log = B.attempts(spark, split)
-    expected = {r["bucket"]: r["rows"] for r in batches.throughput(log).collect()}
-    assert set(got.items()) <= set(expected.items())
-    assert len(expected) - len(got) <= 2  # those the watermark has not passed yet
+def test_throughput_counts_rows_whatever_their_time(spark, tables):
+    """Files out of time order, a day apart: every row is counted; only buckets expire."""
+    at = lambda day, n: [(datetime(2024, 1, day, 12, 0, k), True, 500) for k in range(n)]
+    for day, n in ((2, 3), (3, 4), (1, 5)):
+        part = spark.createDataFrame(at(day, n), "attempted_at TIMESTAMP_NTZ, ok BOOLEAN, rows BIGINT")
+        part.coalesce(1).write.mode("append").parquet(tables.path("attempts"))
+    source = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(tables.path("attempts"))
+    count_throughput(source, tables.path("t"), "1 hour").awaitTermination()
+    got = {r["bucket"].day: r["rows"] for r in counted(spark, tables.path("t")).collect()}
+    assert got == {2: 1500, 3: 2000, 1: 2500}
+    recent = counted(spark, tables.path("t"), utc("2024-01-03 13:00:00"), "26 HOURS")
+    assert {r["bucket"].day for r in recent.collect()} == {2, 3}
+
+
+def test_a_late_old_file_is_read(spark, tables):
+    import os
+    import time
+
+    rows = read_table(spark, "/root/testdata/sf0.001", "events")
+    for n in range(4):
+        folder = tables.path("late/events.parquet")
+        before = set(os.listdir(folder)) if n else set()
+        rows.where(F.col("event_id") % 4 == n).coalesce(1).write.mode("append").parquet(folder)
+        if n == 2:
+            for name in set(os.listdir(folder)) - before:
+                os.utime(f"{folder}/{name}", (time.time() - 30 * 86400,) * 2)
+        if n in (1, 3):  # the third file is found with the fourth, and is a month old
+            replicate(B.unordered(stream_table(spark, tables.path("late"), "events", 1)), tables, S.INCREMENTAL).awaitTermination()
+    assert tables.feed(spark).count() == 1000
 
 
 def test_status_of_a_replication_has_every_field(spark, split, clean):
@@ -265,14 +293,15 @@ def test_status_of_a_replication_has_every_field(spark, split, clean):
         source, clean.state(spark), found, clean.dead_letters(spark), clean.batch_log(spark), found, utc("2024-03-01")
     )
     facts = row.first().asDict()
-    assert None not in facts.values()
+    assert all(facts[name] is not None for name in reconcile.REQUIRED)
+    assert facts["circuit_since"] is None and facts["last_read_incremental_id"] is not None
     assert facts["health"] == "green" and facts["records_processed"] == 1000 and facts["lag_count"] == 0
     assert status.status_lines(row).where("value IS NULL").count() == 0
     assert status.metric_rows(row).where("value IS NULL").count() == 0
 
 
 def test_sync_of_a_changing_table_survives_a_kill(spark, tables, folder, monkeypatch):
-    source = B.records(spark, folder).where("id > 0")
+    source = B.records(spark, folder).withColumn("id", F.col("id") - 100)  # ids of 0 and below too
     boot = datetime(2002, 1, 1)
     real, calls = replication.publish, []
 
@@ -285,8 +314,8 @@ def test_sync_of_a_changing_table_survives_a_kill(spark, tables, folder, monkeyp
     monkeypatch.setattr(replication, "publish", dies_once)
     with pytest.raises(RuntimeError):
         sync(source, tables, S.BACKFILL, boot, rows_per_batch=400)
-    killed_at = tables.checkpoints(spark).first()["cursor_id"]
-    assert killed_at == 800
+    ordered = sorted(r["id"] for r in source.collect())
+    assert tables.checkpoints(spark).first()["cursor_id"] == ordered[799]
     assert sync(source, tables, S.BACKFILL, boot, rows_per_batch=400) == 2
     assert sync(source, tables, S.BACKFILL, boot, rows_per_batch=400) == 0
     assert {r["verdict"] for r in reconcile.by_key(source.where("not poison"), tables.state(spark)).collect()} == {"ok"}
@@ -305,3 +334,166 @@ def test_sync_of_a_changing_table_survives_a_kill(spark, tables, folder, monkeyp
     assert sync(late, tables, S.INCREMENTAL, boot) == 0
     assert sync(late, tables, S.INCREMENTAL, boot, overlap="2 HOURS") == 1
     assert tables.state(spark).where("id = 5").first()["version"] == 99
+
+
+def test_sync_then_a_stream_in_the_same_mode(spark, split, tables, folder):
+    """Batch numbers are the log's: nobody writes over another one's, and a new checkpoint starts new ones."""
+    source = B.records(spark, folder).withColumn("id", F.col("id") + 10**9)
+    sync(source, tables, S.INCREMENTAL, datetime(1900, 1, 1), rows_per_batch=600)
+    before = tables.state(spark).count()
+    replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+    both = before + upsert.upsert(None, B.unordered(read_table(spark, split, "events"))).count()
+    assert tables.state(spark).count() == both and tables.feed(spark).count() == source.count() + 1000
+    anew = ReplicationTables(tables.root)
+    lost = rows(spark, split).writeStream.foreachBatch(
+        lambda r, n: replication.commit_batch(r, n, anew, S.INCREMENTAL, owner="another checkpoint")
+    )
+    lost.option("checkpointLocation", tables.path("_checkpoints/other")).trigger(availableNow=True).start().awaitTermination()
+    assert tables.state(spark).count() == both and tables.feed(spark).count() == source.count() + 2000
+    ids = [r["id"] for r in tables.dead_letters(spark).collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_both_modes_at_the_same_time(spark, split, clean, tables):
+    running = [replicate(rows(spark, split), tables, mode) for mode in (S.BACKFILL, S.INCREMENTAL)]
+    for query in running:
+        query.awaitTermination()
+    assert everything(spark, tables)[0] == everything(spark, clean)[0]
+    found = tables.dead_letters(spark)
+    assert found.where(is_open()).count() == found.select("record_id", "version", "sink").distinct().count()
+    assert found.count() == found.select("id").distinct().count()
+    assert tables.feed(spark).count() == 2000
+
+
+def test_a_source_that_grows_inside_a_page(spark, tables, folder, monkeypatch):
+    """Rows that appear while a page is committed are left for the next call; numbers are used once."""
+    stored = new_dir(spark, "growing")
+    records = B.records(spark, folder)
+    records.where("id % 2 = 0").coalesce(1).write.parquet(stored)
+    real = replication.store_rows
+
+    def grows(*args):
+        records.where("id % 2 = 1").coalesce(1).write.mode("append").parquet(stored)
+        monkeypatch.setattr(replication, "store_rows", real)
+        return real(*args)
+
+    monkeypatch.setattr(replication, "store_rows", grows)
+    growing = lambda: spark.read.schema(records.schema).parquet(stored)
+    sync(growing(), tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=200)
+    feed = tables.feed(spark)
+    even = records.where("id % 2 = 0").count()
+    assert feed.count() == feed.select("seq").distinct().count() == even
+    sync(growing(), tables, S.INCREMENTAL, datetime(1900, 1, 1), rows_per_batch=500)
+    feed = tables.feed(spark)
+    assert feed.select("seq").distinct().count() == feed.count() == records.count() + even
+
+
+def test_sink_rejects_items_by_itself(spark, tables, folder):
+    """3 of 500 rejected by the sink: 497 stored, 3 dead-lettered, and replayed through the same sink."""
+    source = B.records(spark, folder).where("NOT poison").limit(500).withColumn("seq", F.col("id")).cache()
+    bad = [r["id"] for r in source.orderBy("id").limit(3).collect()]
+    sent = []
+
+    def sink(documents, refuse=f"id IN ({bad[0]}, {bad[1]}, {bad[2]})"):
+        sent.append(documents.count())
+        answered = results(documents, refuse, "mapper_parsing_exception")
+        return answered.where(f"id <> {bad[2]}")  # one is not answered at all
+
+    replication.commit_batch(source, 0, tables, S.BACKFILL, store_to=sink)
+    assert tables.documents(spark).count() == 497 and tables.feed(spark).count() == 500
+    entries = tables.dead_letters(spark)
+    assert {r["record_id"]: r["error"] for r in entries.collect()} == {
+        bad[0]: "mapper_parsing_exception", bad[1]: "mapper_parsing_exception", bad[2]: S.MISSING_RESULT_ERROR
+    }
+    assert entries.where(has_replay_context()).count() == 3
+    again = replay_dead_letters(spark, tables, source.select(*S.RECORD_COLUMNS), entries.select("id"), 0, store_to=sink)
+    assert again.where("ok").count() == 0 and tables.dead_letters(spark).where(is_open()).count() == 3
+    healed = lambda documents: sink(documents, "false").unionByName(results(documents.where(f"id = {bad[2]}")))
+    published = []
+    again = replay_dead_letters(
+        spark, tables, source.select(*S.RECORD_COLUMNS), entries.select("id"), 1, store_to=healed, publish_to=lambda m: published.append(m.count())
+    )
+    assert again.where("ok").count() == 3 and published == [3] and sent == [500, 3, 3]
+    assert tables.dead_letters(spark).where(is_open()).count() == 0 and tables.state(spark).count() == 500
+
+
+def test_replay_keeps_the_rules(spark, tables, folder):
+    rules = [("too long", F.length("email") > 0)]
+    source = B.records(spark, folder).limit(4).withColumn("seq", F.col("id")).cache()
+    replication.commit_batch(source, 0, tables, S.BACKFILL, rules)
+    said = replay_dead_letters(spark, tables, source.select(*S.RECORD_COLUMNS), tables.dead_letters(spark).select("id"), 0, rules)
+    assert {(r["ok"], r["reason"]) for r in said.collect()} == {(False, "too long")} and tables.state(spark).count() == 0
+
+
+def test_failed_attempts_hold_the_cursor_in_the_log(spark, split, tables):
+    """Outages and their gate from a log that replication wrote itself."""
+    calls = []
+
+    def sink(documents):
+        calls.append(1)
+        if 2 <= len(calls) <= 4:
+            raise ConnectionError("x" * 5000)
+
+    for _ in range(4):
+        try:
+            replicate(rows(spark, split), tables, S.INCREMENTAL, store_to=sink).awaitTermination()
+        except StreamingQueryException:
+            pass
+    log = tables.batch_log(spark)
+    outage = batches.outages(log).first()
+    assert (outage["failed_attempts"], outage["cursor_delta"]) == (3, 0) and outage["recovered_at"] is not None
+    assert log.where("NOT ok").agg(F.min(F.length("error"))).first()[0] > 5000
+    assert log.where("NOT ok").select("since").distinct().count() == 1
+    assert [r["attempt"] for r in log.orderBy("attempt").collect()] == list(range(6))
+
+
+def test_batches_read_no_more_files_after_compaction(spark, tables, folder):
+    small = ReplicationTables(tables.root, generation=4)
+    source = B.records(spark, folder).where("id < 400").withColumn("seq", F.col("id"))
+
+    def looked_at():
+        frames = [small.dead_letters(spark, only_open=True), small.batch_log(spark), small.state(spark)]
+        return sum(len(f.inputFiles()) for f in frames)
+
+    counts = []
+    for n in range(24):
+        part = source.where(F.col("id") % 24 == n).withColumn("poison", F.col("id") % 5 == 0)
+        replication.commit_batch(part.coalesce(1), n, small, S.INCREMENTAL)
+        if n % 8 == 7:
+            small.compact(spark)
+            counts.append(looked_at())
+    assert max(counts) <= counts[0] + 2
+    assert small.feed(spark).count() == source.count()
+    assert small.state(spark).count() + small.dead_letters(spark).count() == source.count()
+    assert [r["b"] for r in small.batch_log(spark).select(F.max("batch_id").alias("b")).collect()] == [23]
+
+
+def test_consumer_counts_are_folded(spark, split, clean, tables):
+    replicate(rows(spark, split), tables, S.INCREMENTAL).awaitTermination()
+    consumer.consume(consumer.feed_stream(spark, tables, 1), tables, compact_every=2).awaitTermination()
+    folded = tables.read(spark, "consumed_upto", "event_id STRING, batch_id BIGINT")
+    assert folded.count() > 0
+    seen = consumer.consumed(spark, tables)
+    assert seen.agg(F.sum(F.col("duplicate_hits") + 1)).first()[0] == 1000
+    assert seen.count() == tables.feed(spark).select("event_id").distinct().count()
+
+
+def test_sync_reads_its_source_a_fixed_number_of_times(spark, tables, folder):
+    """However many pages: the scan for the sort's ranges, and the scan that is sorted."""
+    reads = spark.sparkContext.accumulator(0)
+    records = B.records(spark, folder)
+
+    def count(rows):
+        reads.add(1)
+        yield from rows
+
+    def counted_rows():
+        return records.coalesce(1).mapInArrow(count, records.schema)
+
+    times = []
+    for pages in (1, 6):
+        before = reads.value
+        into = ReplicationTables(new_dir(spark, "pages"))
+        assert sync(counted_rows(), into, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=1500 // pages) == pages
+        times.append(reads.value - before)
+    assert times[0] == times[1] <= 2

@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schema as S
 from tidemark.functions.documents import event_id, to_documents
 from tidemark.functions.times import utc
-from tidemark.operators import consume, cursor, dead_letters, feed, search, synth, upsert
+from tidemark.operators import consume, cursor, dead_letters, feed, sample, search, upsert
 from tidemark.operators.validate import accepted, rejected, with_error
 from tidemark.plans import batches, reconcile, status
 from tidemark.session import new_dir
 from tidemark.sources import bindings as B
-from tidemark.sources.tables import read_table, spread, stream_table
+from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming import consume as feed_consumer
 from tidemark.streaming.replicate import replay_dead_letters, replicate
 from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
-from tidemark.streaming.throughput import throughput_stream
+from tidemark.streaming.throughput import count_throughput, counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,9 +50,10 @@ TABLE_SQL = {
  {DOCUMENT_SQL} AS payload, '{S.POISON_ERROR}' AS error, CASE WHEN seq % 3 = 0 THEN 'open' ELSE 'replayed' END AS status,
  updated_at AS created_at, CASE WHEN seq % 3 <> 0 THEN updated_at + INTERVAL 1 HOUR END AS replayed_at
  FROM changes WHERE poison AND (seq % 3 = 0 OR seq % 5 = 0)""",
-    "attempts": f"""SELECT mode, batch_id, attempt, attempted_at, ok, rows, rejected, error,
- (sum(rows) OVER (PARTITION BY mode ORDER BY attempt))::BIGINT AS cursor_id FROM (
- SELECT CASE WHEN event_id % 2 = 0 THEN 'backfill' ELSE 'incremental' END AS mode, event_id AS batch_id, event_id AS attempt,
+    "attempts": f"""SELECT mode, batch_id, attempt, attempted_at, ok, rows, rejected, error, read_ts, since,
+ (sum(rows) OVER (PARTITION BY mode ORDER BY attempt))::BIGINT AS cursor_id,
+ (sum(rows) OVER (PARTITION BY mode ORDER BY attempt))::BIGINT + CASE WHEN ok THEN 0 ELSE 500 END AS read_id FROM (
+ SELECT ts AS read_ts, CASE WHEN event_type = 'error' AND event_id % 7 <> 0 THEN ts END AS since, CASE WHEN event_id % 2 = 0 THEN 'backfill' ELSE 'incremental' END AS mode, event_id AS batch_id, event_id AS attempt,
  ts AS attempted_at, event_type <> 'error' AS ok, CASE WHEN event_type = 'error' THEN 0 ELSE 500 END AS rows,
  CASE WHEN event_type = 'error' THEN 0 ELSE event_id % 3 END AS rejected,
  CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 7 = 0 THEN '{B.FEED_DOWN}' ELSE '{B.SINK_DOWN}' END END AS error
@@ -633,13 +634,17 @@ def counters(spark, folder):
 
 STATUS_SQL = f"""SELECT CASE WHEN circuit THEN 'red' ELSE 'green' END AS health, NOT circuit AS healthy, 'effectively-once' AS guarantee,
  {B.CHECKPOINT_ID}::BIGINT AS resumed_backfill, {B.TIED_ID}::BIGINT AS resumed_incremental, true AS backfill_running,
- backfill_cursor, last_read_id, backfill_percent, source_count, max_id, {B.TIED_ID}::BIGINT AS incremental_cursor_id,
+ false AS incremental_running, backfill_cursor, last_read_id, last_read_incremental.read_id AS last_read_incremental_id,
+ last_read_incremental.read_ts AS last_read_incremental_ts, backfill_percent, source_count, max_id, {B.TIED_ID}::BIGINT AS incremental_cursor_id,
  TIMESTAMP '{B.CHECKPOINT_TS}' AS incremental_cursor_ts, lag_count, lag_seconds, rows_per_second AS throughput_per_sec,
  (SELECT count(*) FROM dlq WHERE status = 'open') AS dlq_open, circuit AS circuit_open,
- (SELECT coalesce(error, '') FROM attempts ORDER BY attempt DESC LIMIT 1) AS circuit_reason, (SELECT count(*) FROM sink) AS sink_docs,
+ CASE WHEN circuit THEN last_error ELSE '' END AS circuit_reason, CASE WHEN circuit THEN last_since END AS circuit_since, (SELECT count(*) FROM sink) AS sink_docs,
  backoff_sleeps, es_transport_errors, dlq_written, rabbit_errors, records_processed
  FROM ({PROGRESS_SQL}), ({LAG_SQL.format(as_of='(SELECT max(ts) FROM events)')}), ({RATE_SQL}), ({COUNTERS_SQL}),
- (SELECT NOT arg_max(ok, attempt) AS circuit, coalesce(max(cursor_id) FILTER (mode = 'backfill'), 0) AS last_read_id FROM attempts)"""
+ (SELECT coalesce(arg_max(coalesce(error, ''), (attempted_at, attempt)) LIKE 'sink:%', false) AS circuit,
+ arg_max(coalesce(error, ''), (attempted_at, attempt)) AS last_error, arg_max(since, (attempted_at, attempt)) AS last_since,
+ coalesce(max(read_id) FILTER (mode = 'backfill'), 0) AS last_read_id,
+ arg_max({{'read_id': read_id, 'read_ts': read_ts}}, (attempted_at, attempt)) FILTER (mode = 'incremental') AS last_read_incremental FROM attempts)"""
 STATUS_TABLES = "records sink dlq attempts"
 
 
@@ -763,8 +768,9 @@ GATES_SQL = f"""WITH c AS ({LOST_SQL}), o AS (SELECT sum(failed_attempts)::BIGIN
  p AS (SELECT count(*) FILTER (NOT poison) AS stored, count(*) FILTER (poison) AS flagged, count(*) AS expected FROM changes),
  d AS (SELECT count(*) AS dead_lettered FROM ({NEW_ENTRIES_SQL})),
  x AS (SELECT count(*) FILTER (json_exists(payload, '$.email') AND length(error) > 0 AND length(batch_id) > 0) AS with_context FROM ({NEW_ENTRIES_SQL}))
- SELECT 'G1' AS gate, sink_rows = source_rows AND lost = 0 AS passed,
- 'checkpoint={B.CHECKPOINT_ID} resumed={B.CHECKPOINT_ID} lost=' || lost AS detail FROM c
+ SELECT 'G1' AS gate, cp > 0 AND cp = {B.CHECKPOINT_ID} AND read_id - cp <= 1000 AND sink_rows = source_rows AND lost = 0 AS passed,
+ 'killed at ' || read_id || ' resumed={B.CHECKPOINT_ID} checkpoint=' || cp || ' lost=' || lost AS detail FROM c, (
+ SELECT arg_max(cursor_id, attempt) FILTER (ok) AS cp, max(read_id) AS read_id FROM attempts WHERE mode = 'backfill')
  UNION ALL SELECT 'G2', sink_rows = source_rows AND lost = 0 AND distinct_records = source_rows AND duplicates = 0,
  'source=' || source_rows || ' sink=' || sink_rows || ' distinct=' || distinct_records || ' duplicates=' || duplicates
  || ' deduplicated=' || deduplicated FROM c
@@ -772,7 +778,7 @@ GATES_SQL = f"""WITH c AS ({LOST_SQL}), o AS (SELECT sum(failed_attempts)::BIGIN
  'sleeps=' || sleeps || ' cursor_delta=' || cursor_delta || ' lost=' || lost FROM c, o
  UNION ALL SELECT 'G4', stored = expected - flagged AND dead_lettered = flagged AND with_context >= flagged,
  'stored=' || stored || ' dead_lettered=' || dead_lettered || ' with_context=' || with_context FROM p, d, x
- UNION ALL SELECT 'G5', source_count IS NOT NULL, 'fields=25' FROM ({STATUS_SQL})"""
+ UNION ALL SELECT 'G5', source_count IS NOT NULL, 'fields=17' FROM ({STATUS_SQL})"""
 
 
 @query("gate_report", given("records sink deliveries dlq attempts", f"SELECT * FROM ({GATES_SQL})"))
@@ -796,10 +802,10 @@ def gate_report(spark, folder):
     partial = partial.withColumn("_e", entry_counts).select(
         "expected", "flagged", "stored", F.col("_e.n").alias("dead_lettered"), F.col("_e.ctx").alias("with_context")
     )
-    resume = cursor.checkpoint(found, S.BACKFILL).select(
-        F.col("cursor_id").alias("checkpoint_id"),
-        cursor.resume_positions(found).select(S.BACKFILL).scalar().alias("resumed_id"),
-    )
+    log = B.attempts(spark, folder).where(F.col("mode") == S.BACKFILL)
+    resume = log.agg(
+        F.max_by("cursor_id", F.when(F.col("ok"), F.col("attempt"))).alias("checkpoint_id"), F.max("read_id").alias("read_id")
+    ).withColumn("resumed_id", cursor.resume_positions(found).select(S.BACKFILL).scalar())
     return reconcile.gate_report(
         lost_dupes(spark, folder), resume, outage, partial, status_row(spark, folder)
     )
@@ -859,7 +865,7 @@ SEARCH_MANY_SQL = f"""SELECT query_id, rank, id FROM (SELECT query_id, id, row_n
 
 @query("search_many", given("text_records", SEARCH_MANY_SQL))
 def search_many(spark, folder):
-    return search.search_many(spread(B.text_records(spark, folder)), B.text_queries(spark, folder))
+    return search.search_many(B.text_records(spark, folder), B.text_queries(spark, folder))
 
 
 @query(
@@ -872,83 +878,47 @@ def newest_text_ids(spark, folder):
     return search.by_number(text, descending=True).limit(100)
 
 
-# --- rows added to and changed in the source ------------------------------------------------------
+# --- samples --------------------------------------------------------------------------------------
 
 NOW_SQL = f"TIMESTAMP '{B.AS_OF}'"
 
 
-@query(
-    "topup_rows",
-    given(
-        "records",
-        f"""SELECT {RECORD_SQL} FROM records UNION ALL
- SELECT (SELECT max(id) FROM records) + g - n, 'user' || g || '@example.com', 'User ' || g, to_json({{'seq': g, 'tier': g % 5}})::VARCHAR,
- 1, false, {NOW_SQL}, {NOW_SQL} FROM (SELECT n, unnest(generate_series(n + 1, 2 * n)) AS g FROM (SELECT count(*) AS n FROM records))""",
-    ),
-)
-def topup_rows(spark, folder):
-    records = B.records(spark, folder)
-    return synth.top_up(records, 2 * records.count(), B.as_of())
+SAMPLED = 10
+PICKED_SQL = f"SELECT id FROM records ORDER BY md5('0:' || id), id LIMIT {SAMPLED}"
 
 
-@query(
-    "flagged_batch",
-    given(
-        "records",
-        f"""SELECT id, version, CASE WHEN poison THEN 'rejected' ELSE 'created' END AS outcome, email FROM (
- SELECT id, version, poison, email FROM records UNION ALL SELECT (SELECT max(id) FROM records) + g, 1, g <= 3,
- 'poison-batch-' || g || '-' || epoch({NOW_SQL})::BIGINT || '@example.com' FROM (SELECT unnest(generate_series(1, 500)) AS g))""",
-    ),
-)
-def flagged_batch(spark, folder):
+@query("sample_ids", given("records", f"SELECT id FROM records WHERE id IN ({PICKED_SQL})"))
+def sample_ids(spark, folder):
     records = B.records(spark, folder)
-    rows = records.unionByName(synth.flagged_batch(records, B.as_of()))
-    sent = rows.withColumn("seq", F.col("id"))
-    return upsert.outcomes(sent).select("id", "version", "outcome").join(rows.select("id", "email"), "id")
-
+    return records.join(sample.sample_ids(records, SAMPLED), "id", "left_semi").select("id")
 
-PICKED_SQL = "SELECT id FROM records ORDER BY md5('0:' || id), id LIMIT 10"
 
-
-@query(
-    "bump_sample",
-    given(
-        "records",
-        f"""SELECT id, email, name, payload, CASE WHEN bumped THEN version + 1 ELSE version END AS version, poison,
- CASE WHEN bumped THEN {NOW_SQL} ELSE updated_at END AS updated_at, created_at, bumped
- FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records)""",
-    ),
-)
-def bump_sample(spark, folder):
-    return synth.bump(B.records(spark, folder), B.as_of())
+# --- streams --------------------------------------------------------------------------------------
 
 
-@query("sample_ids", given("records", f"SELECT id FROM records WHERE id IN ({PICKED_SQL})"))
-def sample_ids(spark, folder):
-    records = B.records(spark, folder)
-    return records.join(synth.sample_ids(records, synth.BUMPED_ROWS), "id", "left_semi").select("id")
+FILES = 4
 
 
-@query(
-    "insert_record",
-    given(
-        "records",
-        f"""SELECT {RECORD_SQL} FROM records UNION ALL SELECT max(id) + 1, 'poison@example.com', 'Poison Record', '{{}}', 1, true,
- {NOW_SQL}, {NOW_SQL} FROM records""",
-    ),
-)
-def insert_record(spark, folder):
-    return synth.insert_record(B.records(spark, folder), "poison@example.com", "Poison Record", B.as_of(), poison=True)
+def _split_events(spark: SparkSession, folder: str) -> str:
+    """The events as files of their own in arrival order, so that a stream takes several batches."""
+    root = new_dir(spark, "events")
+    events = read_table(spark, folder, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    width = (last - first) // FILES + 1
+    for n in range(FILES):
+        part = events.where(F.col("event_id").between(first + n * width, first + (n + 1) * width - 1))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/events.parquet")
+    return root
 
 
-# --- streams --------------------------------------------------------------------------------------
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_table(spark, _split_events(spark, folder), "events", files_per_batch=1)
 
 
 def _replicated(spark: SparkSession, folder: str) -> ReplicationTables:
-    """The changes of all events replicated as a stream into a new folder."""
+    """The changes of all events replicated as a stream of several batches into a new folder."""
     tables = ReplicationTables(new_dir(spark, "replica"))
-    rows = B.unordered(stream_table(spark, folder, "events"))
-    replicate(rows, tables, S.INCREMENTAL).awaitTermination()
+    replicate(B.unordered(_event_stream(spark, folder)), tables, S.INCREMENTAL).awaitTermination()
     return tables
 
 
@@ -967,29 +937,82 @@ def stream_compacted_state(spark, folder):
     return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
 
 
+@query("stream_both_modes", given("unordered", STATE_SQL.format(table="unordered")))
+def stream_both_modes(spark, folder):
+    """Both modes at once on the same tables: every row twice, and the state of one."""
+    tables = ReplicationTables(new_dir(spark, "replica"))
+    root = _split_events(spark, folder)
+    source = lambda: B.unordered(stream_table(spark, root, "events", files_per_batch=1))
+    for running in [replicate(source(), tables, mode) for mode in (S.BACKFILL, S.INCREMENTAL)]:
+        running.awaitTermination()
+    return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
+
+
+def _changed(records: DataFrame) -> DataFrame:
+    """The source later on: some rows at their next version."""
+    picked = sample.sample_ids(records, SAMPLED).withColumn("_new", F.lit(True))
+    new = F.col("_new").isNotNull()
+    return records.join(picked, "id", "left").select(
+        *[
+            F.when(new, {"version": F.col("version") + 1, "updated_at": B.as_of()}[c]).otherwise(F.col(c)).alias(c)
+            if c in ("version", "updated_at")
+            else F.col(c)
+            for c in S.RECORD_COLUMNS
+        ]
+    )
+
+
 @query(
     "sync_state",
     given(
         "records",
         f"""SELECT id, email, name, payload, CASE WHEN bumped THEN version + 1 ELSE version END AS version, poison,
  CASE WHEN bumped THEN {NOW_SQL} ELSE updated_at END AS updated_at, created_at
- FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records) WHERE NOT poison AND (id > 0 OR bumped)""",
+ FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records) WHERE NOT poison""",
     ),
 )
 def sync_state(spark, folder):
-    """A backfill in two or more pages, source rows changed after it, and an incremental sync."""
+    return _synced(spark, folder).state(spark).select(*S.RECORD_COLUMNS)
+
+
+def _synced(spark: SparkSession, folder: str) -> ReplicationTables:
+    """A backfill in two pages, source rows changed after it, and an incremental sync."""
     tables = ReplicationTables(new_dir(spark, "sync"))
     records = B.records(spark, folder)
     started = datetime(1999, 12, 31)
     sync(records, tables, S.BACKFILL, started, rows_per_batch=records.count() // 2 + 1)
-    sync(synth.bump(records, B.as_of()), tables, S.INCREMENTAL, started)
-    return tables.state(spark).select(*S.RECORD_COLUMNS)
+    sync(_changed(records), tables, S.INCREMENTAL, started)
+    return tables
+
+
+@query(
+    "sync_feed",
+    given(
+        "records",
+        f"""SELECT id || ':' || version AS event_id, id AS record_id, version, 'backfill' AS mode FROM records
+ UNION ALL SELECT id || ':' || (version + 1), id, version + 1, 'incremental' FROM records WHERE id IN ({PICKED_SQL})""",
+    ),
+)
+def sync_feed(spark, folder):
+    return _synced(spark, folder).feed(spark).select("event_id", "record_id", "version", "mode")
+
+
+@query(
+    "sync_dead_letters",
+    given(
+        "records",
+        f"""SELECT id AS record_id, version, '{S.POISON_ERROR}' AS error, 'open' AS status FROM records WHERE poison
+ UNION ALL SELECT id, version + 1, '{S.POISON_ERROR}', 'open' FROM records WHERE poison AND id IN ({PICKED_SQL})""",
+    ),
+)
+def sync_dead_letters(spark, folder):
+    return _synced(spark, folder).dead_letters(spark).select("record_id", "version", "error", "status")
 
 
 def _first_rejected_sql(status_sql: str) -> str:
-    return f"""SELECT seq AS id, id AS record_id, version, 'elasticsearch' AS sink, {DOCUMENT_SQL} AS payload,
- '{S.POISON_ERROR}' AS error, {status_sql} AS status FROM unordered WHERE poison
- QUALIFY row_number() OVER (PARTITION BY id, version ORDER BY seq) = 1"""
+    return f"""SELECT (row_number() OVER (ORDER BY seq) - 1) * 4 + 1 AS id, record_id, version, sink, payload, error,
+ {status_sql} AS status FROM (SELECT seq, id AS record_id, version, 'elasticsearch' AS sink, {DOCUMENT_SQL} AS payload,
+ '{S.POISON_ERROR}' AS error FROM unordered WHERE poison QUALIFY row_number() OVER (PARTITION BY id, version ORDER BY seq) = 1)"""
 
 
 @query("stream_dead_letters", given("unordered", _first_rejected_sql("'open'")))
@@ -1002,13 +1025,13 @@ def stream_dead_letters(spark, folder):
     "stream_replay",
     given(
         "unordered",
-        _first_rejected_sql("CASE WHEN seq % 2 = 0 THEN 'replayed' ELSE 'open' END"),
+        _first_rejected_sql("CASE WHEN row_number() OVER (ORDER BY seq) % 2 = 1 THEN 'replayed' ELSE 'open' END"),
     ),
 )
 def stream_replay(spark, folder):
     """Every second dead letter of a replicated stream sent again and marked."""
     tables = _replicated(spark, folder)
-    every_second = tables.dead_letters(spark).where(F.col("id") % 2 == 0).select("id")
+    every_second = tables.dead_letters(spark).where(F.col("id") % 8 == 1).select("id")
     replay_dead_letters(spark, tables, B.records(spark, folder), every_second, 0)
     return tables.dead_letters(spark).select("id", "record_id", "version", "sink", "payload", "error", "status")
 
@@ -1060,16 +1083,7 @@ def stream_consume_stateful(spark, folder):
 
 @query("stream_throughput", ORACLES["throughput_hourly"])
 def stream_throughput(spark, folder):
-    """Buckets as the stream updates them; the last update of each is the count."""
+    """Hourly buckets of a stream, from several batches."""
     root = new_dir(spark, "throughput")
-    buckets = throughput_stream(B.attempt_rows(stream_table(spark, folder, "events")), "1 hour")
-
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{root}/buckets/batch_id={batch_id}")
-
-    buckets.writeStream.outputMode("update").foreachBatch(write).option(
-        "checkpointLocation", f"{root}/_checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
-    updates = spark.read.schema("bucket TIMESTAMP, rows BIGINT, batch_id BIGINT").parquet(f"{root}/buckets")
-    last = upsert.current_state(updates, "bucket", ("batch_id",))
-    return last.select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "rows")
+    count_throughput(B.attempt_rows(_event_stream(spark, folder)), root, "1 hour").awaitTermination()
+    return counted(spark, root)

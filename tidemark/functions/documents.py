@@ -48,8 +48,8 @@ def document_json() -> Column:
     return F.to_json(F.struct(*document_fields(payload_object())))
 
 
-def to_documents(rows: DataFrame) -> DataFrame:
-    return rows.select(*document_fields(payload_or_empty()))
+def to_documents(rows: DataFrame, *also: str) -> DataFrame:
+    return rows.select(*document_fields(payload_or_empty()), *also)
 
 
 def event_id(record_id="id", version="version") -> Column:

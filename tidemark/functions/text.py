@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # What separates words, and what counts as an id query.
-WORD_CHARACTER = r"[\p{L}\p{N}_]"
-WORD_BREAK = r"[^\p{L}\p{N}_]+"
+WORD_BREAK = r"[^\p{L}\p{N}\p{M}_]+"
+ALONE = r"([\p{IsHan}\p{IsHiragana}]\p{M}*)"  # each a word of its own
+BLANK = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 ID_QUERY = r"^[0-9]+$"
 # End of fixed values.
 
@@ -14,26 +15,22 @@ ID_QUERY = r"^[0-9]+$"
 def tokens(text: Column) -> Column:
     """Distinct lower-case words of a text.
 
-    Runs of letters, digits and underscores; a search server's Unicode word-break rules keep some
-    strings whole (``example.com``) that this splits.
+    Runs of letters, digits, underscores and the marks that go with them; Han and Hiragana characters
+    stand alone. A search server's Unicode word-break rules keep some strings whole
+    (``example.com``) that this splits.
     """
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), WORD_BREAK)), "")
+    apart = F.regexp_replace(F.lower(text), ALONE, " $1 ")
+    return F.array_remove(F.array_distinct(F.split(apart, WORD_BREAK)), "")
 
 
 def shares_word(text: Column, query: Column) -> Column:
-    """Whether the text has any word of the query, without splitting the text.
-
-    For a literal query the pattern is a constant, compiled once.
-    """
-    words = tokens(query)
-    any_word = F.concat(
-        F.lit(f"(?<!{WORD_CHARACTER})(?:"), F.array_join(words, "|"), F.lit(f")(?!{WORD_CHARACTER})")
-    )
-    return (F.size(words) > 0) & F.rlike(F.lower(text), any_word)
+    """Whether the text has any word of the query."""
+    return F.arrays_overlap(tokens(text), tokens(query))
 
 
 def trimmed(query: Column) -> Column:
-    return F.trim(F.coalesce(query, F.lit("")))
+    """Without white space of any kind at either end."""
+    return F.btrim(F.coalesce(query, F.lit("")), F.lit(BLANK))
 
 
 def is_id_query(query: Column) -> Column:
@@ -41,5 +38,6 @@ def is_id_query(query: Column) -> Column:
 
 
 def contains_ignoring_case(column: Column, query: Column) -> Column:
-    """``%`` and ``_`` in the query keep their LIKE meaning."""
-    return F.ilike(column, F.concat(F.lit("%"), query, F.lit("%")))
+    """``%`` and ``_`` in the query keep their LIKE meaning; a backslash takes the next character as it is."""
+    escaped = F.regexp_replace(query, r"(?<!\\)((?:\\\\)*)\\([^%_\\])", "$1$2")
+    return F.ilike(column, F.concat(F.lit("%"), escaped, F.lit("%")))

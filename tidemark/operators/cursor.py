@@ -25,14 +25,24 @@ def incremental_page(
     """The next rows by (updated_at, id).
 
     A row committed late with an older ``updated_at`` lies behind the cursor. ``overlap`` (such as
-    ``"5 minutes"``) reads that much again; the repeats are absorbed by version and event id.
+    ``"5 minutes"``) reads that much again; the repeats are absorbed by version and event id. A page that
+    is full ends inside the overlap, maybe; read on from its last row, given as cursor without
+    ``overlap``, and save ``later_cursor`` of that row and the old cursor.
     """
+    return scan(records).where(past_key(cursor_ts, cursor_id, overlap)).orderBy("updated_at", "id").limit(limit)
+
+
+def past_key(cursor_ts, cursor_id, overlap: str | None = None) -> Column:
+    """Rows past a cursor, or past that much before it."""
     since = utc(cursor_ts)
-    if overlap is not None:
-        since, cursor_id = since - F.expr(f"INTERVAL {overlap}"), F.lit(-(2**63)).cast("bigint")
-    return (
-        scan(records).where(after_key(since, cursor_id)).orderBy("updated_at", "id").limit(limit)
-    )
+    if overlap is None:
+        return after_key(since, cursor_id)
+    return F.col("updated_at") >= since - F.expr(f"INTERVAL {overlap}")
+
+
+def later_cursor(cursor: tuple, other: tuple) -> tuple:
+    """Of two (time, id) cursors the one further on, so that an overlap never moves a cursor back."""
+    return max((c for c in (cursor, other) if c[0] is not None), default=cursor)
 
 
 def rows_after_checkpoint(records: DataFrame, checkpoints: DataFrame, mode: str) -> DataFrame:

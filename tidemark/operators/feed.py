@@ -27,7 +27,8 @@ def feed_events(rows: DataFrame, emitted_at: Column) -> DataFrame:
 def parse_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split messages into events and those that cannot be read as one, which are kept whole."""
     parsed = messages.withColumn("_event", F.from_json("value", S.EVENT))
-    readable = F.coalesce(F.col("_event.event_id").isNotNull(), F.lit(False))
+    complete = [F.col(f"_event.{c.split()[0]}").isNotNull() for c in S.EVENT.split(", ")]
+    readable = F.coalesce(complete[0] & complete[1] & complete[2], F.lit(False))
     rest = [c for c in messages.columns if c != "value"]
     events = parsed.where(readable).select("_event.*", *rest)
     return events, parsed.where(~readable).drop("_event")

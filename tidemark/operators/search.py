@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark import schema as S
 from tidemark.functions.text import contains_ignoring_case, is_id_query, shares_word, tokens, trimmed
 
-BROADCAST_BYTES = 32 << 20  # search terms up to this size go to every task
+MOST = 1000  # up to this many rows per group are cut out before the shuffle
 
 
 def matches(query: Column) -> Column:
@@ -72,27 +72,21 @@ def _newest_per_term(terms: DataFrame, limit: int) -> DataFrame:
 
 
 def _newest_wanted(records: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
-    """The newest rows of each term that some query asks for.
-
-    When the terms asked for are few, measured in bytes, they are sent to every task and other
-    words never leave it. Otherwise each term is cut down to ``limit`` rows first, so that the
-    join meets no term with more.
-    """
+    """The newest rows of each term that some query asks for; other words leave their task only if the
+    terms asked for are too many for the optimizer to send them to every task."""
     terms = wanted.select("kind", "term").distinct()
-    size = terms.agg(F.sum(F.octet_length("term") + F.lit(16))).first()[0] or 0
-    found = _record_terms(records)
-    if size <= BROADCAST_BYTES:
-        return _newest_per_term(found.join(F.broadcast(terms), ["kind", "term"], "left_semi"), limit)
-    return _newest_per_term(found, limit).join(terms, ["kind", "term"], "left_semi")
+    return _newest_per_term(_record_terms(records).join(terms, ["kind", "term"], "left_semi"), limit)
 
 
 def search_many(records: DataFrame, queries: DataFrame, limit: int = S.SEARCH_SHOWN) -> DataFrame:
-    """The first ``limit`` ids of each (query_id, query), ranked.
+    """The first ``limit`` ids of each (query_id, query), ranked; ``limit`` is ``MOST`` at most.
 
     A query's newest matches are among the newest matches of its terms, so each term keeps only
     its newest ``limit`` rows, cut down before the shuffle, before it meets the queries. A word
     found in every row, or a query that matches all of them, costs ``limit`` rows per task.
     """
+    if limit > MOST:
+        raise ValueError(f"limit is {limit}; a word in every row would gather more than {MOST} rows per task")
     wanted = _query_terms(queries)
     newest_of_all = records.orderBy(F.col("id").desc()).limit(limit).select(
         F.lit("all").alias("kind"), F.lit("").alias("term"), "id"

@@ -40,7 +40,9 @@ def outcomes(
     """
     checked = with_error(rows.select("id", "version", "seq", "poison"), rules)
     valid_version = F.when(F.col("error").isNull(), F.col("version"))
-    start = stored.select("id", F.col("version").alias("_prior")) if stored is not None else None
+    start = None
+    if stored is not None:  # only what the batch touches
+        start = stored.join(rows.select("id").distinct(), "id", "left_semi").select("id", F.col("version").alias("_prior"))
     placed = running(checked, ["id"], "seq", valid_version, "max", "_prior", start)
     outcome = (
         F.when(F.col("error").isNotNull(), "rejected")

@@ -15,8 +15,8 @@ def default_rules() -> list[Rule]:
 
 def with_error(rows: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Add ``error``: the text of the first rule that rejects the row, else null."""
-    checks = [F.when(rejects, F.lit(text)) for text, rejects in rules or default_rules()]
-    return rows.withColumn("error", F.coalesce(*checks))
+    checks = [F.when(rejects, F.lit(text)) for text, rejects in (default_rules() if rules is None else rules)]
+    return rows.withColumn("error", F.coalesce(*checks, F.lit(None).cast("string")))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schema as S
 from tidemark.functions.cursors import after_key
-from tidemark.functions.times import seconds_between
+from tidemark.functions.times import seconds_between, utc
 from tidemark.operators.cursor import checkpoint, resume_positions
 from tidemark.operators.dead_letters import is_open
 from tidemark.plans.one_row import beside, packed
-from tidemark.plans.batches import COUNTERS, counter_columns, current_rate_column
+from tidemark.plans.batches import COUNTERS, SINK_ERROR, counter_columns, current_rate_column
 
 # Names and texts of the two text forms.
 STATUS_FIELDS = {
@@ -48,6 +48,10 @@ METRICS = [
 def lag_columns(cursor_ts: Column, cursor_id: Column, as_of: Column) -> list[Column]:
     """Rows past the incremental cursor, and its age while there are any; 0 without a cursor."""
     count = F.when(cursor_ts.isNull(), F.lit(0)).otherwise(F.count_if(after_key(cursor_ts, cursor_id))).cast("bigint")
+    return _lag(count, cursor_ts, as_of)
+
+
+def _lag(count: Column, cursor_ts: Column, as_of: Column) -> list[Column]:
     age = F.round(F.greatest(F.lit(0.0), seconds_between(cursor_ts, as_of)), 1)
     return [count.alias("lag_count"), F.when(count == 0, F.lit(0.0)).otherwise(age).alias("lag_seconds")]
 
@@ -57,9 +61,11 @@ def _cursor(checkpoints: DataFrame, mode: str, column: str) -> Column:
 
 
 def lag(records: DataFrame, checkpoints: DataFrame, as_of: Column) -> DataFrame:
-    cursor_ts = _cursor(checkpoints, S.INCREMENTAL, "cursor_ts")
-    cursor_id = _cursor(checkpoints, S.INCREMENTAL, "cursor_id")
-    return records.agg(*lag_columns(cursor_ts, cursor_id, as_of))
+    """The cursor, one row, is read first, so that the reader is given plain values to filter by."""
+    found = checkpoint(checkpoints, S.INCREMENTAL).first()
+    at = found["cursor_ts"] if found else None
+    past = records.where(after_key(utc(at), found["cursor_id"]) if at else F.lit(False))
+    return past.agg(*_lag(F.count(F.lit(1)), utc(at), as_of))
 
 
 def _percent(cursor_id: Column, max_id: Column) -> Column:
@@ -88,11 +94,13 @@ def status(
     resumed: DataFrame,
     as_of: Column,
     backfill_running: bool = False,
+    incremental_running: bool = False,
 ) -> DataFrame:
     """The status row, one plan with one scan per table.
 
-    ``resumed`` holds the checkpoints found at the start. The circuit counts as open while the
-    last attempt of either mode failed.
+    ``resumed`` holds the checkpoints found at the start. The circuit is open if the last attempt in
+    time, of whichever mode, failed at the sink; a feed that fails does not open it. What was read
+    last may be ahead of the cursor: an attempt that failed had read its rows.
     """
     cursor_ts = _cursor(checkpoints, S.INCREMENTAL, "cursor_ts")
     cursor_id = _cursor(checkpoints, S.INCREMENTAL, "cursor_id")
@@ -102,13 +110,17 @@ def status(
         *lag_columns(cursor_ts, cursor_id, as_of),
     )
 
-    is_backfill = F.col("mode") == S.BACKFILL
-    last_read = F.coalesce(F.max(F.when(is_backfill, F.col("cursor_id"))), F.lit(0)).cast("bigint")
+    is_backfill, is_incremental = F.col("mode") == S.BACKFILL, F.col("mode") == S.INCREMENTAL
+    last_read = F.coalesce(F.max(F.when(is_backfill, F.col("read_id"))), F.lit(0)).cast("bigint")
+    order = F.struct("attempted_at", "attempt", "mode")
+    down = F.coalesce(F.col("error").startswith(SINK_ERROR), F.lit(False))
     log = batch_log.agg(
         current_rate_column(as_of).alias("throughput_per_sec"),
         last_read.alias("last_read_id"),
-        F.coalesce(~F.max_by("ok", "attempt"), F.lit(False)).alias("circuit_open"),
-        F.coalesce(F.max_by("error", "attempt"), F.lit("")).alias("circuit_reason"),
+        F.max_by(F.struct("read_id", "read_ts"), F.when(is_incremental & F.col("read_id").isNotNull(), order)).alias("last_read_incremental"),
+        F.coalesce(F.max_by(down, order), F.lit(False)).alias("circuit_open"),
+        F.coalesce(F.max_by(F.when(down, F.col("error")).otherwise(F.lit("")), order), F.lit("")).alias("circuit_reason"),
+        F.max_by(F.struct(F.when(down, F.col("since")).alias("since")), order).alias("circuit"),
         *counter_columns(),
     )
     together = beside(
@@ -130,8 +142,11 @@ def status(
         F.col(f"started.{S.BACKFILL}").alias("resumed_backfill"),
         F.col(f"started.{S.INCREMENTAL}").alias("resumed_incremental"),
         F.lit(backfill_running).alias("backfill_running"),
+        F.lit(incremental_running).alias("incremental_running"),
         "backfill_cursor",
         F.col("log.last_read_id").alias("last_read_id"),
+        F.col("log.last_read_incremental.read_id").alias("last_read_incremental_id"),
+        F.col("log.last_read_incremental.read_ts").alias("last_read_incremental_ts"),
         _percent(F.col("backfill_cursor"), F.col("max_id")).alias("backfill_percent"),
         "source_count",
         "max_id",
@@ -143,6 +158,7 @@ def status(
         "dlq_open",
         circuit_open.alias("circuit_open"),
         F.col("log.circuit_reason").alias("circuit_reason"),
+        F.col("log.circuit.since").alias("circuit_since"),
         "sink_docs",
         *[F.col(f"log.{name}").alias(name) for name in COUNTERS],
     )

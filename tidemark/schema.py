@@ -25,7 +25,8 @@ DOCUMENT = (
 EVENT = "event_id STRING, record_id BIGINT, version BIGINT"
 BATCH_LOG = (
     "mode STRING, batch_id BIGINT, attempt BIGINT, attempted_at TIMESTAMP_NTZ, ok BOOLEAN, "
-    "rows BIGINT, rejected BIGINT, cursor_id BIGINT, cursor_ts TIMESTAMP_NTZ, error STRING"
+    "rows BIGINT, rejected BIGINT, cursor_id BIGINT, cursor_ts TIMESTAMP_NTZ, read_id BIGINT, "
+    "read_ts TIMESTAMP_NTZ, last_seq BIGINT, owner STRING, number BIGINT, since TIMESTAMP_NTZ, error STRING"
 )
 
 RECORD_COLUMNS = [c.split()[0] for c in RECORDS.split(", ")]
@@ -33,6 +34,7 @@ RECORD_COLUMNS = [c.split()[0] for c in RECORDS.split(", ")]
 # Results must carry exactly these.
 BACKFILL = "backfill"
 INCREMENTAL = "incremental"
+REPLAY = "replay"
 EPOCH = datetime(1970, 1, 1)
 GUARANTEE = "effectively-once"
 DEFAULT_SINK = "elasticsearch"
@@ -51,3 +53,5 @@ DEAD_LETTERS_SHOWN = 100
 BATCH_ROWS = 500
 THROUGHPUT_KEPT = "120 seconds"
 # End of fixed values.
+
+MODES = (BACKFILL, INCREMENTAL, REPLAY)  # a dead letter's id says in its last two bits which it is from

@@ -56,3 +56,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"tidemark-{name}-{uuid.uuid4().hex}")
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of any store Spark reaches; none where there is no folder."""
+    folder, store = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(folder)) if store.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote for its own use."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)

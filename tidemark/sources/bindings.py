@@ -118,15 +118,19 @@ def attempt_rows(events: DataFrame) -> DataFrame:
         (~failed).alias("ok"),
         F.when(failed, 0).otherwise(S.BATCH_ROWS).cast("bigint").alias("rows"),
         F.when(failed, 0).otherwise(key % 3).cast("bigint").alias("rejected"),
+        F.col("ts").alias("read_ts"),
+        F.when(failed & (key % 7 != 0), F.col("ts")).alias("since"),
         F.when(failed, F.when(key % 7 == 0, FEED_DOWN).otherwise(SINK_DOWN)).alias("error"),
     )
 
 
 def attempts(spark: SparkSession, folder: str) -> DataFrame:
-    """A batch log, with the cursor each mode had reached."""
+    """A batch log, with the cursor each mode had reached, and what it had read."""
     read = attempt_rows(read_table(spark, folder, "events"))
     moved = running(read, ["mode"], "attempt", F.col("rows"), "sum", "_earlier")
-    return moved.withColumn("cursor_id", F.col("_earlier") + F.col("rows")).drop("_earlier")
+    cursor = F.col("_earlier") + F.col("rows")
+    read = F.when(F.col("ok"), cursor).otherwise(cursor + S.BATCH_ROWS)
+    return moved.withColumns({"cursor_id": cursor, "read_id": read}).drop("_earlier")
 
 
 def text_records(spark: SparkSession, folder: str) -> DataFrame:

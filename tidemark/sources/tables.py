@@ -7,18 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schema as S
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
+#: By default a file a week older than the newest one seen is skipped without a word.
+NEVER_TOO_OLD = "36500d"
 
-def spread(table: DataFrame) -> DataFrame:
-    """Deal a table just read in fewer pieces than there are cores out evenly.
 
-    For work that costs much per row, on a table in few large row groups; a large table is left
-    as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -28,7 +22,7 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
     as well as one that is a folder of files.
     """
     path = f"{folder}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFileAge", NEVER_TOO_OLD)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")

@@ -1,153 +1,187 @@
-"""Continuous replication in micro-batches: documents, dead letters, feed, then the commit row."""
+"""Continuous replication in micro-batches: rows with their verdicts, dead letters, then the commit row."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schema as S
-from tidemark.functions.documents import event_id, event_json, routing_key, to_documents
-from tidemark.functions.times import micros, utc
+from tidemark.functions.documents import to_documents
+from tidemark.functions.times import utc
 from tidemark.operators import dead_letters
+from tidemark.operators.cursor import later_cursor
+from tidemark.operators.ordered import positions
+from tidemark.operators.upsert import completeness, match_results
 from tidemark.operators.validate import Rule, accepted, with_error
 from tidemark.plans.batches import FEED_ERROR, SINK_ERROR
-from tidemark.streaming.tables import ReplicationTables
+from tidemark.session import remove
+from tidemark.streaming.tables import ROW_LOG, ReplicationTables, feed_of, utc_now
 
-Sender = Callable[[DataFrame], None]
+#: Takes documents (with ``seq``) or messages to another system. What takes documents may return its
+#: item results (id, version, seq, outcome, error); without a result an item counts as rejected.
+Sender = Callable[[DataFrame], DataFrame | None]
 
-ATTEMPTS_PER_BATCH = 1 << 20  # attempt numbers grow with the batch, then with the try
+REPLAY_SEQ = 1 << 58  # arrival numbers of replayed rows: later than any other
+REPLAY_BITS = 36
 
 
 class IncompleteBatch(RuntimeError):
     """Fewer rows were stored or rejected than were submitted."""
 
 
-def _utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
-def _write(rows: DataFrame, tables: ReplicationTables, table: str, mode: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(tables.batch_path(table, mode, batch_id))
-
-
-def _written(spark: SparkSession, tables: ReplicationTables, table: str, mode: str, batch_id: int) -> int:
-    """Rows there are to read; the count comes from the file footers."""
-    return tables.read_batch(spark, table, mode, batch_id, "id BIGINT").count()
-
-
-def _started_at(spark: SparkSession, tables: ReplicationTables, mode: str, batch_id: int) -> datetime:
-    """When the batch was first tried; a redo finds the same, so it writes the same rows."""
-    known = tables.read_batch(spark, "starts", mode, batch_id, "started_at TIMESTAMP_NTZ").first()
-    if known is not None:
-        return known["started_at"]
-    now = _utc_now()
-    _write(spark.range(1).select(utc(now).alias("started_at")).coalesce(1), tables, "starts", mode, batch_id)
-    return now
-
-
-def _log_attempt(spark, tables, mode, batch_id, ok, rows=0, rejected=0, cursor=(None, None), error=None) -> None:
-    tries = tables.read_batch(spark, "batch_log", mode, batch_id, "ok BOOLEAN").count()
-    attempt = batch_id * ATTEMPTS_PER_BATCH + tries
+def _log_attempt(
+    spark, tables, mode, batch_id, ok, owner="", number=0, rows=0, rejected=0, cursor=(None, None), read=(None, None),
+    last_seq=None, error=None,
+) -> None:
+    log = tables.batch_log(spark).where(F.col("mode") == mode)
+    before = log.agg(F.max_by(F.struct("attempt", "since"), "attempt")).first()[0]
+    now = utc_now()
+    down = error is not None and error.startswith(SINK_ERROR)
+    since = (before and before["since"]) or now if down else None
     values: dict[str, Column] = {
-        "attempted_at": utc(_utc_now()),
+        "attempt": F.lit(before["attempt"] + 1 if before else 0).cast("bigint"),
+        "attempted_at": utc(now),
         "ok": F.lit(ok),
         "rows": F.lit(rows).cast("bigint"),
         "rejected": F.lit(rejected).cast("bigint"),
         "cursor_id": F.lit(cursor[0]).cast("bigint"),
         "cursor_ts": utc(cursor[1]),
+        "read_id": F.lit(read[0]).cast("bigint"),
+        "read_ts": utc(read[1]),
+        "last_seq": F.lit(last_seq).cast("bigint"),
+        "owner": F.lit(owner),
+        "number": F.lit(number).cast("bigint"),
+        "since": utc(since),
         "error": F.lit(error).cast("string"),
     }
+    tries = tables.read_batch(spark, "batch_log", mode, batch_id, "ok BOOLEAN").count()
     row = spark.range(1).select(*[v.alias(c) for c, v in values.items()]).coalesce(1)
-    row.write.mode("overwrite").parquet(
-        f"{tables.batch_path('batch_log', mode, batch_id)}/attempt={attempt}"
-    )
+    row.write.mode("overwrite").parquet(f"{tables.batch_path('batch_log', mode, batch_id)}/try={tries}")
+
+
+def store_rows(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int, emitted_at: Column) -> DataFrame:
+    """Write the batch's rows, accepted and rejected, each with its error; returns them as read back."""
+    rows = checked.select(*S.RECORD_COLUMNS, "seq", "error", emitted_at.alias("emitted_at"))
+    tables.write_batch(rows, "rows", mode, batch_id)
+    return stored_rows(checked.sparkSession, tables, mode, batch_id)
+
 
+def stored_rows(spark: SparkSession, tables: ReplicationTables, mode: str, batch_id: int) -> DataFrame:
+    columns = ROW_LOG.rsplit(", mode", 1)[0]
+    rows = tables.read_batch(spark, "rows", mode, batch_id, columns)
+    return rows.withColumns({"mode": F.lit(mode), "batch_id": F.lit(batch_id).cast("bigint")})
 
-def store_documents(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int) -> int:
-    """Append the accepted rows; returns how many are there to read."""
-    _write(accepted(checked).select(*S.RECORD_COLUMNS, "seq"), tables, "documents", mode, batch_id)
-    return _written(checked.sparkSession, tables, "documents", mode, batch_id)
+
+def send_documents(
+    checked: DataFrame, store_to: Sender, tables: ReplicationTables, mode: str, batch_id: int
+) -> DataFrame:
+    """Give the accepted rows to a sender; rows that it rejects by themselves get its error.
+
+    The rows are written before they are sent, and the results before they are used, so that both
+    are computed once.
+    """
+    spark = checked.sparkSession
+    tables.write_batch(checked, "submitted", mode, batch_id)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in checked.schema)
+    submitted = tables.read_batch(spark, "submitted", mode, batch_id, schema)
+    sent = accepted(submitted)
+    results = store_to(to_documents(sent, "seq"))
+    if results is None:
+        return submitted
+    tables.write_batch(match_results(sent, results), "results", mode, batch_id)
+    found = tables.read_batch(spark, "results", mode, batch_id, "id BIGINT, version BIGINT, seq BIGINT, outcome STRING, error STRING")
+    one = F.lit(0).alias("batch_id")
+    counts = completeness(sent.select("*", one), found.select("*", one)).first()
+    if counts is not None and not counts["complete"]:
+        raise IncompleteBatch(f"{counts['stored']} stored and {counts['rejected']} rejected of {counts['submitted']} rows")
+    keys = ["id", "version", "seq"]
+    refused = found.where("outcome = 'rejected'").select(*keys, F.coalesce("error", F.lit("unknown")).alias("_error"))
+    return submitted.join(refused, keys, "left").withColumn("error", F.coalesce("error", "_error")).select(*submitted.columns)
 
 
 def store_dead_letters(
-    checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int, created_at: Column
+    stored: DataFrame, tables: ReplicationTables, mode: str, batch_id: int, created_at: Column
 ) -> int:
-    """Append entries for the rejected rows, unless the same entry is open already."""
-    spark = checked.sparkSession
+    """Append entries for the rejected rows, unless the same entry is open already.
+
+    Entries are numbered on from those of the mode's batches before; the mode is in the last bits.
+    """
+    spark = stored.sparkSession
+    before = tables.batch_log(spark).where(F.col("ok") & (F.col("mode") == mode) & (F.col("batch_id") < batch_id))
+    appended = before.agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
     here = f"{mode}-{batch_id}"
-    entries = dead_letters.entries(checked, F.lit(here), created_at)
-    existing = tables.dead_letters(spark).where(F.col("batch_id") != here)
-    _write(dead_letters.to_append(entries, existing).drop("batch_id"), tables, "dead_letters", mode, batch_id)
-    return _written(spark, tables, "dead_letters", mode, batch_id)
-
-
-def publish(checked: DataFrame, tables: ReplicationTables, mode: str, batch_id: int, emitted_at: Column) -> int:
-    """Append an event per row of the batch, accepted or not; returns how many are there to read."""
-    events = checked.select(
-        event_id().alias("event_id"),
-        F.col("id").alias("record_id"),
-        "version",
-        "seq",
-        routing_key().alias("key"),
-        event_json(emitted_at).alias("value"),
-    )
-    _write(events, tables, "feed", mode, batch_id)
-    return _written(checked.sparkSession, tables, "feed", mode, batch_id)
+    entries = dead_letters.entries(stored, F.lit(here), created_at)
+    new = dead_letters.to_append(entries, tables.dead_letters(spark, only_open=True).where(F.col("batch_id") != here))
+    numbered = positions(new, ["id", "record_id", "version"])
+    number = (F.col("position") + appended) * 4 + S.MODES.index(mode)
+    tables.write_batch(numbered.withColumn("id", number).drop("batch_id", "position"), "dead_letters", mode, batch_id)
+    return tables.read_batch(spark, "dead_letters", mode, batch_id, "id BIGINT").count()
 
 
 def commit_batch(
     rows: DataFrame,
-    batch_id: int,
+    number: int,
     tables: ReplicationTables,
     mode: str,
     rules: list[Rule] | None = None,
     store_to: Sender | None = None,
     publish_to: Sender | None = None,
+    owner: str = "",
 ) -> None:
     """Write one batch's outputs, check them, then log it as done.
 
-    The order is documents, dead letters, feed, log row. Whatever fails, the batch is not
-    done, the failed attempt is logged and the error is passed on; the same batch then runs again.
-
-    The rows are read once per output, which a stream's source must allow anyway: each output reads
-    only the columns it needs, which costs less than keeping whole rows. Should a source not give
-    the same rows each time, the counts tell. ``store_to`` and ``publish_to`` are given the documents
-    and the messages to send elsewhere too; when they raise, the batch fails like any other.
+    ``owner`` and ``number`` say whose batch this is and which one; done before, it is left alone.
+    The rows are read from their source once; dead letters, documents and events are made from what
+    was written. Whatever fails, the batch is not done, the failed attempt is logged with
+    the cursor it holds, and the error is passed on; the same batch then runs again. ``store_to`` and
+    ``publish_to`` are given the documents and the messages to send elsewhere too; when they
+    raise, the batch fails like any other.
     """
     spark = rows.sparkSession
-    started_at = utc(_started_at(spark, tables, mode, batch_id))
+    batch_id, started, done = tables.begin(spark, mode, owner, number)
+    if done:
+        return
+    started_at = utc(started)
     checked = with_error(rows.select(*S.RECORD_COLUMNS, "seq"), rules)
-    stage = SINK_ERROR
+    stage, read = SINK_ERROR, (None, None)
+    held = tables.checkpoints(spark).where(F.col("mode") == mode).first()
+    held = (held["cursor_id"], held["cursor_ts"]) if held else (None, None)
     try:
-        facts = checked.agg(
+        if store_to is not None:
+            checked = send_documents(checked, store_to, tables, mode, batch_id)
+        stored = store_rows(checked, tables, mode, batch_id, started_at)
+        facts = stored.agg(
             F.count(F.lit(1)).alias("rows"),
             F.count("error").alias("rejected"),
             F.max("id").alias("max_id"),
+            F.max("seq").alias("last_seq"),
             F.max(F.struct("updated_at", "id")).alias("last"),
         ).first()
-        stored = store_documents(checked, tables, mode, batch_id)
-        if stored + facts["rejected"] != facts["rows"]:
-            raise IncompleteBatch(f"{stored} stored and {facts['rejected']} rejected of {facts['rows']} rows")
-        if store_to is not None:
-            store_to(to_documents(tables.read_batch(spark, "documents", mode, batch_id, S.RECORDS)))
-        entered = store_dead_letters(checked, tables, mode, batch_id, started_at) if facts["rejected"] else 0
+        if facts["rows"]:
+            last = facts["last"]
+            read = (facts["max_id"], None) if mode == S.BACKFILL else (last["id"], last["updated_at"])
+        entered = store_dead_letters(stored, tables, mode, batch_id, started_at) if facts["rejected"] else 0
         stage = FEED_ERROR
-        published = publish(checked, tables, mode, batch_id, started_at)
-        if published != facts["rows"]:
-            raise IncompleteBatch(f"{published} published of {facts['rows']} rows")
-        if publish_to is not None:
-            publish_to(tables.read_batch(spark, "feed", mode, batch_id, "key STRING, value STRING"))
+        publish(stored, publish_to)
     except Exception as failure:
-        _log_attempt(spark, tables, mode, batch_id, ok=False, error=f"{stage} {failure}"[:1000])
+        _log_attempt(
+            spark, tables, mode, batch_id, False, owner, number, cursor=held, read=read, error=f"{stage} {failure}"
+        )
         raise
-    cursor = (None, None)
-    if facts["rows"]:
-        last = facts["last"]
-        cursor = (facts["max_id"], None) if mode == S.BACKFILL else (last["id"], last["updated_at"])
-    _log_attempt(spark, tables, mode, batch_id, True, facts["rows"], entered, cursor)
+    cursor = later_cursor(read[::-1], held[::-1])[::-1] if mode == S.INCREMENTAL else read
+    _log_attempt(spark, tables, mode, batch_id, True, owner, number, facts["rows"], entered, cursor, read, facts["last_seq"])
+    for staged in ("submitted", "results"):
+        if store_to is not None:
+            remove(spark, tables.batch_path(staged, mode, batch_id))
+
+
+def publish(stored: DataFrame, publish_to: Sender | None) -> None:
+    """Send an event per row of the batch, accepted or not; the table of events is made from the rows."""
+    if publish_to is not None:
+        publish_to(feed_of(stored).select("key", "value"))
 
 
 def replicate(
@@ -158,15 +192,25 @@ def replicate(
     trigger: dict | None = None,
     store_to: Sender | None = None,
     publish_to: Sender | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start replicating a stream of rows (record columns and ``seq``, their arrival number).
 
     Stopped or killed, it resumes from its checkpoint; the batch that was open runs again under
-    the same number with the same rows. By default it ends when the source has no more.
+    the same number with the same rows. With its checkpoint lost it starts anew, under new batch
+    numbers, and repeats are absorbed. By default it ends when the source has no more.
+    ``compact_every`` batches, a snapshot is written.
     """
+
+    def run(rows: DataFrame, number: int) -> None:
+        owner = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        commit_batch(rows, number, tables, mode, rules, store_to, publish_to, owner)
+        if compact_every and (number + 1) % compact_every == 0:
+            tables.compact(rows.sparkSession)
+
     return (
         source.writeStream.queryName(f"replicate-{mode}-{tables.root[-8:]}")
-        .foreachBatch(lambda rows, n: commit_batch(rows, n, tables, mode, rules, store_to, publish_to))
+        .foreachBatch(run)
         .option("checkpointLocation", tables.path(f"_checkpoints/{mode}"))
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -174,25 +218,41 @@ def replicate(
 
 
 def replay_dead_letters(
-    spark: SparkSession, tables: ReplicationTables, records: DataFrame, requests: DataFrame, batch_id: int
+    spark: SparkSession,
+    tables: ReplicationTables,
+    records: DataFrame,
+    requests: DataFrame,
+    number: int,
+    rules: list[Rule] | None = None,
+    store_to: Sender | None = None,
+    publish_to: Sender | None = None,
 ) -> DataFrame:
-    """Send requested dead letters again as a batch of their own, then mark them replayed.
+    """Send requested dead letters again as a batch of their own, then mark those that were stored.
 
-    Returns what became of each request. What to send is written down before anything is sent, so
-    running the batch again after a failure, or after it was done, sends the same.
+    Returns what became of each request. Rules and senders are those of the replication, so that a
+    row is judged as it was the first time, and reaches the sink that rejected it. What to send is
+    written down before anything is sent, so running the batch again after a failure, or after it
+    was done, sends the same.
     """
-    mode = "replay"
-    path = tables.batch_path("replays", mode, batch_id)
-    now = utc(_started_at(spark, tables, mode, batch_id))
+    mode, owner = S.REPLAY, "replay"
+    batch_id, started, done = tables.begin(spark, mode, owner, number)
+    now = utc(started)
+    plan = dead_letters.replay(requests, tables.dead_letters(spark), records, now, rules)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plan.schema)
     this = (F.col("mode") == mode) & (F.col("batch_id") == batch_id)
-    plan = dead_letters.replay(requests, tables.dead_letters(spark), records, now)
-    if tables.batch_log(spark).where(this & F.col("ok")).isEmpty():
-        plan.write.mode("overwrite").parquet(path)
-        rows = dead_letters.replay_rows(spark.read.schema(plan.schema).parquet(path))
-        # Sent now, so later than any row stored with the same version.
-        commit_batch(rows.withColumn("seq", micros(now)), batch_id, tables, mode)
-    done = spark.read.schema(plan.schema).parquet(path)
-    dead_letters.replay_marks(done, now).write.mode("overwrite").parquet(
-        tables.path(f"replay_marks/batch_id={batch_id}")
-    )
-    return done
+    if not done and tables.batch_log(spark).where(this & F.col("ok")).isEmpty():
+        tables.write_batch(plan, "replays", mode, batch_id)
+        written = tables.read_batch(spark, "replays", mode, batch_id, schema)
+        arrival = F.lit(REPLAY_SEQ + (batch_id << REPLAY_BITS)) + F.col("position")
+        rows = positions(dead_letters.replay_rows(written), ["seq"]).withColumn("seq", arrival)
+        commit_batch(rows, number, tables, mode, rules, store_to, publish_to, owner)
+    asked = tables.read_batch(spark, "replays", mode, batch_id, schema)
+    # rejected once more, by id: the entry stays open, and says why
+    again = stored_rows(spark, tables, mode, batch_id).where(F.col("error").isNotNull())
+    again = again.groupBy(F.col("id").alias("record_id")).agg(F.min("error").alias("_error"))
+    said = asked.join(again, "record_id", "left").withColumn("_error", F.when(F.col("ok"), F.col("_error")))
+    said = said.withColumn("ok", F.col("ok") & F.col("_error").isNull()).withColumn("reason", F.coalesce("reason", "_error"))
+    said = said.select(*asked.columns)
+    marks = dead_letters.replay_marks(said, now)
+    tables.write_batch(marks, "replay_marks", mode, batch_id)
+    return said

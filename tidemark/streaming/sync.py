@@ -1,7 +1,9 @@
 """Replication from a table that changes in place: pages past the mode's cursor, in key order.
 
 Rows of such a table are updated, not appended, so there are no new files to stream; what is new
-is found by key. A page is a Spark job of many tasks, as large as the cluster takes well.
+is found by key. The rows past the cursor are sorted and written once, whole; pages are committed
+from there, so that a page is the same rows however often it is tried, and the source is read once
+however many pages there are. The copy is removed at the end.
 """
 
 from __future__ import annotations
@@ -11,17 +13,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schema as S
-from tidemark.functions.cursors import after_id, after_key
+from tidemark.functions.cursors import after_id
 from tidemark.functions.times import utc
-from tidemark.operators.cursor import (
-    backfill_pages,
-    checkpoint,
-    incremental_pages,
-    initial_checkpoints,
-    scan,
-    with_boot_watermark,
-)
-from tidemark.operators.ordered import positions
+from tidemark.operators.cursor import checkpoint, initial_checkpoints, past_key, scan, with_boot_watermark
+from tidemark.operators.ordered import SortedCopy
 from tidemark.operators.validate import Rule
 from tidemark.streaming.replicate import Sender, commit_batch
 from tidemark.streaming.tables import ReplicationTables
@@ -29,15 +24,30 @@ from tidemark.streaming.tables import ReplicationTables
 ROWS_PER_BATCH = 10_000_000
 
 
-def resume_point(spark, tables: ReplicationTables, mode: str, started_at: datetime) -> tuple[int, datetime | None]:
-    """The cursor a mode goes on from; an incremental one never used starts at ``started_at``."""
+def resume_point(
+    spark, tables: ReplicationTables, mode: str, started_at: datetime
+) -> tuple[int | None, datetime | None]:
+    """The cursor a mode goes on from; an incremental one never used starts at ``started_at``.
+
+    A backfill never used has no cursor, and so no lower bound: ids may be of any sign.
+    """
     moved = checkpoint(tables.checkpoints(spark), mode).first()
+    if moved is None and mode == S.BACKFILL:
+        return None, None
     if moved is None:
         begun = with_boot_watermark(initial_checkpoints(spark), utc(started_at))
         moved = checkpoint(begun, mode).first()
     return moved["cursor_id"], moved["cursor_ts"]
 
 
+def remaining(source: DataFrame, mode: str, cursor: tuple[int | None, datetime | None], overlap: str | None) -> DataFrame:
+    """What the source has past a cursor; nulls in the key lie past every cursor and before none."""
+    rows = scan(source)
+    if mode == S.BACKFILL:
+        return rows if cursor[0] is None else rows.where(after_id(cursor[0]))
+    return rows.where(past_key(cursor[1], cursor[0], overlap))
+
+
 def sync(
     source: DataFrame,
     tables: ReplicationTables,
@@ -51,36 +61,30 @@ def sync(
 ) -> int:
     """Replicate all there is past the mode's cursor; returns how many batches that took.
 
-    Stopped anywhere, the next call goes on after the last batch committed. Each page is written
-    to the shared folder once before its outputs are made, so that all of them come from the same
-    rows although the source goes on changing. ``overlap`` reads again that far behind the
-    incremental cursor, for rows committed late; the repeats are absorbed.
+    Stopped anywhere, the next call goes on after the last batch committed. ``overlap`` reads again
+    that far behind the incremental cursor, for rows committed late; the repeats are absorbed,
+    and the cursor stays where it was until rows past it are committed.
     """
-    spark = source.sparkSession
-    done = tables.batch_log(spark).where(F.col("ok") & (F.col("mode") == mode))
-    batches, sent = done.agg(
-        F.coalesce(F.max("batch_id") + 1, F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))
+    spark, owner = source.sparkSession, f"sync-{mode}"
+    log = tables.batch_log(spark).where(F.col("ok") & (F.col("mode") == mode))
+    ours = F.col("owner") == owner
+    number, last_seq = log.agg(
+        F.coalesce(F.max(F.when(ours, F.col("number"))) + 1, F.lit(0)), F.coalesce(F.max("last_seq"), F.lit(-1))
     ).first()
-    last_id, last_ts = resume_point(spark, tables, mode, started_at)
-    if mode == S.BACKFILL:
-        order, paged = ["id"], backfill_pages
-        past = lambda cursor: after_id(cursor["cursor_id"])
-        remaining = scan(source).where(after_id(last_id))
-    else:
-        order, paged = ["updated_at", "id"], incremental_pages
-        past = lambda cursor: after_key(utc(cursor["cursor_ts"]), cursor["cursor_id"])
-        since = utc(last_ts)
-        if overlap is not None:
-            since, last_id = since - F.expr(f"INTERVAL {overlap}"), -(2**63)
-        remaining = scan(source).where(after_key(since, last_id))
-
-    pages = paged(remaining, rows_per_batch).orderBy("page").collect()  # one row per page
-    before = None
-    for batch_id, page in enumerate(pages, batches):
-        rows = remaining if before is None else remaining.where(past(before))
-        rows = positions(rows.where(~past(page)), order)
-        # Arrival numbers: even for the backfill, odd for the other mode, so that none is used twice.
-        arrival = (F.lit(sent) + F.col("position")) * 2 + (0 if mode == S.BACKFILL else 1)
-        commit_batch(rows.withColumn("seq", arrival), batch_id, tables, mode, rules, store_to, publish_to)
-        sent, before = sent + page["rows"], page
+    cursor = resume_point(spark, tables, mode, started_at)
+    order = ["id"] if mode == S.BACKFILL else ["updated_at", "id"]
+    copy = SortedCopy(remaining(source, mode, cursor, overlap), order)
+    try:
+        pages = range(0, copy.size, rows_per_batch)
+        # Arrival numbers go on from the mode's last one; even for the backfill, odd for the other
+        # mode, so that none is used twice.
+        first = last_seq // 2 + 1
+        for page, low in enumerate(pages, number):
+            rows = copy.page(low, low + rows_per_batch)
+            arrival = (F.lit(first) + F.col("position")) * 2 + (0 if mode == S.BACKFILL else 1)
+            commit_batch(
+                rows.withColumn("seq", arrival), page, tables, mode, rules, store_to, publish_to, owner
+            )
+    finally:
+        copy.remove()
     return len(pages)

@@ -2,83 +2,175 @@
 
 A batch's folders are overwritten when the batch runs again, and a batch counts once its row in
 the batch log is there, so a redo leaves what a clean run would have.
+
+Batches of a mode are numbered on from the last one, whoever writes them; the start row says whose
+batch it is, so that a redo finds its number and nobody gets another one's. One writer per mode at
+a time. Batches lie in generations of ``GENERATION``; after ``compact``, only generations that have
+batches past the snapshot are looked at, so that what a batch reads does not grow with history.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark import schema as S
+from tidemark.functions.documents import event_id, event_json, routing_key
+from tidemark.functions.times import utc
 from tidemark.operators import dead_letters
 from tidemark.operators.upsert import current_state
+from tidemark.session import subfolders
 
 PARTITIONS = ", mode STRING, batch_id BIGINT"
+ROW_LOG = S.RECORDS + ", seq BIGINT, error STRING, emitted_at TIMESTAMP_NTZ" + PARTITIONS
 DOCUMENT_LOG = S.RECORDS + ", seq BIGINT" + PARTITIONS
 ENTRY_LOG = S.DEAD_LETTERS.replace("batch_id STRING, ", "") + PARTITIONS
-FEED_LOG = "event_id STRING, record_id BIGINT, version BIGINT, seq BIGINT, key STRING, value STRING" + PARTITIONS
-MARK_LOG = "id BIGINT, replayed_at TIMESTAMP_NTZ"
+MARK_LOG = "id BIGINT, replayed_at TIMESTAMP_NTZ" + PARTITIONS
+START_LOG = "started_at TIMESTAMP_NTZ, owner STRING, number BIGINT" + PARTITIONS
 SNAPSHOT_LOG = "snapshot BIGINT, mode STRING, last_batch BIGINT"
 NEWEST = ("version", "seq", "batch_id", "mode")  # seq is given by the source; the order of files is not
+GENERATION = 64
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _columns(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
 
 
 @dataclass(frozen=True)
 class ReplicationTables:
     root: str
+    generation: int = GENERATION
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def batch_path(self, table: str, mode: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/mode={mode}/batch_id={batch_id}"
+        return f"{self.root}/{table}/mode={mode}/generation={batch_id // self.generation}/batch_id={batch_id}"
+
+    def write_batch(self, rows: DataFrame, table: str, mode: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self.batch_path(table, mode, batch_id))
 
     def read(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
-        """A table with all its batches; empty before the first."""
-        return self._read(spark, self.path(table), schema)
+        """A folder of files as one table; empty before the first."""
+        return self._read(spark, [self.path(table)] if subfolders(spark, self.path(table)) else [], schema)
 
     def read_batch(self, spark: SparkSession, table: str, mode: str, batch_id: int, schema: str) -> DataFrame:
         """One batch of a table, without listing the others; empty when it has not been written."""
-        return self._read(spark, self.batch_path(table, mode, batch_id), schema)
-
-    def _read(self, spark: SparkSession, path: str, schema: str) -> DataFrame:
-        try:
-            return spark.read.schema(schema).parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = self.batch_path(table, mode, batch_id)
+        return self._read(spark, [path] if subfolders(spark, path) else [], schema)
+
+    def _read(self, spark: SparkSession, paths: list[str], schema: str, base: str | None = None) -> DataFrame:
+        if not paths:
             return spark.createDataFrame([], schema)
+        reader = spark.read.schema(schema)
+        if base is not None:
+            reader = reader.option("basePath", base)
+        return reader.parquet(*paths).select(*_columns(schema))
+
+    def read_after(self, spark: SparkSession, table: str, schema: str, covered: dict[str, int]) -> DataFrame:
+        """A table's batches past those ``covered`` per mode; generations before are not listed."""
+        base, paths = self.path(table), []
+        for mode in subfolders(spark, base):
+            first = (covered.get(mode.removeprefix("mode="), -1) + 1) // self.generation
+            for part in subfolders(spark, f"{base}/{mode}"):
+                if int(part.removeprefix("generation=")) >= first:
+                    paths.append(f"{base}/{mode}/{part}")
+        rows = self._read(spark, paths, schema, base)
+        for mode, last in covered.items():
+            rows = rows.where((F.col("mode") != mode) | (F.col("batch_id") > last))
+        return rows
+
+    # --- snapshots
+
+    def last_snapshot(self, spark: SparkSession) -> tuple[int | None, dict[str, int]]:
+        """Which snapshot is the newest, and the batch per mode it goes up to: a row per mode."""
+        done = [int(f.removeprefix("snapshot=")) for f in subfolders(spark, self.path("snapshot_log"))]
+        if not done:
+            return None, {}
+        rows = spark.read.schema("mode STRING, last_batch BIGINT").parquet(self.path(f"snapshot_log/snapshot={max(done)}"))
+        return max(done), {r["mode"]: r["last_batch"] for r in rows.collect()}
+
+    def _snapshot(self, spark: SparkSession, snapshot: int | None, table: str, schema: str) -> DataFrame:
+        path = self.path(f"snapshots/{snapshot}/{table}")
+        return self._read(spark, [path] if snapshot is not None and subfolders(spark, path) else [], schema)
+
+    # --- the log
 
     def batch_log(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, "batch_log", S.BATCH_LOG)
+        snapshot, covered = self.last_snapshot(spark)
+        recent = self.read_after(spark, "batch_log", S.BATCH_LOG, covered)
+        return recent.unionByName(self._snapshot(spark, snapshot, "batch_log", S.BATCH_LOG))
+
+    def begin(self, spark: SparkSession, mode: str, owner: str, number: int) -> tuple[int, datetime, bool]:
+        """The batch that is ``owner``'s ``number``, when it was first tried, and whether it is done.
 
-    def _committed(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
-        """A table without the batches not committed, of which each mode has one at most.
+        A redo finds the same as the first try, so it writes the same rows. A batch that a snapshot
+        has taken in has no start row to go by any more; the log says that it is done.
+        """
+        _, covered = self.last_snapshot(spark)
+        starts = self.read_after(spark, "starts", START_LOG, covered).where(F.col("mode") == mode)
+        mine = (F.col("owner") == owner) & (F.col("number") == number)
+        known = starts.where(mine).first()
+        if known is not None:
+            return known["batch_id"], known["started_at"], False
+        log = self.batch_log(spark).where((F.col("mode") == mode) & F.col("ok") & mine).first()
+        if log is not None:
+            return log["batch_id"], log["attempted_at"], True
+        last = starts.agg(F.max("batch_id")).first()[0]
+        batch_id = 1 + max(covered.get(mode, -1), -1 if last is None else last)
+        now = utc_now()
+        row = spark.range(1).select(utc(now).alias("started_at"), F.lit(owner).alias("owner"), F.lit(number).cast("bigint").alias("number"))
+        self.write_batch(row.coalesce(1), "starts", mode, batch_id)
+        return batch_id, now, False
+
+    def _committed(self, spark: SparkSession, table: str, schema: str, covered: dict[str, int]) -> DataFrame:
+        """A table's batches past those ``covered``, without those not committed: one per mode at most.
 
         They are left out by partition, so no join touches the rows. The log is listed before the
         rows and the starts after them: a batch whose files are seen half there has its start row
         by then, and no log row yet.
         """
-        done = self.batch_log(spark).where("ok").select("mode", "batch_id")
-        rows = self.read(spark, table, schema)
-        started = self.read(spark, "starts", "mode STRING, batch_id BIGINT")
+        done = self.read_after(spark, "batch_log", S.BATCH_LOG, covered).where("ok").select("mode", "batch_id")
+        rows = self.read_after(spark, table, schema, covered)
+        started = self.read_after(spark, "starts", START_LOG, covered).select("mode", "batch_id")
         for batch in started.join(done, ["mode", "batch_id"], "left_anti").collect():
             rows = rows.where((F.col("mode") != batch["mode"]) | (F.col("batch_id") != batch["batch_id"]))
         return rows
 
-    def documents(self, spark: SparkSession) -> DataFrame:
+    # --- what readers see
+
+    def documents(self, spark: SparkSession, covered: dict[str, int] | None = None) -> DataFrame:
         """Every accepted row of the committed batches."""
-        return self._committed(spark, "documents", DOCUMENT_LOG)
+        rows = self._committed(spark, "rows", ROW_LOG, covered or {})
+        return rows.where(F.col("error").isNull()).select(*_columns(DOCUMENT_LOG))
 
     def feed(self, spark: SparkSession) -> DataFrame:
-        return self._committed(spark, "feed", FEED_LOG)
+        """An event per row of the committed batches, rejected ones included."""
+        return feed_of(self._committed(spark, "rows", ROW_LOG, {}))
+
+    def dead_letters(self, spark: SparkSession, only_open: bool = False) -> DataFrame:
+        """Entries with their status now; of open ones of the same record, version and sink, the first.
 
-    def dead_letters(self, spark: SparkSession) -> DataFrame:
-        entries = self._committed(spark, "dead_letters", ENTRY_LOG)
-        entries = entries.withColumn("batch_id", F.concat_ws("-", "mode", "batch_id")).drop("mode")
-        folded = dead_letters.fold_status(entries, self.read(spark, "replay_marks", MARK_LOG))
-        return folded.select(*[c.split()[0] for c in S.DEAD_LETTERS.split(", ")])
+        Two modes that run at once may both reject a row before either sees the other's entry.
+        """
+        snapshot, covered = self.last_snapshot(spark)
+        recent = self._committed(spark, "dead_letters", ENTRY_LOG, covered)
+        recent = recent.withColumn("batch_id", F.concat_ws("-", "mode", "batch_id")).select(*_columns(S.DEAD_LETTERS))
+        taken = self._snapshot(spark, snapshot, "dead_letters", S.DEAD_LETTERS)
+        if only_open:
+            taken = taken.where(dead_letters.is_open())  # by partition
+        marks = self.read_after(spark, "replay_marks", MARK_LOG, covered)
+        folded = dead_letters.fold_status(taken.unionByName(recent), marks).select(*_columns(S.DEAD_LETTERS))
+        waiting = dead_letters.is_open()
+        first = Window.partitionBy(*dead_letters.OPEN_KEY).orderBy("created_at", "id")
+        one_open = folded.where(waiting).withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
+        return one_open if only_open else folded.where(~waiting).unionByName(one_open)
 
     def checkpoints(self, spark: SparkSession) -> DataFrame:
         """The cursor of the last committed batch of each mode."""
@@ -86,41 +178,56 @@ class ReplicationTables:
         moved = self.batch_log(spark).where(F.col("ok") & (F.col("rows") > 0))
         return moved.groupBy("mode").agg(last).select("mode", "_at.cursor_id", "_at.cursor_ts")
 
-    def _last_snapshot(self, spark: SparkSession) -> tuple[int | None, dict[str, int]]:
-        """Which snapshot is the newest, and the batch per mode it goes up to: a row per mode."""
-        log = self.read(spark, "snapshot_log", SNAPSHOT_LOG)
-        newest = log.where(F.col("snapshot") == log.agg(F.max("snapshot")).scalar()).collect()
-        return (newest[0]["snapshot"] if newest else None), {r["mode"]: r["last_batch"] for r in newest}
-
     def state(self, spark: SparkSession) -> DataFrame:
         """One row per id: the newest snapshot, and the batches committed since, merged on read."""
-        snapshot, covered = self._last_snapshot(spark)
-        rows = self.documents(spark)
-        for mode, batch in covered.items():
-            rows = rows.where((F.col("mode") != mode) | (F.col("batch_id") > batch))
-        if snapshot is not None:
-            stored = spark.read.schema(DOCUMENT_LOG).parquet(self.path(f"snapshots/{snapshot}"))
-            rows = rows.unionByName(stored)
+        snapshot, covered = self.last_snapshot(spark)
+        rows = self.documents(spark, covered).unionByName(self._snapshot(spark, snapshot, "documents", DOCUMENT_LOG))
         return current_state(rows, order=NEWEST)
 
     def compact(self, spark: SparkSession) -> None:
-        """Write the state as a new snapshot; later reads merge only what comes after it.
+        """Write state, log, dead letters and consumer counts as a new snapshot; reads go on from it.
 
         The batches are fixed first, so that those committed meanwhile are left for the next
         snapshot, and the snapshot is used only once its log rows are written.
         """
-        last, covered = self._last_snapshot(spark)
-        log = self.batch_log(spark).where("ok")
-        upto = {r["mode"]: r["b"] for r in log.groupBy("mode").agg(F.max("batch_id").alias("b")).collect()}
+        last, covered = self.last_snapshot(spark)
+        log = self.batch_log(spark)
+        upto = {r["mode"]: r["b"] for r in log.where("ok").groupBy("mode").agg(F.max("batch_id").alias("b")).collect()}
+        if S.REPLAY in upto and not subfolders(spark, self.batch_path("replay_marks", S.REPLAY, upto[S.REPLAY])):
+            upto[S.REPLAY] -= 1  # committed, but its marks are still to be written
         if upto == covered:
             return
         snapshot = 0 if last is None else last + 1
-        rows = self.documents(spark)
-        for mode in {S.BACKFILL, S.INCREMENTAL} | upto.keys():
-            after, until = covered.get(mode, -1), upto.get(mode, -1)
-            rows = rows.where((F.col("mode") != mode) | F.col("batch_id").between(after + 1, until))
-        if last is not None:
-            rows = rows.unionByName(spark.read.schema(DOCUMENT_LOG).parquet(self.path(f"snapshots/{last}")))
-        current_state(rows, order=NEWEST).write.mode("overwrite").parquet(self.path(f"snapshots/{snapshot}"))
+
+        def fixed(rows: DataFrame) -> DataFrame:
+            within = F.lit(False)
+            for mode, until in upto.items():
+                within = within | ((F.col("mode") == mode) & (F.col("batch_id") <= until))
+            return rows.where(within)
+
+        def put(rows: DataFrame, table: str, *by: str) -> None:
+            rows.write.mode("overwrite").partitionBy(*by).parquet(self.path(f"snapshots/{snapshot}/{table}"))
+
+        taken = fixed(self.documents(spark, covered)).unionByName(self._snapshot(spark, last, "documents", DOCUMENT_LOG))
+        put(current_state(taken, order=NEWEST), "documents")
+        put(fixed(log).coalesce(1), "batch_log")
+        ours = F.substring_index("batch_id", "-", 1).alias("mode"), F.substring_index("batch_id", "-", -1).cast("bigint").alias("batch_id")
+        entries = self.dead_letters(spark).select(F.struct("*").alias("entry"), *ours)
+        put(fixed(entries).select("entry.*"), "dead_letters", "status")
         said = spark.createDataFrame(list(upto.items()), "mode STRING, last_batch BIGINT")
         said.coalesce(1).write.mode("overwrite").parquet(self.path(f"snapshot_log/snapshot={snapshot}"))
+
+
+def feed_of(rows: DataFrame) -> DataFrame:
+    """Events of stored rows: typed, and as the key and JSON text that a message sink takes."""
+    return rows.select(
+        event_id().alias("event_id"),
+        F.col("id").alias("record_id"),
+        "version",
+        "seq",
+        routing_key().alias("key"),
+        event_json(F.col("emitted_at")).alias("value"),
+        F.col("updated_at").alias("changed_at"),
+        "mode",
+        "batch_id",
+    )

@@ -1,14 +1,37 @@
-"""Rows per second as a stream."""
+"""Rows per second as a stream: counted per micro-batch, folded on read, so that no row is ever too late."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import schema as S
 from tidemark.plans.batches import throughput
+from tidemark.session import subfolders
 
+COUNTS = "bucket TIMESTAMP_NTZ, rows BIGINT"
 
-def throughput_stream(attempts: DataFrame, width: str = "1 second", kept: str = S.THROUGHPUT_KEPT) -> DataFrame:
-    """Rows per bucket of a stream of attempts; buckets older than ``kept`` leave the state."""
-    timed = attempts.withColumn("attempted_at", F.col("attempted_at").cast("timestamp"))
-    return throughput(timed.withWatermark("attempted_at", kept), width)
+
+def count_throughput(
+    attempts: DataFrame, path: str, width: str = "1 second", trigger: dict | None = None
+) -> StreamingQuery:
+    """Write each batch's rows per bucket to ``path``; a batch that runs again replaces its counts."""
+
+    def count(rows: DataFrame, batch_id: int) -> None:
+        throughput(rows, width).write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
+
+    return (
+        attempts.writeStream.foreachBatch(count)
+        .option("checkpointLocation", f"{path}/_checkpoint")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def counted(spark: SparkSession, path: str, as_of: Column | None = None, kept: str | None = None) -> DataFrame:
+    """All buckets; with ``as_of``, those no older by then than ``kept``: buckets expire, rows do not."""
+    if not subfolders(spark, f"{path}/counts"):
+        return spark.createDataFrame([], COUNTS)
+    folded = spark.read.schema(COUNTS).parquet(f"{path}/counts").groupBy("bucket").agg(F.sum("rows").alias("rows"))
+    if as_of is None:
+        return folded
+    return folded.where((F.col("bucket") > as_of - F.expr(f"INTERVAL {kept}")) & (F.col("bucket") <= as_of))
