@@ -990,7 +990,9 @@ def _synced(spark: SparkSession, folder: str) -> ReplicationTables:
     given(
         "records",
         f"""SELECT id || ':' || version AS event_id, id AS record_id, version, 'backfill' AS mode FROM records
- UNION ALL SELECT id || ':' || (version + 1), id, version + 1, 'incremental' FROM records WHERE id IN ({PICKED_SQL})""",
+ UNION ALL SELECT id || ':' || v, id, v, 'incremental' FROM (SELECT id, CASE WHEN bumped THEN version + 1 ELSE version END AS v,
+ CASE WHEN bumped THEN {NOW_SQL} ELSE updated_at END AS t FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records))
+ WHERE t > TIMESTAMP '1999-12-31' OR (t = TIMESTAMP '1999-12-31' AND id > 0)""",
     ),
 )
 def sync_feed(spark, folder):
