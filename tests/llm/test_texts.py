@@ -1,6 +1,5 @@
 """Secrets, chats, tokens, fingerprints, benchmark and quality: row by row against plain versions."""
 
-import hashlib
 import random
 import re
 import zlib
@@ -10,7 +9,6 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import chat, decontaminate, fingerprint, quality, secrets, tokens
