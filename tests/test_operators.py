@@ -13,6 +13,7 @@ import synth
 from tidemark.operators import consume, cursor, dead_letters, feed, search
 from tidemark.operators.validate import with_error
 from tidemark.plans import batches, reconcile, status
+from tidemark.session import new_dir
 from tidemark.sources import bindings as B
 from tidemark.sources.tables import id_ranges
 
@@ -201,6 +202,16 @@ def test_search_equals_a_scan(spark, texts):
         assert [r["id"] for r in search.search(df, q, 20).collect()] == found(texts, q, 20), q
 
 
+def test_search_by_words_equals_a_scan(spark, texts):
+    df, path = people(spark, texts), new_dir(spark, "words")
+    search.write_words(df, path)
+    words = search.read_words(spark, path)
+    for q in QUERIES:
+        assert [r["id"] for r in search.search_words(df, words, q, 20).collect()] == found(texts, q, 20), q
+    plan = words.where(F.col("word").isin("hot", "cold7"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(word" in plan
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_many_searches_equal_single_ones(spark, texts, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

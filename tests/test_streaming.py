@@ -11,7 +11,6 @@ from tidemark.functions.times import utc
 import synth
 from tidemark.operators import consume, upsert
 from tidemark.operators.dead_letters import has_replay_context, is_open
-from tidemark.operators.validate import accepted, with_error
 from tidemark.plans import batches, reconcile, status
 from tidemark.session import new_dir
 from tidemark.sources import bindings as B

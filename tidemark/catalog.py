@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schema as S
 from tidemark.functions.documents import event_id, to_documents
-from tidemark.functions.times import utc
 from tidemark.operators import consume, cursor, dead_letters, feed, sample, search, upsert
 from tidemark.operators.validate import accepted, rejected, with_error
 from tidemark.plans import batches, reconcile, status
@@ -830,6 +829,15 @@ def search_text(spark, folder):
     return search.search(B.text_records(spark, folder), TEXT_QUERY)
 
 
+@query("search_indexed", ORACLES["search_text"])
+def search_indexed(spark, folder):
+    """As search_text, from a table of words."""
+    records = B.text_records(spark, folder)
+    path = new_dir(spark, "words")
+    search.write_words(records, path)
+    return search.search_words(records, search.read_words(spark, path), TEXT_QUERY)
+
+
 @query("search_email", given("records", f"SELECT {RECORD_SQL} FROM records WHERE email = 'user7@example.com' ORDER BY id DESC LIMIT 50"))
 def search_email(spark, folder):
     return search.search(B.records(spark, folder), "user7@example.com")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schema as S
-from tidemark.functions.documents import document, event_id, event_json, iso, routing_key
+from tidemark.functions.documents import document, event_id, event_json, routing_key
 
 
 def feed_messages(rows: DataFrame, emitted_at: Column) -> DataFrame:

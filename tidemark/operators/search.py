@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark import schema as S
 from tidemark.functions.text import contains_ignoring_case, is_id_query, shares_word, tokens, trimmed
@@ -24,6 +24,35 @@ def search(records: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataF
     return records.where(matches(F.lit(query))).orderBy(F.col("id").desc()).limit(limit)
 
 
+def write_words(records: DataFrame, path: str) -> None:
+    """The table (word, id) of the records' names, laid out by word, newest ids first.
+
+    Built once, when records are written; a frequent word is cut by id, so no task has all of it.
+    """
+    words = records.select(F.explode(tokens(F.col("name"))).alias("word"), "id")
+    newest = F.col("id").desc()
+    words.repartitionByRange("word", newest).sortWithinPartitions("word", newest).write.parquet(path)
+
+
+def read_words(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("word STRING, id BIGINT").parquet(path)
+
+
+def search_words(records: DataFrame, words: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataFrame:
+    """``search`` by a table of words: the query's words are pushed to its reader, texts are not looked into.
+
+    What the words do not answer (blank and id queries, exact email or name) are plain filters.
+    """
+    asked = records.sparkSession.range(1).select(trimmed(F.lit(query)).alias("text"), tokens(trimmed(F.lit(query))).alias("words"))
+    text, wanted = asked.first()  # one row
+    if not text or text.isascii() and text.isdigit():
+        return search(records, query, limit)
+    exact = records.where((F.col("email") == text) | (F.col("name") == text)).select("id")
+    by_word = words.where(F.col("word").isin(wanted)).select("id")
+    newest = by_word.union(exact).distinct().orderBy(F.col("id").desc()).limit(limit)
+    return records.join(newest, "id", "left_semi").orderBy(F.col("id").desc())
+
+
 def search_like(records: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataFrame:
     """Rows whose email or name contains the query in any case, or whose id it is."""
     q = F.lit(query)
