@@ -59,6 +59,15 @@ def test_literals(text, found):
     assert [text[a:b] for _, a, b in secrets.literal_spans(text)] == found
 
 
+@pytest.mark.parametrize(
+    "value, found",
+    [("k9-Yourself!27Qz", 1), ("none-Shall!Pass27Rq", 1), ("q8ZrTodo77pLx0Vw", 1), ("A9f...kQ27!mZxxx", 1)]
+    + [("your-api-key-here", 0), ("Change_Me_123!", 0), ("xxxxxxxxxxxx", 0), ("************", 0), ("EXAMPLE-123456", 0), ("placeholder", 0)],
+)
+def test_placeholders(value, found):
+    assert len(secrets.literal_spans(f'db_pwd = "{value}"')) == found
+
+
 def test_secret_scan(spark):
     long = "lorem " * 200_000 + 'token = "aZ09bY18cX27dW36"'
     rows = [*brute.awkward(), (99, long, None, None, None, *brute.NO_EXTRA)]

@@ -45,6 +45,8 @@ SENSITIVE = {
 }
 #: Literals that stand for a value which is not there.
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "dummy", "sample", "todo", "none", "null", "true", "false", "xxx", "***", "...")
+#: Words that a placeholder may have beside those.
+FILLERS = frozenset("a an api change enter here insert it key me my now passwd password please replace secret the this token user value with".split())
 THRESHOLD = 5.0
 
 _TOKEN = re.compile(
@@ -61,6 +63,8 @@ _TOKEN = re.compile(
     re.X | re.A,
 )
 _ASSIGNMENT = re.compile(r"""[A-Za-z0-9_$"'`\]][\x20\t]*(?::=|=>|=|:)[\x20\t]*["'`A-Za-z0-9_$+/]""", re.A)
+_SIGNS = re.compile(r"[xX]{3,}|\*{3,}|\.{3,}")
+_WORDS = re.compile(r"[^\W\d_]+")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -88,9 +92,17 @@ def name_score(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
 
 
+def placeholder(value: str) -> bool:
+    """Whether the whole literal stands for a value that is not there: its words without digits and signs are no others."""
+    words = _WORDS.findall(value.lower())
+    if _SIGNS.fullmatch(value) or "".join(words) in PLACEHOLDERS:
+        return True
+    return any(w in PLACEHOLDERS for w in words) and all(w in PLACEHOLDERS or w in FILLERS for w in words)
+
+
 def literal_score(value: str) -> float:
     """What a literal looks like: long, of many different characters, of several kinds, no placeholder."""
-    if len(value) < 6 or value.startswith(("${", "{{", "<", "%(", "$(")) or any(p in value.lower() for p in PLACEHOLDERS):
+    if len(value) < 6 or value.startswith(("${", "{{", "<", "%(", "$(")) or placeholder(value):
         return -10.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
