@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, secrets, simhash, suffix, tokens
+from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, repair, secrets, simhash, suffix, tokens
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -100,6 +100,12 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.compare(read(spark, folder, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = repair.damage(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    found = repair.repair(damaged, digest=True)
+    return found.withColumn("repaired_sha256", F.lower(F.hex("kept"))).drop("kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -111,13 +117,92 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _ESCAPED = r"""replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"""
 
 _WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
+
+
+def _edited(way: str, cost: str, edit: str) -> str:
+    """A way with one more edit: six digits of cost, then the audit, so that the least text is the best way."""
+    return f"lpad((left({way}, 6)::INT + {cost})::VARCHAR, 6, '0') || substr({way}, 7) || '{edit}'"
+
+
+def _with_insertions(w: list[str]) -> str:
+    """The best ways to the four states of the grammar, insertions at the end included, as columns w0 to w3."""
+    user = f"least({w[2]}, " + ", ".join(_edited(w[s], "5", "I") for s in (0, 1, 3)) + ")"
+    return f"{w[0]} AS w0, {w[1]} AS w1, {user} AS w2, least({w[3]}, {_edited(user, '5', 'I')}) AS w3"
+
+
+_REPAIR = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n, range(8)), lambda c, k: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1))) AS t),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+hashed AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda k: ascii(name[k])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM given, crc),
+damaged AS (
+  SELECT conv_id, turn, if(kind = 4, 'user', role) AS role, unnest(range(if(kind = 3, 2, 1))) AS copy,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed WHERE kind <> 0),
+turns AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, *,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending FROM damaged),
+faults AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS before,
+    CASE WHEN ending = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM turns),
+rows_ AS (
+  SELECT g, i, c, coalesce(fault IN ('blank', 'duplicate'), false) AS gone, if(fault = 'truncated', 5, 0) AS stays FROM faults),
+ways AS (
+  SELECT g, 0 AS i, {_with_insertions(["'000000'", "NULL::VARCHAR", "NULL::VARCHAR", "NULL::VARCHAR"])}
+  FROM (SELECT DISTINCT g FROM faults)
+  UNION ALL
+  SELECT g, i, {_with_insertions(["d0", "d1", "d2", "d3"])} FROM (
+    SELECT r.g, r.i,
+      {_edited("w0", "2", "D")} AS d0,
+      least({_edited("w1", "2", "D")}, if(NOT gone AND c = 's', {_edited("w0", "stays", "K")}, NULL)) AS d1,
+      least({_edited("w2", "2", "D")},
+        if(NOT gone AND c = 'u', least({", ".join(_edited(w, "stays", "K") for w in ("w0", "w1", "w3"))}), NULL),
+        if(NOT gone AND c <> 'u', least({", ".join(_edited(w, "stays + 1", "R") for w in ("w0", "w1", "w3"))}), NULL)) AS d2,
+      least({_edited("w3", "2", "D")}, if(NOT gone, if(c = 'a', {_edited("w2", "stays", "K")}, {_edited("w2", "stays + 1", "R")}), NULL)) AS d3
+    FROM ways w JOIN rows_ r ON r.g = w.g AND r.i = w.i + 1) AS steps (g, i, d0, d1, d2, d3)),
+best AS (
+  SELECT w.g, least(w0, w3) AS way FROM ways w JOIN (SELECT g, max(i) AS i FROM faults GROUP BY g) USING (g, i)),
+edits AS (SELECT g, substr(way, 7) AS audit, unnest(range(1, length(way) - 5)) AS p FROM best),
+left_ AS (
+  SELECT g, p, audit[p] AS edit, length(replace(left(audit, p), 'I', '')) AS i,
+    length(replace(left(audit, p), 'D', '')) AS place FROM edits WHERE audit[p] <> 'D'),
+placed AS (
+  SELECT l.*, f.role, f.text, max(if(place = 1 AND edit = 'K' AND f.c = 's', 1, 0)) OVER (PARTITION BY l.g) AS led
+  FROM left_ l LEFT JOIN faults f ON f.g = l.g AND f.i = l.i),
+repaired AS (
+  SELECT g, sha256(string_agg(if(edit = 'K', role, if((place - led) % 2 = 1, 'user', 'assistant')) || ':'
+    || if(edit = 'I', '', text), chr(10) ORDER BY p)) AS sha FROM placed GROUP BY g),
+counted AS (
+  SELECT conv_id, g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id, g)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(way, 6)::BIGINT, 0) AS cost,
+  coalesce(substr(way, 7), '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best USING (g) LEFT JOIN repaired USING (g)"""
+
 ORACLES: dict[str, str] = {
+    "op13_conversation_repair": _REPAIR,
     "op5_benchmark_decontamination": f"""
 WITH items AS (
   SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
