@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, repair, secrets, simhash, suffix, tokens
+from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, repair, secrets, simhash, suffix, tokens, variants
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -100,6 +100,10 @@ def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.compare(read(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group_variants(read(spark, folder, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     damaged = repair.damage(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
     found = repair.repair(damaged, digest=True)
@@ -117,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_output": op9_token_output,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
