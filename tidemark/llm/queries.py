@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, quality, repair, secrets, simhash, suffix, tokens, variants
+from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, pii, quality, repair, secrets, simhash, suffix, tokens, variants
 from tidemark.llm.common import batches, read, values
 from tidemark.session import new_dir
 
@@ -104,6 +104,16 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.group_variants(read(spark, folder, "documents"))
 
 
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    found = pii.find(docs, pii.train(docs), ["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    sha = F.sha2(text(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("kept.doc_id", *counts, sha, text(F.col("spans")).alias("spans"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     damaged = repair.damage(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
     found = repair.repair(damaged, digest=True)
@@ -122,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_output": op9_token_output,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_pii": op12_pii,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
