@@ -29,11 +29,11 @@ from tidemark.llm.tagger import PAD, Tagger, encode
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000  #: documents looked at for training, about
-SAMPLE_WINDOWS = 800  #: windows with a span, and as many without, at most
-LEARNT = 96  #: characters in a window of training
+SAMPLE_WINDOWS = 600  #: windows with a span, and as many without, at most
+LEARNT = 72  #: characters in a window of training
 WINDOW, OVERLAP = 160, 32
 BLOCK = 440  #: windows that move together
-HIDDEN, ROUNDS, BATCH, RATE = 12, 10, 64, 0.02
+HIDDEN, ROUNDS, BATCH, RATE = 12, 12, 128, 0.03
 
 Span = tuple[str, int, int]
 
@@ -217,7 +217,7 @@ def fitted(windows: list[tuple[bool, str, list[Span]]], seed: int = 7) -> Tagger
         return None
     x, y = examples(windows, seed)
     tagger = Tagger.new(len(KINDS) + 1, HIDDEN, seed)
-    rounds = max(ROUNDS, min(60, -(-ROUNDS * 3000 // len(x))))  # few examples are gone over more often
+    rounds = max(ROUNDS, min(30, -(-ROUNDS * 2500 // len(x))))  # few examples are gone over more often
     tagger.fit(x, y, rounds, BATCH, RATE, seed)
     return tagger
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import automata, chat, decontaminate, fingerprint, mixing, pii, quality, repair, secrets, simhash, suffix, tokens, variants
@@ -109,7 +109,11 @@ def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(docs, pii.train(docs), ["doc_id"])
     base = F.filter("spans", lambda s: s["base"])
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
     sha = F.sha2(text(base).cast("binary"), 256).alias("base_sha256")
     return found.select("kept.doc_id", *counts, sha, text(F.col("spans")).alias("spans"))
 

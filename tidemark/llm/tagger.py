@@ -77,9 +77,10 @@ class Tagger:
             before, c = c, forget * c + gate * candidate
             squeezed = np.tanh(c)
             last, h = h, output * squeezed
-            keep.append((last, before, z, c, squeezed, h))
-            for side in (0, 1):
-                scores[at[side]] += h[side] @ self.out[side]
+            keep.append((last, before, z, squeezed, h))
+        held = np.stack([k[-1] for k in keep])
+        scores += held[:, 0] @ self.out[0]
+        scores += held[::-1, 1] @ self.out[1]
         return scores + self.bias
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -179,15 +180,16 @@ class Tagger:
         share[row, col, y.T] -= 1
         np.subtract.at(moved, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
         d_scores = share / batch
-        d_out, d_table, d_inner = np.zeros_like(self.out), np.zeros_like(self.table), np.zeros_like(self.inner)
+        flat = lambda a: a.reshape(-1, a.shape[-1])
+        both = (d_scores, d_scores[::-1])  # as each direction meets them
+        d_out = np.stack([flat(np.stack([k[-1][side] for k in keep])).T @ flat(both[side]) for side in (0, 1)])
+        from_scores = np.stack([both[side] @ self.out[side].T for side in (0, 1)], axis=1)
+        d_table = np.zeros_like(self.table)
         d_h, d_c = np.zeros((2, batch, hidden), _F), np.zeros((2, batch, hidden), _F)
         d_gates = np.empty((2, steps, batch, 4 * hidden), _F)
         for t in range(steps - 1, -1, -1):
-            last, before, z, c, squeezed, h = keep[t]
-            at = (t, steps - 1 - t)
-            for side in (0, 1):
-                d_out[side] += h[side].T @ d_scores[at[side]]
-                d_h[side] += d_scores[at[side]] @ self.out[side].T
+            _, before, z, squeezed, _ = keep[t]
+            d_h = d_h + from_scores[t]
             gate, forget, output, candidate = (z[:, :, k * hidden : (k + 1) * hidden] for k in range(4))
             d_c = d_c + d_h * output * (1 - squeezed**2)
             d_z = np.concatenate(
@@ -199,16 +201,16 @@ class Tagger:
                 ],
                 axis=2,
             )
-            for side in (0, 1):
-                d_gates[side, at[side]] = d_z[side]
-            d_inner += np.matmul(last.transpose(0, 2, 1), d_z)
+            d_gates[:, t] = d_z
             d_h = np.matmul(d_z, self.inner.transpose(0, 2, 1))
             d_c = d_c * forget
-        classes = x.T.ravel()
-        order = np.argsort(classes, kind="stable")
-        first = np.nonzero(np.diff(classes[order].astype(np.int64), prepend=-1))[0]
-        for side in (0, 1):
-            d_table[side][classes[order[first]]] = np.add.reduceat(d_gates[side].reshape(-1, 4 * hidden)[order], first, axis=0)
+        before = np.stack([k[0] for k in keep], axis=1)
+        d_inner = np.stack([flat(before[side]).T @ flat(d_gates[side]) for side in (0, 1)])
+        for side, columns in enumerate((x.T, x.T[::-1])):
+            classes = columns.ravel()
+            order = np.argsort(classes, kind="stable")
+            first = np.nonzero(np.diff(classes[order].astype(np.int64), prepend=-1))[0]
+            d_table[side][classes[order[first]]] = np.add.reduceat(flat(d_gates[side])[order], first, axis=0)
         loss = float((total - right).mean())
         return loss, [d_table, d_inner, d_out, d_scores.sum(axis=(0, 1)), moved / batch]
 
