@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import simhash
@@ -81,46 +82,20 @@ def test_keep_one(spark):
     assert simhash.keep_one(brute.documents(spark, [])).collect() == []
 
 
-def shingle_set(text: str, words: int = 5) -> frozenset:
-    parts = text.lower().split()
-    return frozenset(tuple(parts[k : k + words]) for k in range(max(1, len(parts) - words + 1)))
-
-
-def near_pairs() -> list[str]:
-    """Texts around a similarity of 0.8: long and short ones, chains, and different texts with one line many times."""
-    texts = []
-    for seed in range(60):
-        text = brute.prose(1000 + seed, 60 + 7 * (seed % 9))
-        texts += [text, *(edited(text, 1 + (seed + k) % 5, 10 * seed + k) for k in range(1 + seed % 3))]
-    for seed in range(60):
-        words = brute.prose(2000 + seed, 6 + seed % 9).split()
-        texts += [" ".join(words), " ".join(["changed", *words[1:]]), " ".join([*words, "more"]), " ".join([*words, "more", "words"])]
-    for seed in range(4):
-        texts.append(f"{brute.prose(3000 + seed, 40)} " + "the same line stands here again and again " * 300)
-    return texts
-
-
-@pytest.mark.parametrize("hub, most", [(simhash.HUB, simhash.TEXTS), (1, 3)])
-def test_keep_one_is_exact(spark, monkeypatch, hub, most):
-    monkeypatch.setattr(simhash, "HUB", hub)
-    monkeypatch.setattr(simhash, "TEXTS", most)
-    texts = near_pairs()
-    sets = [shingle_set(t) for t in texts]
-    likeness = [len(a & b) / len(a | b) for k, a in enumerate(sets) for b in sets[:k]]
-    assert sum(0.6 <= s < 0.8 for s in likeness) > 50 and sum(0.8 <= s <= 0.9 for s in likeness) > 20
-    of = brute.components(list(range(len(texts))), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    rows = [(k, t, None, None, None, *brute.NO_EXTRA) for k, t in enumerate(texts)]
-    assert sorted(r.doc_id for r in simhash.keep_one(brute.documents(spark, rows)).collect()) == sorted({min(c) for c in of.values()})
-
-
-@pytest.mark.parametrize("seed", range(5))
-def test_similar_sets(seed):
-    draw = random.Random(seed)
-    whole = draw.sample(range(1 << 60), 40)
-    sets = [np.array(sorted(draw.sample(whole[:m], draw.randint(1, m))), np.uint64) for m in draw.choices(range(1, 41), k=80)]
-    plain = [set(s.tolist()) for s in sets]
-    near = lambda a, b: len(plain[a] & plain[b]) / len(plain[a] | plain[b]) >= 0.8
-    links = simhash.similar(sets, 0.8)
-    of = brute.components(list(range(80)), near)
-    found = brute.components(list(range(80)), lambda a, b, s=set(links): (a, b) in s or (b, a) in s)
-    assert all(near(a, b) for a, b in links) and {frozenset(c) for c in found.values()} == {frozenset(c) for c in of.values()}
+def test_keep_one_keeps_one_of_each_component(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    ids = {r.component_id for r in QUERIES["op4_simhash_dedup"](spark, folder).collect()}
+    for parts in (3, 17):
+        assert sorted(r.doc_id for r in simhash.keep_one(docs.repartition(parts)).collect()) == sorted(ids)
+
+
+def test_components_of_links_that_come_in_another_order_each_time(spark):
+    """Another spanning forest each time the links are computed: each of them has all its links both ways."""
+
+    def forest(stream):
+        for batch in stream:
+            order = np.random.permutation(200)  # a chain through the nodes, in an order of its own
+            yield pa.RecordBatch.from_arrays([pa.array(order[:-1]), pa.array(order[1:])], ["a", "b"])
+
+    links = spark.range(1, numPartitions=1).mapInArrow(forest, "a bigint, b bigint")
+    assert {tuple(r) for r in components(links).collect()} == {(k, 0) for k in range(200)}

@@ -16,8 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     one row per node, so that a node with very many links is not gathered in one task. Nodes may be of
     any type that sorts. No links give no rows; repeated links and links to itself change nothing.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.where("a <> b").distinct(), "links")
+    # each row gives both directions, so that links computed anew in another order can't come apart
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.where("a <> b").select(F.inline(ways)).distinct(), "links")
     roots = both.groupBy("a").agg(F.min("b").alias("low"))
     roots = written(roots.select(F.col("a").alias("node"), F.least("a", "low").alias("root")), "roots")
     while True:

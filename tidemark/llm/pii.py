@@ -31,9 +31,9 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000  #: documents looked at for training, about
 SAMPLE_WINDOWS = 600  #: windows with a span, and as many without, at most
 LEARNT = 72  #: characters in a window of training
-WINDOW, OVERLAP = 160, 32
+WINDOW, OVERLAP = 224, 32
 BLOCK = 440  #: windows that move together
-HIDDEN, ROUNDS, BATCH, RATE = 12, 12, 128, 0.03
+HIDDEN, ROUNDS, BATCH, RATE = 8, 12, 128, 0.03
 
 Span = tuple[str, int, int]
 

@@ -17,17 +17,11 @@ Equal fingerprints are one row before anything is compared. A block with over ``
 distinct fingerprints is dealt into chunks and every pair of chunks is a task of its own, so that memory
 stays bounded and no link is lost. A task returns a spanning forest of the links it finds, not all
 pairs: a fingerprint once reached is compared no more but as a query.
-
-``keep_one`` takes such links as proposals only and judges by the exact Jaccard similarity of shingle sets. Each
-proposed link is confirmed by its two texts; a proposed component all of whose links hold is one. In the others
-a link that is missing from the forest may hold where one of the forest does not, so that all pairs of their texts
-are compared that can be as similar by size.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +36,6 @@ from tidemark.llm.components import components
 CHUNK = 16_384
 #: Blocks up to this many fingerprints are compared together with others, pair by pair in lanes.
 SMALL = 24
-#: Links of one text that are confirmed in one task; texts and characters of a component that are compared in one task.
-HUB, TEXTS, CHARS = 256, 2048, 1 << 22
 SEED = 42
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = 0x9E3779B97F4A7C15
@@ -334,89 +326,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     return prints.join(named, "fingerprint").select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
-def similar(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that span the components of sets (none empty) whose Jaccard similarity is ``similarity`` or more."""
-    order = sorted(range(len(sets)), key=lambda k: len(sets[k]))
-    sizes = np.array([len(sets[k]) for k in order], np.int64)
-    starts = np.r_[0, np.cumsum(sizes)]
-    known, items = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
-    held = np.zeros(len(known), np.int32)
-    label = np.arange(len(order))
-    links: list[tuple[int, int]] = []
-    for k in range(len(order) - 1):
-        low, high = k + 1, int(np.searchsorted(sizes, sizes[k] / similarity + 0.5, "right"))
-        if high <= low or (label[low:high] == label[k]).all():
-            continue
-        own = items[starts[k] : starts[low]]
-        held[own] = 1
-        shared = np.add.reduceat(held[items[starts[low] : starts[high]]], starts[low:high] - starts[low])
-        held[own] = 0
-        for other in np.flatnonzero(shared / (sizes[k] + sizes[low:high] - shared) >= similarity) + low:
-            if label[other] != label[k]:
-                label[label == label[other]] = label[k]
-                links.append((order[k], order[other]))
-    return links
-
-
-def _shingle_set(text: str | None, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text or "", words))
-
-
-def confirmed(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``a, b, holds`` of each link: whether the texts' shingle sets are as similar.
-
-    A text is sent once for every ``HUB`` of its links as ``a`` and meets the others' texts one by one.
-    """
-    shares = links.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("n"))
-    texts = texts.select("fingerprint", "text")
-    hubs = shares.join(texts.withColumnRenamed("fingerprint", "a"), "a")
-    hubs = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("share"), F.lit(None).cast("binary").alias("b"), "text")
-    share = F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("share")
-    others = links.join(shares, "a").select("a", share, "b").join(texts.withColumnRenamed("fingerprint", "b"), "b")
-    rows = hubs.unionByName(others).repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("holds", pa.bool_())])
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def judged() -> Iterator[tuple]:
-            hub = np.zeros(0, np.uint64)
-            for a, b, text in values(stream):
-                own = _shingle_set(text, words)
-                if b is None:
-                    hub = own
-                    continue
-                shared = len(np.intersect1d(hub, own, assume_unique=True))
-                yield a, b, shared / (len(hub) + len(own) - shared) >= similarity
-
-        yield from batches(schema, judged())
-
-    return rows.select("a", "b", "text").mapInArrow(run, "a binary, b binary, holds boolean")
-
-
-def all_links(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between ``texts (root, fingerprint, text)`` of one root that are as similar: a forest.
-
-    A root with many texts or characters is dealt into chunks, every pair of chunks is a task of its own.
-    """
-    n = F.ceil(F.greatest(F.count(F.lit(1)) / TEXTS, F.sum(F.length("text")) / CHARS)).cast("int")
-    dealt = texts.join(texts.groupBy("root").agg(F.greatest(n, F.lit(1)).alias("n")), "root")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("n")).cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("n = 1 or own <> with")
-    group = ["root", "low", "high"]
-    rows = dealt.select("root", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "fingerprint", "text")
-    rows = rows.repartition(*group).sortWithinPartitions(*group)
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple]:
-            for _, of_group in itertools.groupby(values(stream), key=lambda r: r[:3]):
-                nodes, sets = zip(*((node, _shingle_set(text, words)) for *_, node, text in of_group))
-                for a, b in similar(list(sets), similarity):
-                    yield nodes[a], nodes[b]
-
-        yield from batches(_LINKS, found())
-
-    return rows.mapInArrow(run, "a binary, b binary")
-
-
 def _picked(docs: DataFrame, first: DataFrame) -> DataFrame:
     """``row`` and what ``first`` has besides doc_id, text_hash and no_id, for one of the rows that each row of it tells."""
     key = ["k1", "k2", "no_id"]
@@ -429,37 +338,15 @@ def _picked(docs: DataFrame, first: DataFrame) -> DataFrame:
     return rows.withColumn("number", number).where("number = 1").select("row", *others)
 
 
-def proposing(similarity: float, bits: int) -> int:
-    """Bits by which fingerprints of sets of that Jaccard similarity differ at most, but for one pair in a million.
-
-    Their cosine is 2s / (1 + s) or more; where few shingles vote on a bit it differs up to a quarter more often
-    (4 shingles of 5: 0.1875 of the bits for 0.1515).
-    """
-    share = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + 5.4 * math.sqrt(bits * share * (1 - share)))
-
-
-def keep_one(docs: DataFrame, words: int = 5, bits: int = 256, similarity: float = 0.8, minima: int = 8) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """Rows of ``docs`` without near-duplicates: of each component the row with the smallest doc_id stays.
 
-    Texts are linked if the Jaccard similarity of their sets of shingles is ``similarity`` or more. Links are looked for
-    between texts that share one of ``minima`` least shingle hashes and whose fingerprints differ in ``proposing`` bits or
-    fewer, and in components of those. Ids that are null come last, rows of one id are ordered by their texts' hash; of
-    repeated rows one stays.
+    Components are those of ``near_duplicates``. Ids that are null come last, rows of one id are ordered by their texts'
+    hash; of repeated rows one stays.
     """
-    prints = written(fingerprints(docs, words, bits, minima, sets=True), "fingerprints")
+    prints = written(fingerprints(docs, words), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    distinct = prints.select("fingerprint", "minima").distinct()
-    proposed = written(links(distinct, minimum_keys(), proposing(similarity, bits), bits).distinct(), "proposed")
-    roots = components(proposed).select(F.col("node").alias("fingerprint"), "root")
-    first = prints.join(roots, "fingerprint").groupBy("fingerprint", "root").agg(F.min(order).alias("first"))
-    texts = _picked(docs.select("doc_id", "text"), first.select("fingerprint", "root", "first.*"))
-    texts = written(texts.select("fingerprint", "root", "row.text"), "texts")
-    judged = written(confirmed(proposed, texts, words, similarity), "judged")
-    open_roots = judged.where("not holds").join(roots.withColumnRenamed("fingerprint", "a"), "a").select("root").distinct()
-    open_roots = written(open_roots, "open")
-    settled = roots.join(open_roots, "root", "left_anti").select("fingerprint", "root")
-    solved = components(all_links(texts.join(open_roots, "root", "left_semi").select("root", "fingerprint", "text"), words, similarity))
-    rooted = prints.join(settled.union(solved), "fingerprint", "left")
-    first = rooted.groupBy(F.coalesce("root", "fingerprint")).agg(F.min(order).alias("first")).select("first.*")
+    firsts = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    rooted = firsts.join(groups(prints, bit_keys(radius), radius), "fingerprint", "left")
+    first = rooted.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("first")).select("first.*")
     return _picked(docs, first).select("row.*")
