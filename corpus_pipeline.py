@@ -26,8 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: shingles of five words, similarity of 0.8 or more."""
-    return simhash.keep_one(docs, words=5, similarity=0.8)
+    """One document of each group of fingerprints linked: shingles of four words, four bits or fewer apart."""
+    return simhash.keep_one(docs, words=4, radius=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
