@@ -143,9 +143,12 @@ def test_incomplete_write_is_not_committed(spark, split, clean, tables):
 
 def test_a_batch_committed_twice(spark, split, clean, tables):
     batch = B.unordered(read_table(spark, split, "events"))
+    sent = []
     for _ in range(2):
-        replication.commit_batch(batch, 0, tables, S.INCREMENTAL)
+        replication.commit_batch(batch, 0, tables, S.INCREMENTAL, publish_to=lambda messages: sent.append(messages.count()))
     assert everything(spark, tables) == everything(spark, clean)
+    counted = {r["name"]: r["value"] for r in batches.counters(tables.batch_log(spark)).collect()}
+    assert counted["records_processed"] == 1000 and sent == [1000]
 
 
 def test_both_modes_overlap(spark, split, clean, tables):
@@ -496,3 +499,46 @@ def test_sync_reads_its_source_a_fixed_number_of_times(spark, tables, folder):
         assert sync(counted_rows(), into, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=1500 // pages) == pages
         times.append(reads.value - before)
     assert times[0] == times[1] <= 2
+
+
+@pytest.mark.parametrize("step, dies_at", [("store_rows", 1), ("store_dead_letters", 1), ("publish", 3), ("_log_attempt", 4)])
+def test_pages_committed_together_survive_a_kill(spark, folder, monkeypatch, step, dies_at):
+    """Five pages in one job: whatever it dies after, the next call leaves what single pages leave."""
+    source = B.records(spark, folder)
+    one_by_one, tables = (ReplicationTables(new_dir(spark, "pages")) for _ in range(2))
+    sync(source, one_by_one, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=300, pages_per_commit=1)
+    real, calls = getattr(replication, step), []
+
+    def dies_once(*args, **kwargs):
+        calls.append(1)
+        if step == "_log_attempt" and len(calls) == dies_at:
+            raise RuntimeError("killed")
+        written = real(*args, **kwargs)
+        if len(calls) == dies_at:
+            raise RuntimeError("killed")
+        return written
+
+    monkeypatch.setattr(replication, step, dies_once)
+    with pytest.raises(RuntimeError):
+        sync(source, tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=300)
+    done = {"store_rows": 0, "store_dead_letters": 0, "publish": 2, "_log_attempt": 3}[step]
+    ids = sorted(r["id"] for r in source.select("id").collect())
+    assert tables.feed(spark).count() == 300 * done
+    assert [r["cursor_id"] for r in tables.checkpoints(spark).collect()] == [ids[300 * done - 1]] * bool(done)
+    assert sync(source, tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=300) == 5 - done
+    assert everything(spark, tables) == everything(spark, one_by_one)
+    log = lambda t: sorted(t.batch_log(spark).where("ok").select("batch_id", "rows", "rejected", "cursor_id", "read_id", "last_seq", "number").collect())
+    assert log(tables) == log(one_by_one)
+
+
+def test_a_smaller_redo_leaves_nothing_of_the_first_try(spark, tables, folder, monkeypatch):
+    """Rows and dead letters that a page wrote before it failed are gone when the source has changed by the redo."""
+    source = B.records(spark, folder)
+    monkeypatch.setattr(replication, "publish", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sync(source, tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=500)
+    monkeypatch.undo()
+    later = source.where("not poison and id % 2 = 0")
+    assert sync(later, tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=500) == 2
+    assert tables.dead_letters(spark).count() == 0
+    assert tables.feed(spark).count() == later.count() == tables.state(spark).count()

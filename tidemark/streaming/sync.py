@@ -2,7 +2,7 @@
 
 Rows of such a table are updated, not appended, so there are no new files to stream; what is new
 is found by key. The rows past the cursor are sorted and written once, whole; pages are committed
-from there, so that a page is the same rows however often it is tried, and the source is read once
+from there, several in one job, so that a page is the same rows however often it is tried, and the source is read once
 however many pages there are. The copy is removed at the end.
 """
 
@@ -18,10 +18,11 @@ from tidemark.functions.times import utc
 from tidemark.operators.cursor import checkpoint, initial_checkpoints, past_key, scan, with_boot_watermark
 from tidemark.operators.ordered import SortedCopy
 from tidemark.operators.validate import Rule
-from tidemark.streaming.replicate import Sender, commit_batch
+from tidemark.streaming.replicate import Sender, commit_pages
 from tidemark.streaming.tables import ReplicationTables
 
 ROWS_PER_BATCH = 10_000_000
+PAGES_PER_COMMIT = 16
 
 
 def resume_point(
@@ -58,12 +59,14 @@ def sync(
     overlap: str | None = None,
     store_to: Sender | None = None,
     publish_to: Sender | None = None,
+    pages_per_commit: int = PAGES_PER_COMMIT,
 ) -> int:
     """Replicate all there is past the mode's cursor; returns how many batches that took.
 
     Stopped anywhere, the next call goes on after the last batch committed. ``overlap`` reads again
     that far behind the incremental cursor, for rows committed late; the repeats are absorbed,
-    and the cursor stays where it was until rows past it are committed.
+    and the cursor stays where it was until rows past it are committed. Up to ``pages_per_commit`` pages
+    are written in one job and then logged one after the other; with ``store_to`` each is committed by itself.
     """
     spark, owner = source.sparkSession, f"sync-{mode}"
     log = tables.batch_log(spark).where(F.col("ok") & (F.col("mode") == mode))
@@ -76,15 +79,18 @@ def sync(
     copy = SortedCopy(remaining(source, mode, cursor, overlap), order)
     try:
         pages = range(0, copy.size, rows_per_batch)
+        together = 1 if store_to is not None else pages_per_commit
         # Arrival numbers go on from the mode's last one; even for the backfill, odd for the other
         # mode, so that none is used twice.
         first = last_seq // 2 + 1
-        for page, low in enumerate(pages, number):
-            rows = copy.page(low, low + rows_per_batch)
+        for start in range(0, len(pages), together):
+            some = pages[start : start + together]
+            rows = copy.page(some[0], some[-1] + rows_per_batch)
             arrival = (F.lit(first) + F.col("position")) * 2 + (0 if mode == S.BACKFILL else 1)
-            commit_batch(
-                rows.withColumn("seq", arrival), page, tables, mode, rules, store_to, publish_to, owner
-            )
+            page = F.floor((F.col("position") - some[0]) / rows_per_batch)
+            rows = rows.withColumns({"seq": arrival, "page": page})
+            numbers = list(range(number + start, number + start + len(some)))
+            commit_pages(rows, numbers, tables, mode, rules, store_to, publish_to, owner)
     finally:
         copy.remove()
     return len(pages)

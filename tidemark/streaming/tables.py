@@ -21,7 +21,7 @@ from tidemark.functions.documents import event_id, event_json, routing_key
 from tidemark.functions.times import utc
 from tidemark.operators import dead_letters
 from tidemark.operators.upsert import current_state
-from tidemark.session import subfolders
+from tidemark.session import remove, subfolders
 
 PARTITIONS = ", mode STRING, batch_id BIGINT"
 ROW_LOG = S.RECORDS + ", seq BIGINT, error STRING, emitted_at TIMESTAMP_NTZ" + PARTITIONS
@@ -38,10 +38,25 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A batch's number in its mode, when it was first tried, whether it is done, and whether it was tried before."""
+
+    batch_id: int
+    started_at: datetime
+    done: bool
+    tried: bool
+
+
 def _columns(ddl: str) -> list[str]:
     return [c.split()[0] for c in ddl.split(", ")]
 
 
+def _named(names: list[str], prefix: str) -> list[str]:
+    """What follows the prefix; a job that writes keeps files of its own beside."""
+    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+
 @dataclass(frozen=True)
 class ReplicationTables:
     root: str
@@ -56,6 +71,24 @@ class ReplicationTables:
     def write_batch(self, rows: DataFrame, table: str, mode: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.batch_path(table, mode, batch_id))
 
+    def write_batches(self, rows: DataFrame, table: str, mode: str, batch_ids: list[int]) -> None:
+        """Write several batches in one job, by the rows' ``batch_id``; what earlier tries left of them goes first."""
+        spark, base = rows.sparkSession, f"{self.path(table)}/mode={mode}"
+        self.remove_batches(spark, table, mode, batch_ids)
+        placed = rows.withColumn("generation", F.floor(F.col("batch_id") / self.generation).cast("bigint"))
+        placed.write.mode("append").partitionBy("generation", "batch_id").parquet(base)
+
+    def remove_batches(self, spark: SparkSession, table: str, mode: str, batch_ids: list[int]) -> None:
+        for batch_id in batch_ids:
+            path = self.batch_path(table, mode, batch_id)
+            if subfolders(spark, path):
+                remove(spark, path)
+
+    def read_batches(self, spark: SparkSession, table: str, mode: str, batch_ids: list[int], schema: str) -> DataFrame:
+        """Some batches of a table with their ``mode`` and ``batch_id``, without listing the others."""
+        paths = [self.batch_path(table, mode, b) for b in batch_ids]
+        return self._read(spark, [p for p in paths if subfolders(spark, p)], schema, self.path(table))
+
     def read(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
         """A folder of files as one table; empty before the first."""
         return self._read(spark, [self.path(table)] if subfolders(spark, self.path(table)) else [], schema)
@@ -76,11 +109,11 @@ class ReplicationTables:
     def read_after(self, spark: SparkSession, table: str, schema: str, covered: dict[str, int]) -> DataFrame:
         """A table's batches past those ``covered`` per mode; generations before are not listed."""
         base, paths = self.path(table), []
-        for mode in subfolders(spark, base):
-            first = (covered.get(mode.removeprefix("mode="), -1) + 1) // self.generation
-            for part in subfolders(spark, f"{base}/{mode}"):
-                if int(part.removeprefix("generation=")) >= first:
-                    paths.append(f"{base}/{mode}/{part}")
+        for mode in _named(subfolders(spark, base), "mode="):
+            first = (covered.get(mode, -1) + 1) // self.generation
+            for part in _named(subfolders(spark, f"{base}/mode={mode}"), "generation="):
+                if int(part) >= first:
+                    paths.append(f"{base}/mode={mode}/generation={part}")
         rows = self._read(spark, paths, schema, base)
         for mode, last in covered.items():
             rows = rows.where((F.col("mode") != mode) | (F.col("batch_id") > last))
@@ -108,26 +141,37 @@ class ReplicationTables:
         return recent.unionByName(self._snapshot(spark, snapshot, "batch_log", S.BATCH_LOG))
 
     def begin(self, spark: SparkSession, mode: str, owner: str, number: int) -> tuple[int, datetime, bool]:
-        """The batch that is ``owner``'s ``number``, when it was first tried, and whether it is done.
+        """The batch that is ``owner``'s ``number``, when it was first tried, and whether it is done."""
+        batch = self.begin_all(spark, mode, owner, [number])[0]
+        return batch.batch_id, batch.started_at, batch.done
+
+    def begin_all(self, spark: SparkSession, mode: str, owner: str, numbers: list[int]) -> list[Batch]:
+        """The batches that are ``owner``'s ``numbers``, in that order.
 
-        A redo finds the same as the first try, so it writes the same rows. A batch that a snapshot
-        has taken in has no start row to go by any more; the log says that it is done.
+        A redo finds the same as the first try, so it writes the same rows. The log says first what is
+        done: a start row stays when its batch is, and goes when a snapshot has taken the batch in.
         """
         _, covered = self.last_snapshot(spark)
-        starts = self.read_after(spark, "starts", START_LOG, covered).where(F.col("mode") == mode)
-        mine = (F.col("owner") == owner) & (F.col("number") == number)
-        known = starts.where(mine).first()
-        if known is not None:
-            return known["batch_id"], known["started_at"], False
-        log = self.batch_log(spark).where((F.col("mode") == mode) & F.col("ok") & mine).first()
-        if log is not None:
-            return log["batch_id"], log["attempted_at"], True
-        last = starts.agg(F.max("batch_id")).first()[0]
-        batch_id = 1 + max(covered.get(mode, -1), -1 if last is None else last)
-        now = utc_now()
-        row = spark.range(1).select(utc(now).alias("started_at"), F.lit(owner).alias("owner"), F.lit(number).cast("bigint").alias("number"))
-        self.write_batch(row.coalesce(1), "starts", mode, batch_id)
-        return batch_id, now, False
+        mine = (F.col("owner") == owner) & F.col("number").isin(numbers)
+        log = self.batch_log(spark).where((F.col("mode") == mode) & F.col("ok") & mine)
+        found = {r["number"]: Batch(r["batch_id"], r["attempted_at"], True, True) for r in log.collect()}
+        if len(found) < len(set(numbers)):
+            starts = self.read_after(spark, "starts", START_LOG, covered).where(F.col("mode") == mode)
+            for r in starts.where(mine).collect():
+                found.setdefault(r["number"], Batch(r["batch_id"], r["started_at"], False, True))
+            new = [n for n in dict.fromkeys(numbers) if n not in found]
+            if new:
+                last = starts.agg(F.max("batch_id")).first()[0]
+                first, now = 1 + max(covered.get(mode, -1), -1 if last is None else last), utc_now()
+                found |= {n: Batch(first + k, now, False, False) for k, n in enumerate(new)}
+                rows = spark.range(len(new)).select(
+                    utc(now).alias("started_at"),
+                    F.lit(owner).alias("owner"),
+                    F.element_at(F.array(*[F.lit(n).cast("bigint") for n in new]), F.col("id").cast("int") + 1).alias("number"),
+                    (F.col("id") + first).alias("batch_id"),
+                )
+                self.write_batches(rows.coalesce(1), "starts", mode, [found[n].batch_id for n in new])
+        return [found[n] for n in numbers]
 
     def _committed(self, spark: SparkSession, table: str, schema: str, covered: dict[str, int]) -> DataFrame:
         """A table's batches past those ``covered``, without those not committed: one per mode at most.
