@@ -8,12 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schema as S
+from tidemark.functions.times import utc
 from tidemark.functions.documents import event_id, to_documents
 from tidemark.operators import consume, cursor, dead_letters, feed, sample, search, upsert
 from tidemark.operators.validate import accepted, rejected, with_error
 from tidemark.plans import batches, reconcile, status
 from tidemark.session import new_dir
 from tidemark.sources import bindings as B
+from tidemark.sources.changing import changed_rows
 from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming import consume as feed_consumer
 from tidemark.streaming.replicate import replay_dead_letters, replicate
@@ -956,13 +958,16 @@ def stream_both_modes(spark, folder):
     return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
 
 
-def _changed(records: DataFrame) -> DataFrame:
+LATER = "2010-01-01 00:00:00"  # past every time in the source
+
+
+def _changed(records: DataFrame, at: str = B.AS_OF) -> DataFrame:
     """The source later on: some rows at their next version."""
     picked = sample.sample_ids(records, SAMPLED).withColumn("_new", F.lit(True))
     new = F.col("_new").isNotNull()
     return records.join(picked, "id", "left").select(
         *[
-            F.when(new, {"version": F.col("version") + 1, "updated_at": B.as_of()}[c]).otherwise(F.col(c)).alias(c)
+            F.when(new, {"version": F.col("version") + 1, "updated_at": utc(at)}[c]).otherwise(F.col(c)).alias(c)
             if c in ("version", "updated_at")
             else F.col(c)
             for c in S.RECORD_COLUMNS
@@ -983,6 +988,25 @@ def sync_state(spark, folder):
     return _synced(spark, folder).state(spark).select(*S.RECORD_COLUMNS)
 
 
+@query(
+    "stream_changing_table",
+    given(
+        "records",
+        f"""SELECT id, email, name, payload, CASE WHEN bumped THEN version + 1 ELSE version END AS version, poison,
+ CASE WHEN bumped THEN TIMESTAMP '{LATER}' ELSE updated_at END AS updated_at, created_at
+ FROM (SELECT *, id IN ({PICKED_SQL}) AS bumped FROM records) WHERE NOT poison""",
+    ),
+)
+def stream_changing_table(spark, folder):
+    """A table replicated as a stream by its keys, changed in place, and replicated on from the checkpoint."""
+    tables, path = ReplicationTables(new_dir(spark, "replica")), new_dir(spark, "changing")
+    records = B.records(spark, folder)
+    for now in (records, _changed(records, LATER)):
+        now.write.mode("overwrite").parquet(path)
+        replicate(changed_rows(spark, path), tables, S.INCREMENTAL).awaitTermination()
+    return tables.state(spark).select(*S.RECORD_COLUMNS)
+
+
 def _synced(spark: SparkSession, folder: str) -> ReplicationTables:
     """A backfill in two pages, source rows changed after it, and an incremental sync."""
     tables = ReplicationTables(new_dir(spark, "sync"))
