@@ -18,7 +18,7 @@ from tidemark.sources import bindings as B
 from tidemark.sources.changing import changed_rows
 from tidemark.sources.tables import read_table, stream_table
 from tidemark.streaming import consume as feed_consumer
-from tidemark.streaming.replicate import replay_dead_letters, replicate
+from tidemark.streaming.replicate import commit_batch, replay_dead_letters, replicate
 from tidemark.streaming.sync import sync
 from tidemark.streaming.tables import ReplicationTables
 from tidemark.streaming.throughput import count_throughput, counted
@@ -62,6 +62,8 @@ TABLE_SQL = {
     "checkpoints": f"""SELECT * FROM (VALUES ('backfill', {B.CHECKPOINT_ID}::BIGINT, NULL::TIMESTAMP),
  ('incremental', {B.TIED_ID}::BIGINT, TIMESTAMP '{B.CHECKPOINT_TS}')) AS t(mode, cursor_id, cursor_ts)""",
     "text_records": "SELECT doc_id AS id, source AS email, text AS name FROM documents",
+    "renamed_records": """SELECT doc_id AS id, source AS email,
+ CASE WHEN doc_id % 7 = 0 THEN 'Eauouon ' || source ELSE text END AS name FROM documents""",
 }
 TABLE_NEEDS = {"deliveries": ["changes"], "sink": ["records"], "dlq": ["changes"]}
 RECORD_SQL = "id, email, name, payload, version, poison, updated_at, created_at"
@@ -903,6 +905,30 @@ def sample_ids(spark, folder):
     return records.join(sample.sample_ids(records, SAMPLED), "id", "left_semi").select("id")
 
 
+# --- search by terms that the replication keeps ---------------------------------------------------
+
+
+def _text_replica(spark: SparkSession, folder: str) -> ReplicationTables:
+    """Texts replicated with their terms, taken into a snapshot, and every seventh renamed after that."""
+    tables = ReplicationTables(new_dir(spark, "texts"), terms=True)
+    texts = B.text_records(spark, folder).withColumns(
+        {"payload": F.lit("{}"), "poison": F.lit(False), "updated_at": B.as_of(), "created_at": B.as_of(), "seq": F.col("id")}
+    )
+    commit_batch(texts.withColumn("version", F.lit(1).cast("bigint")), 0, tables, S.BACKFILL)
+    tables.compact(spark)
+    renamed = texts.where("id % 7 = 0").withColumn("name", F.concat(F.lit("Eauouon "), "email"))
+    commit_batch(renamed.withColumn("version", F.lit(2).cast("bigint")), 0, tables, S.INCREMENTAL)
+    return tables
+
+
+@query("search_replicated", given("renamed_records", SEARCH_MANY_SQL.replace("text_records", "renamed_records")))
+def search_replicated(spark, folder):
+    """As search_many, from the terms that were written with each batch."""
+    queries = B.text_queries(spark, folder)
+    terms = _text_replica(spark, folder).search_terms(spark, search.asked_for(queries))
+    return search.search_many_terms(terms, queries)
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 

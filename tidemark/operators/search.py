@@ -68,21 +68,24 @@ def _terms(kind: str, values: Column) -> Column:
     return F.transform(values, lambda value: F.struct(F.lit(kind).alias("kind"), value.alias("term")))
 
 
-def _record_terms(records: DataFrame) -> DataFrame:
-    """Everything a query can match a row by. A name without words can only match as a whole."""
-    words = tokens(F.col("name"))
+def record_terms(records: DataFrame, *columns: str) -> DataFrame:
+    """``kind, term`` of everything a query can match a row by, with its id and the columns named.
+
+    A name without words can only match as a whole. Words are taken from each text once.
+    """
     none = F.array().cast("array<string>")
-    whole_name = F.when(F.size(words) == 0, F.array("name")).otherwise(none)
+    worded = records.select("id", "email", "name", *columns, F.coalesce(tokens(F.col("name")), none).alias("_words"))
+    whole_name = F.when(F.size("_words") == 0, F.array("name")).otherwise(none)
     found_by = F.concat(
-        _terms("word", F.coalesce(words, none)),
-        _terms("name", F.coalesce(whole_name, none)),
+        _terms("word", F.col("_words")),
+        _terms("name", whole_name),
         _terms("email", F.array("email")),
         _terms("id", F.array(F.col("id").cast("string"))),
     )
-    return records.select("id", F.inline(found_by))
+    return worded.select("id", *columns, F.inline(found_by))
 
 
-def _query_terms(queries: DataFrame) -> DataFrame:
+def query_terms(queries: DataFrame) -> DataFrame:
     text = trimmed(F.col("query"))
     any_of = F.concat(
         _terms("word", tokens(text)), _terms("name", F.array(text)), _terms("email", F.array(text))
@@ -100,11 +103,11 @@ def _newest_per_term(terms: DataFrame, limit: int) -> DataFrame:
     return terms.withColumn("_rank", F.row_number().over(per_term)).where(F.col("_rank") <= limit).drop("_rank")
 
 
-def _newest_wanted(records: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
+def _newest_wanted(terms: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
     """The newest rows of each term that some query asks for; other words leave their task only if the
     terms asked for are too many for the optimizer to send them to every task."""
-    terms = wanted.select("kind", "term").distinct()
-    return _newest_per_term(_record_terms(records).join(terms, ["kind", "term"], "left_semi"), limit)
+    asked = wanted.select("kind", "term").distinct()
+    return _newest_per_term(terms.join(asked, ["kind", "term"], "left_semi").select("kind", "term", "id"), limit)
 
 
 def search_many(records: DataFrame, queries: DataFrame, limit: int = S.SEARCH_SHOWN) -> DataFrame:
@@ -114,13 +117,34 @@ def search_many(records: DataFrame, queries: DataFrame, limit: int = S.SEARCH_SH
     its newest ``limit`` rows, cut down before the shuffle, before it meets the queries. A word
     found in every row, or a query that matches all of them, costs ``limit`` rows per task.
     """
+    return _search_many(record_terms(records), records, queries, limit)
+
+
+def search_many_terms(terms: DataFrame, queries: DataFrame, limit: int = S.SEARCH_SHOWN) -> DataFrame:
+    """``search_many`` by a table of terms (``record_terms``) that was made before: no text is looked into."""
+    return _search_many(terms, terms.where("kind = 'id'"), queries, limit)
+
+
+def asked_for(queries: DataFrame) -> Column | None:
+    """What a reader of terms can be given: the queries' terms, up to ``MOST`` of them; None if there are more.
+
+    A query that finds all rows needs every id.
+    """
+    found = query_terms(queries).select("kind", "term").distinct().limit(MOST + 1).collect()  # a bounded number of rows
+    if len(found) > MOST:
+        return None
+    by_term = F.col("term").isin([r["term"] for r in found])
+    return by_term | (F.col("kind") == "id") if any(r["kind"] == "all" for r in found) else by_term
+
+
+def _search_many(terms: DataFrame, ids: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
     if limit > MOST:
         raise ValueError(f"limit is {limit}; a word in every row would gather more than {MOST} rows per task")
-    wanted = _query_terms(queries)
-    newest_of_all = records.orderBy(F.col("id").desc()).limit(limit).select(
+    wanted = query_terms(queries)
+    newest_of_all = ids.orderBy(F.col("id").desc()).limit(limit).select(
         F.lit("all").alias("kind"), F.lit("").alias("term"), "id"
     )
-    newest = _newest_wanted(records, wanted, limit).unionByName(newest_of_all)
+    newest = _newest_wanted(terms, wanted, limit).unionByName(newest_of_all)
     # An id found by several terms has one dense rank, so the cut per query needs no distinct first.
     per_query = Window.partitionBy("query_id").orderBy(F.col("id").desc())
     return (

@@ -14,6 +14,7 @@ from tidemark.functions.times import utc
 from tidemark.operators import dead_letters
 from tidemark.operators.cursor import later_cursor
 from tidemark.operators.ordered import positions
+from tidemark.operators.search import record_terms
 from tidemark.operators.upsert import completeness, match_results
 from tidemark.operators.validate import Rule, accepted, with_error
 from tidemark.plans.batches import FEED_ERROR, SINK_ERROR
@@ -134,6 +135,12 @@ def store_dead_letters(stored: DataFrame, tables: ReplicationTables, mode: str,
     return {r["batch_id"]: r["count"] for r in written.groupBy("batch_id").count().collect()}
 
 
+def store_terms(stored: DataFrame, tables: ReplicationTables, mode: str, batch_ids: list[int]) -> None:
+    """Write what the accepted rows are found by, each batch's terms apart, laid out by term."""
+    terms = record_terms(accepted(stored), "version", "seq", "batch_id").repartitionByRange("kind", "term", "id")
+    tables.write_batches(terms.sortWithinPartitions("batch_id", "kind", "term"), "terms", mode, batch_ids)
+
+
 def commit_batch(
     rows: DataFrame,
     number: int,
@@ -203,6 +210,8 @@ def commit_pages(
         entered = {}
         if any(f["rejected"] for f in facts.values()):
             entered = store_dead_letters(stored, tables, mode, ids)
+        if tables.terms:
+            store_terms(stored, tables, mode, ids)
         stage = FEED_ERROR
         for _, number, batch in open_:
             fact = facts.get(batch.batch_id)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark import schema as S
 from tidemark.functions.documents import event_id, event_json, routing_key
@@ -28,6 +28,7 @@ ROW_LOG = S.RECORDS + ", seq BIGINT, error STRING, emitted_at TIMESTAMP_NTZ" + P
 DOCUMENT_LOG = S.RECORDS + ", seq BIGINT" + PARTITIONS
 ENTRY_LOG = S.DEAD_LETTERS.replace("batch_id STRING, ", "") + PARTITIONS
 MARK_LOG = "id BIGINT, replayed_at TIMESTAMP_NTZ" + PARTITIONS
+TERM_LOG = "kind STRING, term STRING, id BIGINT, version BIGINT, seq BIGINT" + PARTITIONS
 START_LOG = "started_at TIMESTAMP_NTZ, owner STRING, number BIGINT" + PARTITIONS
 SNAPSHOT_LOG = "snapshot BIGINT, mode STRING, last_batch BIGINT"
 NEWEST = ("version", "seq", "batch_id", "mode")  # seq is given by the source; the order of files is not
@@ -59,8 +60,11 @@ def _named(names: list[str], prefix: str) -> list[str]:
 
 @dataclass(frozen=True)
 class ReplicationTables:
+    """``terms``: whether each batch also writes the words, names, addresses and ids its rows are found by."""
+
     root: str
     generation: int = GENERATION
+    terms: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -228,6 +232,16 @@ class ReplicationTables:
         rows = self.documents(spark, covered).unionByName(self._snapshot(spark, snapshot, "documents", DOCUMENT_LOG))
         return current_state(rows, order=NEWEST)
 
+    def search_terms(self, spark: SparkSession, asked: Column | None = None) -> DataFrame:
+        """``kind, term, id`` of the rows as they are now; ``asked`` is given to the reader.
+
+        Terms were written with their batches; what an id was found by before its newest row does not
+        count any more.
+        """
+        snapshot, covered = self.last_snapshot(spark)
+        recent = self._committed(spark, "terms", TERM_LOG, covered)
+        return _current_terms(recent, self._snapshot(spark, snapshot, "terms", TERM_LOG), asked).select("kind", "term", "id")
+
     def compact(self, spark: SparkSession) -> None:
         """Write state, log, dead letters and consumer counts as a new snapshot; reads go on from it.
 
@@ -254,6 +268,11 @@ class ReplicationTables:
 
         taken = fixed(self.documents(spark, covered)).unionByName(self._snapshot(spark, last, "documents", DOCUMENT_LOG))
         put(current_state(taken, order=NEWEST), "documents")
+        if self.terms:
+            recent = fixed(self._committed(spark, "terms", TERM_LOG, covered))
+            current = _current_terms(recent, self._snapshot(spark, last, "terms", TERM_LOG))
+            order = ["kind", "term", F.col("id").desc()]  # a frequent word is cut by id
+            put(current.repartitionByRange(*order).sortWithinPartitions(*order), "terms")
         put(fixed(log).coalesce(1), "batch_log")
         ours = F.substring_index("batch_id", "-", 1).alias("mode"), F.substring_index("batch_id", "-", -1).cast("bigint").alias("batch_id")
         entries = self.dead_letters(spark).select(F.struct("*").alias("entry"), *ours)
@@ -262,6 +281,22 @@ class ReplicationTables:
         said.coalesce(1).write.mode("overwrite").parquet(self.path(f"snapshot_log/snapshot={snapshot}"))
 
 
+def _current_terms(recent: DataFrame, taken: DataFrame, asked: Column | None = None) -> DataFrame:
+    """Terms of each id's newest row, of a snapshot's terms and those of the batches since.
+
+    Only ids that stand in those batches can have changed: their newest row is found from the ids among the terms,
+    which are few and narrow, and no text is read.
+    """
+    version = F.struct(*NEWEST).alias("_newest")
+    touched = recent.where("kind = 'id'").select("id", version)
+    before = taken.where("kind = 'id'").select("id", version).join(touched.select("id").distinct(), "id", "left_semi")
+    newest = touched.unionByName(before).groupBy("id").agg(F.max("_newest").alias("_newest"))
+    rows = taken.unionByName(recent)
+    rows = rows if asked is None else rows.where(asked)
+    kept = F.col("_newest").isNull() | (F.struct(*NEWEST) == F.col("_newest"))
+    return rows.join(newest, "id", "left").where(kept).drop("_newest")
+
+
 def feed_of(rows: DataFrame) -> DataFrame:
     """Events of stored rows: typed, and as the key and JSON text that a message sink takes."""
     return rows.select(
