@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -53,6 +54,22 @@ def test_base_spans(seed):
         ('if token == "q8Zr-77pL_x0Vw2": pass', []),
         ("The key: to walk slowly", []),
         ("note: a secret is kept. It was: hidden", []),
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCY", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCY"]),
+        ("DB_PWD=Ab3/x9QkLm27ZzP1\nX=1", ["Ab3/x9QkLm27ZzP1"]),
+        ("export DB_PWD=hunter2@Prod!x9Q", ["hunter2@Prod!x9Q"]),
+        ("db:\n  pwd: q#8Zr+77=pL*x0Vw2 # a note\n  user: bob", ["q#8Zr+77=pL*x0Vw2"]),
+        ("[db]\npwd = q8Zr77pLx0@Vw2\nuser=bob", ["q8Zr77pLx0@Vw2"]),
+        ('{"pwd":"q8Zr77pLx0Vw2","x":[1,2]}', ["q8Zr77pLx0Vw2"]),
+        ('token: str = "q8Zr-77pL_x0Vw2"', ["q8Zr-77pL_x0Vw2"]),
+        ("Authorization: Bearer q8Zr-77pL_x0Vw2", ["q8Zr-77pL_x0Vw2"]),
+        ("u = https://h/?access_key=q8Zr77pLx0Vw2&u=1", ["q8Zr77pLx0Vw2"]),
+        ("args: --db_pwd=q8Zr77pLx0Vw2", ["q8Zr77pLx0Vw2"]),
+        ('env: DB_PWD="q8Zr77pLx0Vw2"', ["q8Zr77pLx0Vw2"]),
+        ("a='q8Zr77pL'\nSECRET = a+\"x0Vw2mNb\"", ["q8Zr77pL", "x0Vw2mNb"]),
+        ("pw_key = b'q8Zr77pLx0Vw2'", ["q8Zr77pLx0Vw2"]),
+        ("password = getpass.getpass('Your pw 4 Q')", []),
+        ("db_pwd=${PASS}", []),
+        ("db_pwd='q8Zr77pLx0Vw2\ny=1", []),
     ],
 )
 def test_literals(text, found):
@@ -68,6 +85,35 @@ def test_placeholders(value, found):
     assert len(secrets.literal_spans(f'db_pwd = "{value}"')) == found
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ('k = "' + '\\"' * 500_000, 0),
+        ("k='" + "\\'\\\"`" * 150_000, 0),
+        ("k='" + '"' * 500_000, 0),
+        ("secret_a='q8Zr77pLx0Vw2'\n" + "secret_a = secret_a + secret_a\n" * 60, 1),
+        ("secret_a='q8Zr77pLx0Vw2'\n" + "secret_a = secret_a + secret_a\n" * 10_000, 1),
+        ("".join(f"key_{i} = key_{i - 1} + 'q8Zr{i + 10000}7pLx0'\n" for i in range(1, 8000)), 7999),
+        ("db_pwd=" + "a=" * 400_000, 0),
+        ("k=" + "a" * 1_000_000 + "\nk=" + "a-" * 500_000, 0),
+    ],
+)
+def test_long_texts_take_linear_time(text, found):
+    began = time.process_time()
+    assert len([s for s in secrets.literal_spans(text) if s[2] - s[1] < 100]) == found
+    assert time.process_time() - began < 10  # seconds; what grew by the square took minutes
+
+
+@pytest.mark.parametrize("seed", range(50))
+def test_chains_look_like_their_texts(seed):
+    draw = random.Random(seed)
+    pieces = ["".join(draw.choices("abcXYZ019!- é", k=draw.randint(1, 12))) for _ in range(draw.randint(2, 5))]
+    chain = secrets.Value(parts=tuple(secrets.Value(p) for p in pieces)).seen()
+    whole = secrets.Value("".join(pieces)).seen()
+    assert (chain.length, chain.counts.tolist()) == (whole.length, whole.counts.tolist())
+    assert secrets.literal_score(chain) == secrets.literal_score(whole)
+
+
 def test_secret_scan(spark):
     long = "lorem " * 200_000 + 'token = "aZ09bY18cX27dW36"'
     rows = [*brute.awkward(), (99, long, None, None, None, *brute.NO_EXTRA)]
