@@ -869,6 +869,22 @@ def search_ilike(spark, folder):
     return search.search_like(B.records(spark, folder), "SER1_3@")
 
 
+@query(
+    "search_ilike_grams",
+    given(
+        "text_records",
+        """SELECT id, email, name FROM text_records WHERE email ILIKE '%ing%th_t%' OR name ILIKE '%ing%th_t%'
+ ORDER BY id DESC LIMIT 50""",
+    ),
+)
+def search_ilike_grams(spark, folder):
+    """What a text contains, from a table of its runs of three characters."""
+    records = B.text_records(spark, folder)
+    path = new_dir(spark, "grams")
+    search.write_grams(records, path)
+    return search.search_grams(records, search.read_grams(spark, path), "ING%th_t").select("id", "email", "name")
+
+
 SEARCH_MANY_SQL = f"""SELECT query_id, rank, id FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY id DESC) AS rank
  FROM (SELECT DISTINCT query_id, id FROM (SELECT item_id AS query_id, unnest({WORDS_SQL.format(text='trim(text)')}) AS word FROM benchmark) q
  JOIN (SELECT id, unnest({NAME_WORDS_SQL}) AS word FROM text_records) d USING (word) WHERE word <> ''

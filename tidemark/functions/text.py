@@ -12,6 +12,8 @@ BLANK = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u
 ID_QUERY = r"^[0-9]+$"
 # End of fixed values.
 
+GRAM = 3  # characters; a query whose pieces are all shorter is answered by a scan
+
 
 def tokens(text: Column) -> Column:
     """Distinct lower-case words of a text.
@@ -42,5 +44,33 @@ def is_id_query(query: Column) -> Column:
 
 def contains_ignoring_case(column: Column, query: Column) -> Column:
     """``%`` and ``_`` in the query keep their LIKE meaning; a backslash takes the next character as it is."""
+    return F.ilike(column, containing(query))
+
+
+def containing(query: Column) -> Column:
+    """The LIKE pattern of what contains the query."""
     escaped = F.regexp_replace(query, r"(?<!\\)((?:\\\\)*)\\([^%_\\])", "$1$2")
-    return F.ilike(column, F.concat(F.lit("%"), escaped, F.lit("%")))
+    return F.concat(F.lit("%"), escaped, F.lit("%"))
+
+
+def grams(text: Column) -> Column:
+    """Distinct runs of ``GRAM`` characters of a text in lower case; none of a shorter or missing text."""
+    at = lambda signs: F.sequence(F.lit(0), F.size(signs) - GRAM)
+    run = lambda signs, i: F.concat(*[F.get(signs, i + k) for k in range(GRAM)])
+    runs = lambda signs: F.when(F.size(signs) >= GRAM, F.transform(at(signs), lambda i: run(signs, i)))
+    # the characters are bound once: a long text is cut up once, not for each of its grams
+    found = F.transform(F.array(F.split(F.lower(text), "")), runs)[0]
+    return F.array_distinct(F.coalesce(found, F.array().cast("array<string>")))
+
+
+def literal_pieces(pattern: str) -> list[str]:
+    """What stands between the wildcards of a LIKE pattern."""
+    pieces, at = [""], 0
+    while at < len(pattern):
+        if pattern[at] in "%_":
+            pieces.append("")
+        else:
+            at += pattern[at] == "\\"
+            pieces[-1] += pattern[at : at + 1]
+        at += 1
+    return pieces

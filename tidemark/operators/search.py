@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark import schema as S
-from tidemark.functions.text import contains_ignoring_case, is_id_query, shares_word, tokens, trimmed
+from tidemark.functions.text import GRAM, containing, contains_ignoring_case, grams, is_id_query, literal_pieces, shares_word, tokens, trimmed
 
+RAREST = 4  # grams of a query that are intersected before texts are looked at
 MOST = 1000  # up to this many rows per group are cut out before the shuffle
 
 
@@ -53,15 +54,63 @@ def search_words(records: DataFrame, words: DataFrame, query: str, limit: int =
     return records.join(newest, "id", "left_semi").orderBy(F.col("id").desc())
 
 
-def search_like(records: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataFrame:
-    """Rows whose email or name contains the query in any case, or whose id it is."""
+def _holds(query: str) -> Column:
     q = F.lit(query)
-    found = (
+    return (
         contains_ignoring_case(F.col("email"), q)
         | contains_ignoring_case(F.col("name"), q)
         | (F.col("id").cast("string") == q)
     )
-    return records.where(found).orderBy(F.col("id").desc()).limit(limit)
+
+
+def search_like(records: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataFrame:
+    """Rows whose email or name contains the query in any case, or whose id it is."""
+    return records.where(_holds(query)).orderBy(F.col("id").desc()).limit(limit)
+
+
+def write_grams(records: DataFrame, path: str) -> None:
+    """The table (gram, id) of emails and names, laid out by gram, newest ids first.
+
+    A gram that stands in very many rows is cut by id, so no task has all of it. Rows without an id are left out.
+    """
+    both = F.array_distinct(F.concat(grams(F.col("email")), grams(F.col("name"))))
+    rows = records.where(F.col("id").isNotNull()).select(F.explode(both).alias("gram"), "id")
+    newest = F.col("id").desc()
+    rows.repartitionByRange("gram", newest).sortWithinPartitions("gram", newest).write.parquet(path)
+
+
+def read_grams(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("gram STRING, id BIGINT").parquet(path)
+
+
+def query_grams(spark: SparkSession, query: str) -> list[str]:
+    """Grams that a text must have to contain the query, wildcards between them left out."""
+    pattern = spark.range(1).select(F.lower(containing(F.lit(query)))).first()[0]  # as ILIKE sees it
+    pieces = literal_pieces(pattern)
+    return sorted({piece[at : at + GRAM] for piece in pieces for at in range(len(piece) - GRAM + 1)})
+
+
+def search_grams(records: DataFrame, table: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) -> DataFrame:
+    """``search_like`` by a table of grams (``write_grams``) of the same records; null ids aside, the same rows.
+
+    The query's grams are pushed to the table's reader and counted; ids that have the rarest of them are candidates,
+    whose texts are looked at. A query too short for a gram is a scan.
+    """
+    spark = records.sparkSession
+    wanted = query_grams(spark, query)[:MOST]  # any of them narrow the candidates, the texts decide
+    if not wanted:
+        return search_like(records, query, limit)
+    counts = table.where(F.col("gram").isin(wanted)).groupBy("gram").count().collect()  # one row per gram asked for
+    rows_of = dict.fromkeys(wanted, 0) | {r["gram"]: r["count"] for r in counts}
+    rarest = sorted(wanted, key=lambda gram: (rows_of[gram], gram))[:RAREST]
+    if not rows_of[rarest[0]]:
+        rarest = rarest[:1]  # no text has it
+    has = table.where(F.col("gram").isin(rarest)).groupBy("id").agg(F.count_distinct("gram").alias("n"))
+    candidates = has.where(F.col("n") == len(rarest)).select("id")
+    if query.isascii() and query.isdigit():
+        candidates = candidates.union(spark.range(1).select(F.lit(query).try_cast("bigint")))
+    near = records.join(candidates, "id", "left_semi")
+    return near.where(_holds(query)).orderBy(F.col("id").desc()).limit(limit)
 
 
 def _terms(kind: str, values: Column) -> Column:
