@@ -1,6 +1,6 @@
 """Windows of the corpus that stand in it more than once: the frame that suffix order and automata work in.
 
-1. Every text is cut into spans by content (``spans``), so that equal windows lie in spans of one mark.
+1. Every text is cut once into spans by content (``spans``), so that equal windows lie in spans of one mark. They are written.
 2. Marks are counted, and the spans of marks that are met again are kept.
 3. Equal spans become one row with their number, their smallest and their largest document; one of them lends
    its text.
@@ -75,8 +75,8 @@ _SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mark", pa.int64())
 _SPANS_DDL = "k1 bigint, k2 bigint, mark bigint, key bigint, start int, n int, weight int"
 
 
-def spans_of(docs: DataFrame, kind: Kind, keys: bool = True) -> DataFrame:
-    """Every span: where it is, its mark, its content's hash (if wanted), 2 as weight if it may hold a window twice."""
+def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
+    """Every span: where it is, its mark, its content's hash, 2 as weight if it may hold a window twice."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = xxhash.xxh3_64_intdigest
@@ -93,9 +93,7 @@ def spans_of(docs: DataFrame, kind: Kind, keys: bool = True) -> DataFrame:
             if not len(starts):
                 continue
             ends = starts + counts + kind.size - 1
-            content = np.zeros(len(starts), np.uint64)
-            if keys:
-                content[:] = [hash_of(kind.piece(pieces, a, b)) for a, b in zip(starts.tolist(), ends.tolist())]
+            content = np.array([hash_of(kind.piece(pieces, a, b)) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
             columns = [np.full(len(starts), k1), np.full(len(starts), k2), marks.view(np.int64), content.view(np.int64)]
             held.append(columns + [starts.astype(np.int32), counts.astype(np.int32), 1 + inside.astype(np.int32)])
             if sum(len(h[0]) for h in held[-64:]) > 20_000 or len(held) >= 512:
@@ -184,8 +182,9 @@ def _counted(texts: DataFrame, kind: Kind) -> DataFrame:
 
 def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
     """``k1, k2, runs``: of each document that has any, the runs (start, windows, low) of recurring windows."""
-    marks = spans_of(docs, kind, keys=False).groupBy("mark").agg(F.sum("weight").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
-    kept = written(spans_of(docs, kind).join(marks.where(kind.recurs()).select("mark"), "mark"), "spans")
+    spans = written(spans_of(docs, kind), "spans")
+    marks = spans.groupBy("mark").agg(F.sum("weight").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
+    kept = written(spans.join(marks.where(kind.recurs()).select("mark"), "mark"), "met")
 
     one = kept.groupBy("mark", "key").agg(
         F.count("*").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.min(F.struct("k1", "k2", "start", "n")).alias("from")

@@ -14,8 +14,21 @@ _WORD = (1 << 64) - 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
+#: Powers are kept between texts, for texts of up to so many units.
+_KEPT = 1 << 18
+_kept: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64, by doubling."""
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    if n > _KEPT:
+        return _doubled(base, n)
+    if base not in _kept or len(_kept[base]) < n:
+        _kept[base] = _doubled(base, min(_KEPT, 2 * n + 4096))
+    return _kept[base][:n]
+
+
+def _doubled(base: int, n: int) -> np.ndarray:
     out = np.ones(max(1, n), np.uint64)
     have, factor = 1, base & _WORD
     while have < n:
@@ -72,11 +85,13 @@ def cut(units: np.ndarray, size: int, gram: int, most: int) -> tuple[np.ndarray,
     grams, width = Rolling(units).grams(gram), size - gram + 1
     marks = least(grams, width)
     n = len(marks)
-    first = np.r_[True, marks[1:] != marks[:-1]]
-    run = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    starts = np.flatnonzero((np.arange(n) - run) % most == 0)
-    ends = np.r_[starts[1:], n]
-    left = np.r_[0, np.cumsum(grams[:n] == marks)]
-    right = np.r_[0, np.cumsum(grams[width - 1 :] == marks)]
+    starts = np.concatenate(([0], np.flatnonzero(marks[1:] != marks[:-1]) + 1))
+    counts = np.diff(starts, append=n)
+    if counts.max() > most:
+        starts = np.concatenate([np.arange(a, a + k, most) for a, k in zip(starts.tolist(), counts.tolist())])
+    ends = np.concatenate((starts[1:], [n]))
+    left, right = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    np.cumsum(grams[:n] == marks, out=left[1:])
+    np.cumsum(grams[width - 1 :] == marks, out=right[1:])
     inside = (left[ends - 1] > left[starts]) | (right[ends] > right[starts + 1])
     return marks[starts], starts, ends - starts, inside

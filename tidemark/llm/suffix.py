@@ -8,6 +8,9 @@ common prefix there is that length, and only such intervals are extended further
 order, and rounds stop at the minimum length: boundaries still without a value have a common prefix of at least
 that length, and their suffixes start with a string that stands somewhere else too.
 
+Before a shard is put in order, its windows are hashed. Equal windows have equal hashes, so a string without a hash
+that stands twice in the shard has nothing to find there and is left out; what recurs is told by the intervals alone.
+
 A text is its UTF-8 bytes, a null text is empty. Matches never cross documents. Texts shorter than the length lose
 nothing. Repeated rows are copies of each other; null ids are kept as they are. Other columns are not read; an empty
 table gives no rows.
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, values
 from tidemark.llm.repeats import KEY, Kind, covered, packed, repeated, unpacked
+from tidemark.llm.spans import Rolling
 
 LENGTH = 200
 #: Intervals up to this size are extended row by row, larger ones character by character.
@@ -126,17 +130,36 @@ def shared_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
     return ~known[:n]
 
 
+def _may_recur(texts: list[bytes], length: int) -> np.ndarray:
+    """Which of the strings, none shorter than ``length``, have a window whose hash stands twice in all of them."""
+    sizes = np.array([len(t) for t in texts])
+    hashes = Rolling(np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)).grams(length)
+    before_end = np.repeat(np.cumsum(sizes), sizes)[: len(hashes)] - np.arange(len(hashes))
+    at = np.flatnonzero(before_end >= length)  # windows that lie in one string
+    order = at[np.argsort(hashes[at])]
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.zeros(len(order), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    found = np.zeros(len(texts), bool)
+    found[np.repeat(np.arange(len(texts)), sizes)[order[twice]]] = True
+    return found
+
+
 def solve(rows: list[tuple], length: int = LENGTH) -> Iterator[tuple]:
     """Of a shard's distinct strings (mark, key, n, low, high, text): runs of starts of strings that recur.
 
     A string that stands several times recurs from start to end. It is put in order with the others of its
-    mark, which may share parts of it; the only one of its mark has nothing to be compared with.
+    mark, which may share parts of it; the only one of its mark has nothing to be compared with. Strings that
+    share no window's hash with another place are left out.
     """
     of_mark = Counter(row[0] for row in rows)
     put = [k for k, row in enumerate(rows) if row[2] == 1 or of_mark[row[0]] > 1]
     for k, row in enumerate(rows):
         if row[2] > 1:
             yield k, 0, len(row[-1]) - length + 1, 0
+    if put:
+        put = np.array(put)[_may_recur([rows[k][-1] for k in put], length)].tolist()
     if not put:
         return
     texts = [rows[k][-1] for k in put]
