@@ -46,6 +46,36 @@ def test_repeating_text_alone(spark):
         assert bytes_of(spark, brute.documents(spark, rows)) == [(1, *brute.recurring_bytes([text])[0])]
 
 
+def test_mark_of_thousands_of_spans(spark):
+    """One phrase in every text, more different texts around it than a shard takes, some of them shared by two or three."""
+    draw = random.Random(3)
+    letters = lambda n: "".join(draw.choices("abcdefghij", k=n))
+    phrase, texts = letters(120), []
+    for k in range(2500):
+        before, after = letters(60), letters(120)
+        for _ in range(1 + (k % 50 == 0) + (k % 100 == 0)):
+            texts.append(letters(40) + before + phrase + after + letters(40))
+    texts += [letters(30) + phrase * 3 + letters(30), letters(30) + phrase * 3]
+    rows = [(k, t, None, None, None, *brute.NO_EXTRA) for k, t in enumerate(texts)]
+    want = brute.recurring_bytes(texts)
+    assert sum(w[1] for w in want) > 75 * 200
+    assert bytes_of(spark, brute.documents(spark, rows)) == brute.ordered((r[0], *w) for r, w in zip(rows, want))
+
+
+def test_words_of_a_mark_of_thousands_of_spans(spark):
+    draw = random.Random(4)
+    words = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    phrase, texts = words(30), []
+    for k in range(1500):
+        before, after = words(15), words(30)
+        for _ in range(1 + (k % 50 == 0) + (k % 100 == 0)):
+            texts.append(" ".join(words(10) + before + phrase + after + words(10)))
+    rows = [(k, t, None, None, None, *brute.NO_EXTRA) for k, t in enumerate(texts)]
+    want = brute.recurring_words([r[:2] for r in rows])
+    assert sum(w[1] for w in want) > 40 * 50
+    assert words_of(spark, brute.documents(spark, rows)) == brute.ordered((r[0], *w) for r, w in zip(rows, want))
+
+
 def test_empty_table(spark):
     docs = brute.documents(spark, [])
     assert bytes_of(spark, docs) == words_of(spark, docs) == NO_ROWS

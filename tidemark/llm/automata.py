@@ -77,17 +77,11 @@ def _units(raw: bytes) -> tuple[np.ndarray, list[bytes]]:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), words
 
 
-def _windows(text: bytes) -> list[bytes]:
-    words = text.split(b" ")
-    return [b" ".join(words[k : k + WINDOW]) for k in range(len(words) - WINDOW + 1)]
-
-
 WORDS = Kind(
     size=WINDOW,
-    gram=8,
+    grams=(8, 24, WINDOW),
     units=_units,
     piece=lambda words, a, b: b" ".join(words[a:b]),
-    windows=_windows,
     recurs=lambda: F.col("low") < F.col("high"),
     solve=solve,
     shard=1 << 18,

@@ -7,10 +7,11 @@
 4. Spans of a mark meet in a shard, where ``solve`` finds the windows that recur. Shards are bounded in bytes.
 5. What is found goes back to every place the span stands at, and by document to the texts.
 
-A mark with more than ``VARIANTS`` different spans would make a shard without bound (that many make a few MB). Its windows are counted
-one by one instead, each under its own hash: exact as well, spread over all tasks, and combined before the
-shuffle. Spans of a mark are dealt by joins whose other side has one row per mark, so that a mark that every third
-text has is split like any skewed key. Texts are compressed for their way through the shuffle.
+A mark with more than ``VARIANTS`` different spans would make a shard without bound. Its different spans are texts themselves
+then, and go through the same steps with longer pieces, which fewer of them share; the last pieces are as long as a window, so that
+a mark is one window and what a shard holds of it is bounded. Spans of a mark are dealt by joins whose other side has one row
+per mark, so that a mark that every third text has is split like any skewed key. Texts are compressed for their way
+through the shuffle.
 
 A document is known by its id and its text's hash. Repeated rows are counted as often as they stand there, and get
 the same answer each.
@@ -32,8 +33,8 @@ from tidemark.llm.common import batches, values, written
 from tidemark.llm.spans import cut
 
 KEY = ["k1", "k2"]
-#: Windows of a span, and different spans of a mark, at most.
-SPAN, VARIANTS = 1024, 8192
+#: Windows of a span, and different spans of a mark that share a shard, at most: about 1 MB, or 800,000 words.
+SPAN, VARIANTS = 1024, 768
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,9 @@ class Kind:
     """What a text is made of, and when a window counts as met again."""
 
     size: int  # units of a window
-    gram: int  # units of the pieces that marks are from
+    grams: tuple[int, ...]  # units of the pieces that marks are from: of all texts, of marks with too many spans, and so on up to ``size``
     units: Callable[[bytes], tuple[np.ndarray, object]]  # a text's units as numbers, and as what ``piece`` takes
     piece: Callable[[object, int, int], bytes]  # the units from one to another
-    windows: Callable[[bytes], list[bytes]]  # the windows of a piece
     recurs: Callable[[], Column]  # of ``n``, ``low``, ``high``: number, smallest and largest document
     solve: Callable[[list[tuple]], Iterator[tuple]]  # a shard's (mark, key, n, low, high, text) to (index, start, n, low)
     shard: int  # bytes of text after which a shard is closed
@@ -53,29 +53,34 @@ class Kind:
 
 def packed(docs: DataFrame) -> DataFrame:
     """``k1, k2, doc_id, packed``: keys without nulls, and the text as compressed UTF-8 (null: empty)."""
+    return _packed(_keyed(docs))
+
+
+def _packed(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("doc_id", pa.int64()), ("packed", pa.binary())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shrink = zstandard.ZstdCompressor(level=1)
-        yield from batches(schema, ((a, b, d, shrink.compress((t or "").encode())) for a, b, d, t in values(stream)), 256)
+        yield from batches(schema, ((a, b, d, shrink.compress(t or b"")) for a, b, d, t in values(stream)), 256)
 
-    return _keyed(docs).mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, packed binary")
+    return texts.select(*KEY, "doc_id", "text").mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, packed binary")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     no_id = F.col("doc_id").isNull()
-    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text", no_id).alias("k2"), "doc_id", "text")
+    text = F.col("text").cast("binary").alias("text")
+    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text", no_id).alias("k2"), "doc_id", text)
 
 
 def unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-_SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mark", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("weight", pa.int32())])
-_SPANS_DDL = "k1 bigint, k2 bigint, mark bigint, key bigint, start int, n int, weight int"
+_SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mark", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("weight", pa.int32())])
+_SPANS_DDL = "k1 bigint, k2 bigint, mark bigint, key bigint, start int, windows int, weight int"
 
 
-def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
+def _spans_of(texts: DataFrame, kind: Kind, gram: int) -> DataFrame:
     """Every span: where it is, its mark, its content's hash, 2 as weight if it may hold a window twice."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,11 +90,9 @@ def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=_SPANS)
 
-        for k1, k2, doc_id, text in values(stream):
-            if not text or (kind.needs_id and doc_id is None):
-                continue
-            units, pieces = kind.units(text.encode())
-            marks, starts, counts, inside = cut(units, kind.size, kind.gram, SPAN)
+        for k1, k2, text in values(stream):
+            units, pieces = kind.units(text)
+            marks, starts, counts, inside = cut(units, kind.size, gram, SPAN)
             if not len(starts):
                 continue
             ends = starts + counts + kind.size - 1
@@ -102,17 +105,17 @@ def spans_of(docs: DataFrame, kind: Kind) -> DataFrame:
         if held:
             yield batch()
 
-    return _keyed(docs).mapInArrow(run, _SPANS_DDL)
+    return texts.where("text IS NOT NULL").select(*KEY, "text").mapInArrow(run, _SPANS_DDL)
 
 
 _TEXTS = pa.schema([("mark", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("hot", pa.bool_()), ("text", pa.binary())])
 _TEXTS_DDL = "mark bigint, key bigint, n bigint, low bigint, high bigint, hot boolean, text binary"
 
 
-def _texts(docs: DataFrame, distinct: DataFrame, kind: Kind) -> DataFrame:
-    """The text of every distinct span, from the document that lends it."""
+def _lent(texts: DataFrame, distinct: DataFrame, kind: Kind) -> DataFrame:
+    """The text of every distinct span, from the text it is taken from."""
     asked = distinct.groupBy(F.col("from.k1").alias("k1"), F.col("from.k2").alias("k2"))
-    asked = asked.agg(F.collect_list(F.struct("mark", "key", "n", "low", "high", "hot", F.col("from.start").alias("start"), F.col("from.n").alias("windows"))).alias("asked"))
+    asked = asked.agg(F.collect_list(F.struct("mark", "key", "n", "low", "high", "hot", F.col("from.start").alias("start"), F.col("from.windows").alias("windows"))).alias("asked"))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -124,7 +127,7 @@ def _texts(docs: DataFrame, distinct: DataFrame, kind: Kind) -> DataFrame:
 
         yield from batches(_TEXTS, rows())
 
-    return packed(docs).join(asked, KEY).select("packed", "asked").mapInArrow(run, _TEXTS_DDL)
+    return _packed(texts).join(asked, KEY).select("packed", "asked").mapInArrow(run, _TEXTS_DDL)
 
 
 _FOUND = pa.schema([("mark", pa.int64()), ("key", pa.int64()), ("offset", pa.int32()), ("windows", pa.int32()), ("low", pa.int64())])
@@ -158,48 +161,42 @@ def _sharded(texts: DataFrame, kind: Kind) -> DataFrame:
     return rows.sortWithinPartitions("mark", "key").mapInArrow(run, _FOUND_DDL)
 
 
-_WINDOWS = pa.schema([("mark", pa.int64()), ("key", pa.int64()), ("offset", pa.int32()), ("window", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
-_WINDOWS_DDL = "mark bigint, key bigint, offset int, window bigint, n bigint, low bigint, high bigint"
-
-
-def _counted(texts: DataFrame, kind: Kind) -> DataFrame:
-    """Recurring windows of marks with very many different spans: counted window by window."""
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for mark, key, n, low, high, text in values(stream):
-                for k, window in enumerate(kind.windows(text)):
-                    yield mark, key, k, xxhash.xxh3_64_intdigest(window) - (1 << 63), n, low, high
-
-        yield from batches(_WINDOWS, rows(), 8192)
-
-    each = texts.select("mark", "key", "n", "low", "high", "text").mapInArrow(run, _WINDOWS_DDL)
-    each = each.dropDuplicates(["mark", "key", "offset"])  # lent by a repeated row
-    met = each.groupBy("mark", "window").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    met = met.where(kind.recurs()).select("mark", "window", "low")
-    return each.select("mark", "key", "offset", "window").join(met, ["mark", "window"]).select("mark", "key", "offset", F.lit(1).alias("windows"), "low")
-
+def _found(texts: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
+    """``k1, k2, start, windows, low``: runs of recurring windows of texts.
 
-def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
-    """``k1, k2, runs``: of each document that has any, the runs (start, windows, low) of recurring windows."""
-    spans = written(spans_of(docs, kind), "spans")
-    marks = spans.groupBy("mark").agg(F.sum("weight").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
+    At level 0 texts are documents. Further on they are different spans of marks that had too many, with ``n, low, high``.
+    """
+    spans = written(_spans_of(texts, kind, kind.grams[level]), "spans")
+    n, low, high = F.lit(1), F.col("k1"), F.col("k1")
+    if level:
+        spans = spans.join(texts.select(*KEY, "n", "low", "high"), KEY)
+        n, low, high = F.col("n"), F.col("low"), F.col("high")
+    marks = spans.groupBy("mark").agg(F.sum(n * F.col("weight")).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"))
     kept = written(spans.join(marks.where(kind.recurs()).select("mark"), "mark"), "met")
 
-    one = kept.groupBy("mark", "key").agg(
-        F.count("*").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.min(F.struct("k1", "k2", "start", "n")).alias("from")
-    )
-    one = written(one, "distinct")
-    many = one.groupBy("mark").count().where(F.col("count") > VARIANTS).select("mark", F.lit(True).alias("hot"))
+    lender = F.min(F.struct("k1", "k2", "start", "windows")).alias("from")
+    one = kept.groupBy("mark", "key").agg(F.sum(n).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), lender)
+    one, last = written(one, "distinct"), level + 1 == len(kind.grams)
+    many = one.groupBy("mark").count().where(F.col("count") > (1 << 62 if last else VARIANTS)).select("mark", F.lit(True).alias("hot"))
     distinct = one.join(many, "mark", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    texts = written(_texts(docs, distinct, kind), "texts")
-
-    found = _sharded(texts.where("NOT hot"), kind).unionByName(_counted(texts.where("hot"), kind))
+    lent = written(_lent(texts, distinct, kind), "texts")
+
+    found, hot = _sharded(lent.where("NOT hot"), kind), lent.where("hot")
+    if not last and not hot.isEmpty():
+        inner = hot.dropDuplicates(["mark", "key"])  # lent by a repeated row
+        inner = inner.select(F.col("mark").alias("k1"), F.col("key").alias("k2"), F.lit(0).cast("bigint").alias("doc_id"), "n", "low", "high", "text")
+        inner = _found(written(inner, "hot"), kind, level + 1)
+        found = found.unionByName(inner.select(F.col("k1").alias("mark"), F.col("k2").alias("key"), F.col("start").alias("offset"), "windows", "low"))
     found = written(found, "found")
 
     places = kept.select("mark", "key", *KEY, "start").join(found, ["mark", "key"])
-    run = F.struct((F.col("start") + F.col("offset")).alias("start"), "windows", "low")
-    return places.groupBy(*KEY).agg(F.collect_list(run).alias("runs"))
+    return places.select(*KEY, (F.col("start") + F.col("offset")).alias("start"), "windows", found["low"].alias("low"))
+
+
+def repeated(docs: DataFrame, kind: Kind) -> DataFrame:
+    """``k1, k2, runs``: of each document that has any, the runs (start, windows, low) of recurring windows."""
+    texts = _keyed(docs.where("doc_id IS NOT NULL") if kind.needs_id else docs)
+    return _found(texts, kind).groupBy(*KEY).agg(F.collect_list(F.struct("start", "windows", "low")).alias("runs"))
 
 
 def covered(size: int, n_units: int, runs: list[dict]) -> np.ndarray:

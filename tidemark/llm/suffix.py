@@ -189,10 +189,9 @@ def _units(raw: bytes) -> tuple[np.ndarray, bytes]:
 
 BYTES = Kind(
     size=LENGTH,
-    gram=32,
+    grams=(32, 96, LENGTH),
     units=_units,
     piece=lambda raw, a, b: raw[a:b],
-    windows=lambda text: [text[k : k + LENGTH] for k in range(len(text) - LENGTH + 1)],
     recurs=lambda: F.col("n") > 1,
     solve=solve,
     shard=1 << 19,
