@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, values, written
@@ -78,34 +78,42 @@ def unpacked(data: bytes) -> bytes:
 
 _SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("mark", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("weight", pa.int32())])
 _SPANS_DDL = "k1 bigint, k2 bigint, mark bigint, key bigint, start int, windows int, weight int"
+_FACTS = pa.schema([("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+_FACTS_DDL = ", n bigint, low bigint, high bigint"
 
 
-def _spans_of(texts: DataFrame, kind: Kind, gram: int) -> DataFrame:
-    """Every span: where it is, its mark, its content's hash, 2 as weight if it may hold a window twice."""
+def _spans_of(texts: DataFrame, kind: Kind, level: int) -> DataFrame:
+    """Every span: where it is, its mark, its content's hash, 2 as weight if it may hold a window twice.
+
+    Beyond level 0, also the ``n, low, high`` of the text it is from.
+    """
+    facts = [f.name for f in _FACTS] if level else []
+    schema = pa.schema([*_SPANS, *_FACTS]) if level else _SPANS
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = xxhash.xxh3_64_intdigest
         held: list[list[np.ndarray]] = []
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=_SPANS)
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=schema)
 
-        for k1, k2, text in values(stream):
+        for k1, k2, text, *known in values(stream):
             units, pieces = kind.units(text)
-            marks, starts, counts, inside = cut(units, kind.size, gram, SPAN)
+            marks, starts, counts, inside = cut(units, kind.size, kind.grams[level], SPAN)
             if not len(starts):
                 continue
             ends = starts + counts + kind.size - 1
             content = np.array([hash_of(kind.piece(pieces, a, b)) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
             columns = [np.full(len(starts), k1), np.full(len(starts), k2), marks.view(np.int64), content.view(np.int64)]
-            held.append(columns + [starts.astype(np.int32), counts.astype(np.int32), 1 + inside.astype(np.int32)])
+            columns += [starts.astype(np.int32), counts.astype(np.int32), 1 + inside.astype(np.int32)]
+            held.append(columns + [np.full(len(starts), fact) for fact in known])
             if sum(len(h[0]) for h in held[-64:]) > 20_000 or len(held) >= 512:
                 yield batch()
                 held = []
         if held:
             yield batch()
 
-    return texts.where("text IS NOT NULL").select(*KEY, "text").mapInArrow(run, _SPANS_DDL)
+    return texts.where("text IS NOT NULL").select(*KEY, "text", *facts).mapInArrow(run, _SPANS_DDL + (_FACTS_DDL if level else ""))
 
 
 _TEXTS = pa.schema([("mark", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("hot", pa.bool_()), ("text", pa.binary())])
@@ -161,18 +169,25 @@ def _sharded(texts: DataFrame, kind: Kind) -> DataFrame:
     return rows.sortWithinPartitions("mark", "key").mapInArrow(run, _FOUND_DDL)
 
 
+def _merged(runs: DataFrame) -> DataFrame:
+    """Runs of a text that follow each other, with the same smallest document, as one; a text is a span here."""
+    ordered = Window.partitionBy(*KEY).orderBy("start")
+    follows = (F.lag(F.col("start") + F.col("windows")).over(ordered) == F.col("start")) & (F.lag("low").over(ordered) == F.col("low"))
+    numbered = runs.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("begins").over(ordered))
+    merged = numbered.groupBy(*KEY, "run").agg(F.min("start").alias("start"), F.sum("windows").cast("int").alias("windows"), F.min("low").alias("low"))
+    return merged.drop("run")
+
+
 def _found(texts: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
     """``k1, k2, start, windows, low``: runs of recurring windows of texts.
 
     At level 0 texts are documents. Further on they are different spans of marks that had too many, with ``n, low, high``.
     """
-    spans = written(_spans_of(texts, kind, kind.grams[level]), "spans")
-    n, low, high = F.lit(1), F.col("k1"), F.col("k1")
-    if level:
-        spans = spans.join(texts.select(*KEY, "n", "low", "high"), KEY)
-        n, low, high = F.col("n"), F.col("low"), F.col("high")
+    spans = written(_spans_of(texts, kind, level), "spans")
+    n, low, high = (F.col("n"), F.col("low"), F.col("high")) if level else (F.lit(1), F.col("k1"), F.col("k1"))
     marks = spans.groupBy("mark").agg(F.sum(n * F.col("weight")).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"))
-    kept = written(spans.join(marks.where(kind.recurs()).select("mark"), "mark"), "met")
+    marks = written(marks.where(kind.recurs()).select("mark"), "marks")  # on its own, so that a hot mark's spans are split
+    kept = written(spans.join(marks, "mark"), "met")
 
     lender = F.min(F.struct("k1", "k2", "start", "windows")).alias("from")
     one = kept.groupBy("mark", "key").agg(F.sum(n).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), lender)
@@ -186,7 +201,7 @@ def _found(texts: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
         inner = hot.dropDuplicates(["mark", "key"])  # lent by a repeated row
         inner = inner.select(F.col("mark").alias("k1"), F.col("key").alias("k2"), F.lit(0).cast("bigint").alias("doc_id"), "n", "low", "high", "text")
         inner = _found(written(inner, "hot"), kind, level + 1)
-        found = found.unionByName(inner.select(F.col("k1").alias("mark"), F.col("k2").alias("key"), F.col("start").alias("offset"), "windows", "low"))
+        found = found.unionByName(_merged(inner).select(F.col("k1").alias("mark"), F.col("k2").alias("key"), F.col("start").alias("offset"), "windows", "low"))
     found = written(found, "found")
 
     places = kept.select("mark", "key", *KEY, "start").join(found, ["mark", "key"])
