@@ -189,7 +189,7 @@ def _units(raw: bytes) -> tuple[np.ndarray, bytes]:
 
 BYTES = Kind(
     size=LENGTH,
-    grams=(32, 96, LENGTH),
+    grams=(32, 160, 190, LENGTH),
     units=_units,
     piece=lambda raw, a, b: raw[a:b],
     recurs=lambda: F.col("n") > 1,
