@@ -1,12 +1,13 @@
 """Recurring bytes and words against plain counting, on awkward rows and on either way through hot marks."""
 
 import random
+from dataclasses import replace
 
 import brute
 import numpy as np
 import pytest
 
-from tidemark.llm import automata, repeats, spans, suffix
+from tidemark.llm import automata, spans, suffix
 from tidemark.llm.queries import QUERIES
 
 NO_ROWS: list = []
@@ -21,17 +22,17 @@ def words_of(spark, docs):
     return brute.ordered((r.doc_id, r.n_words, r.n_removed, brute.sha(bytes(r.kept))) for r in automata.deduplicate(docs).collect())
 
 
-@pytest.mark.parametrize("variants", [repeats.VARIANTS, 1, 0])
-def test_bytes(spark, monkeypatch, variants):
-    monkeypatch.setattr(repeats, "VARIANTS", variants)
+@pytest.mark.parametrize("most", [suffix.BYTES.most, 1000, 0])
+def test_bytes(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix, "BYTES", replace(suffix.BYTES, most=most))
     rows = brute.awkward()
     want = brute.recurring_bytes([r[1] for r in rows])
     assert bytes_of(spark, brute.documents(spark)) == brute.ordered((r[0], *w) for r, w in zip(rows, want))
 
 
-@pytest.mark.parametrize("variants", [repeats.VARIANTS, 1, 0])
-def test_words(spark, monkeypatch, variants):
-    monkeypatch.setattr(repeats, "VARIANTS", variants)
+@pytest.mark.parametrize("most", [automata.WORDS.most, 200, 0])
+def test_words(spark, monkeypatch, most):
+    monkeypatch.setattr(automata, "WORDS", replace(automata.WORDS, most=most))
     rows = brute.awkward()
     want = brute.recurring_words([r[:2] for r in rows])
     assert words_of(spark, brute.documents(spark)) == brute.ordered((r[0], *w) for r, w in zip(rows, want))
@@ -46,8 +47,9 @@ def test_repeating_text_alone(spark):
         assert bytes_of(spark, brute.documents(spark, rows)) == [(1, *brute.recurring_bytes([text])[0])]
 
 
-def test_mark_of_thousands_of_spans(spark):
+def test_mark_of_thousands_of_spans(spark, monkeypatch):
     """One phrase in every text, more different texts around it than a shard takes, some of them shared by two or three."""
+    monkeypatch.setattr(suffix, "BYTES", replace(suffix.BYTES, most=1 << 17))
     draw = random.Random(3)
     letters = lambda n: "".join(draw.choices("abcdefghij", k=n))
     phrase, texts = letters(120), []
@@ -62,7 +64,8 @@ def test_mark_of_thousands_of_spans(spark):
     assert bytes_of(spark, brute.documents(spark, rows)) == brute.ordered((r[0], *w) for r, w in zip(rows, want))
 
 
-def test_words_of_a_mark_of_thousands_of_spans(spark):
+def test_words_of_a_mark_of_thousands_of_spans(spark, monkeypatch):
+    monkeypatch.setattr(automata, "WORDS", replace(automata.WORDS, most=1 << 14))
     draw = random.Random(4)
     words = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
     phrase, texts = words(30), []

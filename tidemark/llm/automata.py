@@ -85,6 +85,7 @@ WORDS = Kind(
     recurs=lambda: F.col("low") < F.col("high"),
     solve=solve,
     shard=1 << 18,
+    most=1 << 19,  # with what a shard had before, fewer words than there are characters
     needs_id=True,
 )
 

@@ -7,7 +7,7 @@
 4. Spans of a mark meet in a shard, where ``solve`` finds the windows that recur. Shards are bounded in bytes.
 5. What is found goes back to every place the span stands at, and by document to the texts.
 
-A mark with more than ``VARIANTS`` different spans would make a shard without bound. Its different spans are texts themselves
+A mark whose different spans are longer than ``most`` in all would make a shard without bound. Its different spans are texts themselves
 then, and go through the same steps with longer pieces, which fewer of them share; the last pieces are as long as a window, so that
 a mark is one window and what a shard holds of it is bounded. Spans of a mark are dealt by joins whose other side has one row
 per mark, so that a mark that every third text has is split like any skewed key. Texts are compressed for their way
@@ -33,8 +33,8 @@ from tidemark.llm.common import batches, values, written
 from tidemark.llm.spans import cut
 
 KEY = ["k1", "k2"]
-#: Windows of a span, and different spans of a mark that share a shard, at most: about 1 MB, or 800,000 words.
-SPAN, VARIANTS = 1024, 768
+#: Windows of a span, at most.
+SPAN = 1024
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,7 @@ class Kind:
     recurs: Callable[[], Column]  # of ``n``, ``low``, ``high``: number, smallest and largest document
     solve: Callable[[list[tuple]], Iterator[tuple]]  # a shard's (mark, key, n, low, high, text) to (index, start, n, low)
     shard: int  # bytes of text after which a shard is closed
+    most: int  # units of one mark's different spans that a shard takes
     needs_id: bool = False  # documents without an id take no part
 
 
@@ -192,8 +193,9 @@ def _found(texts: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
     lender = F.min(F.struct("k1", "k2", "start", "windows")).alias("from")
     one = kept.groupBy("mark", "key").agg(F.sum(n).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), lender)
     one, last = written(one, "distinct"), level + 1 == len(kind.grams)
-    many = one.groupBy("mark").count().where(F.col("count") > (1 << 62 if last else VARIANTS)).select("mark", F.lit(True).alias("hot"))
-    distinct = one.join(many, "mark", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    length = F.sum(F.col("from.windows") + (kind.size - 1)).alias("length")
+    many = one.groupBy("mark").agg(length).where(F.lit(not last) & (F.col("length") > kind.most)).select("mark", F.lit(True).alias("hot"))
+    distinct = one.join(written(many, "many"), "mark", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     lent = written(_lent(texts, distinct, kind), "texts")
 
     found, hot = _sharded(lent.where("NOT hot"), kind), lent.where("hot")

@@ -195,6 +195,7 @@ BYTES = Kind(
     recurs=lambda: F.col("n") > 1,
     solve=solve,
     shard=1 << 19,
+    most=1 << 22,
 )
 
 _REMOVED = pa.schema(
