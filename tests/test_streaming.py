@@ -269,6 +269,29 @@ def test_throughput_counts_rows_whatever_their_time(spark, tables):
     assert {r["bucket"].day for r in recent.collect()} == {2, 3}
 
 
+def test_throughput_keeps_few_folders_and_every_row(spark, tables):
+    """Fifteen batches, folded every third: old buckets get wider, sums stay, folders do not pile up; a fold cut short is not used."""
+    import os
+
+    source, path, want = tables.path("many"), tables.path("folded"), 0
+    for k in range(15):
+        at = datetime(2024, 1, 1 + k % 5, 12, k, 3 * k)
+        part = spark.createDataFrame([(at, True, 10 + k), (at.replace(second=59), True, 1)], "attempted_at TIMESTAMP_NTZ, ok BOOLEAN, rows BIGINT")
+        part.coalesce(1).write.mode("append").parquet(source)
+        want += 11 + k
+    stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    coarser = (("1 HOUR", "minute"), ("3 DAYS", "day"))
+    count_throughput(stream, path, fold_every=3, coarser=coarser).awaitTermination()
+    assert len(os.listdir(f"{path}/counts")) <= 6 and len(os.listdir(f"{path}/folds")) <= 2
+    got = {r["bucket"]: r["rows"] for r in counted(spark, path).collect()}
+    assert sum(got.values()) == want
+    assert got[datetime(2024, 1, 1)] == sum(11 + k for k in (0, 5, 10))  # a day
+    assert got[datetime(2024, 1, 4, 12, 3)] == 14  # a minute
+    assert got[datetime(2024, 1, 5, 12, 14, 42)] == 24  # a second
+    os.remove(f"{path}/folds/batch_id=14/_SUCCESS")
+    assert sum(r["rows"] for r in counted(spark, path).collect()) == want
+
+
 def test_a_late_old_file_is_read(spark, tables):
     import os
     import time
