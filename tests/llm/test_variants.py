@@ -95,6 +95,16 @@ def test_hot_key_in_chunks(spark, monkeypatch):
     assert found(variants.group_variants(spark.createDataFrame(docs, "doc_id bigint, text string"))) == plain(docs)
 
 
+def test_hot_key_beside_a_small_one(spark, monkeypatch):
+    """A word of a hot key also stands under the key before it, whose shard must not take a chunk in."""
+    monkeypatch.setattr(variants, "CHUNK", 7)
+    draw = random.Random(1)
+    long = sorted({"abcd" + "".join(draw.choices("efghijklmnop", k=5)) for _ in range(40)})
+    words = long + [w[:k] + w[k + 1 :] for w, k in zip(long, (4, 5, 6, 7, 8))]
+    docs = [(k, " ".join(words)) for k in range(8)]
+    assert found(variants.group_variants(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(1))) == plain(docs)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]

@@ -95,8 +95,12 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")
     rows = rows.join(sizes.select("key", chunks), "key")
-    home = F.pmod(F.xxhash64("word"), F.col("chunks")).cast("int")
-    asked_in = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(home))
+    # chunk 0 is a whole key; chunks of a key that is dealt count from 1 and share their index with no other key,
+    # where a word of another chunk could stand by that other key
+    whole = F.col("chunks") == 1
+    home = F.when(whole, 0).otherwise(F.pmod(F.xxhash64("word"), F.col("chunks")) + 1).cast("int")
+    everywhere = F.when(whole, F.array(home)).otherwise(F.sequence(F.lit(1), F.col("chunks")))
+    asked_in = F.when(F.col("asks"), everywhere).otherwise(F.array(home))
     dealt = rows.select("key", "asks", "word", "n", home.alias("home"), F.explode(asked_in).alias("chunk"))
     dealt = dealt.select("key", "chunk", "word", "n", "asks", (F.col("home") == F.col("chunk")).alias("stands"))
     schema = pa.schema([("word", pa.string()), ("near", pa.string()), ("near_n", pa.int64())])
