@@ -129,6 +129,24 @@ def test_replay_checks_the_row_again(spark):
     assert [(r["ok"], r["reason"], r["id"]) for r in got.collect()] == [(False, "no email", None)]
 
 
+def test_requests_without_a_record_are_not_one_task(spark):
+    there = letters(spark, [(1, 7, 1, "open", "{}"), (5, None, 1, "open", "{}")])
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = dead_letters.replay(spark.range(800), there, people(spark, [(7, "a@x", "n"), (5, "b@x", "n"), (9, "c@x", "n")]), now())
+        placed = got.select("dlq_id", "reason", "email", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    tasks = [r["part"] for r in placed]
+    assert len(placed) == 800 and max(tasks.count(t) for t in set(tasks)) < 200
+    assert {r["dlq_id"]: r["email"] for r in placed if r["reason"] is None} == {1: "a@x", 5: ""}
+    assert sum(r["reason"] == "not found" for r in placed) == 798
+
+
 # --- feed
 
 

@@ -114,12 +114,14 @@ def replay(
         "dlq_id", "record_id", refused.alias("_refused"), F.struct(*_stored_row(as_of)).alias("_stored")
     )
     source = records.select(
-        F.col("id").alias("record_id"),
+        F.col("id").alias("_record"),
         F.struct(
             *[F.lit(False).alias(c) if c == "poison" else F.col(c) for c in S.RECORD_COLUMNS]
         ).alias("_source"),
     )
-    chosen = guarded.join(source, "record_id", "left").select(
+    # requests without a record match nothing; dealt by their own id they do not all land in one task
+    same = F.coalesce("record_id", "dlq_id") == F.col("_record")
+    chosen = guarded.join(source, same & F.col("record_id").isNotNull(), "left").select(
         "dlq_id", "record_id", "_refused", F.coalesce("_source", "_stored").alias("_row")
     )
     checked = with_error(chosen.select("dlq_id", "record_id", "_refused", "_row.*"), rules)
