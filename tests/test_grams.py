@@ -43,6 +43,15 @@ def test_reader_is_given_the_rarest_grams(given):
     assert table.where(F.length("gram") != 3).isEmpty()
 
 
+def test_neighbours_share_a_row(spark):
+    records = spark.range(-64, 128).select("id", F.lit("a😀b😀").alias("email"), F.lit(None).cast("string").alias("name"))
+    path = new_dir(spark, "grams")
+    search.write_grams(records, path)
+    table = search.read_grams(spark, path)
+    assert sorted(r["gram"] for r in table.collect()) == sorted(["a😀b", "😀b😀"] * 3)
+    assert [r["id"] for r in search.search_grams(records, table, "😀B", 200).collect()] == [*range(127, -65, -1)]
+
+
 def test_empty_table(spark, given):
     none = given[0].limit(0)
     path = new_dir(spark, "grams")

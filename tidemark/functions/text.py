@@ -55,12 +55,9 @@ def containing(query: Column) -> Column:
 
 def grams(text: Column) -> Column:
     """Distinct runs of ``GRAM`` characters of a text in lower case; none of a shorter or missing text."""
-    at = lambda signs: F.sequence(F.lit(0), F.size(signs) - GRAM)
-    run = lambda signs, i: F.concat(*[F.get(signs, i + k) for k in range(GRAM)])
-    runs = lambda signs: F.when(F.size(signs) >= GRAM, F.transform(at(signs), lambda i: run(signs, i)))
-    # the characters are bound once: a long text is cut up once, not for each of its grams
-    found = F.transform(F.array(F.split(F.lower(text), "")), runs)[0]
-    return F.array_distinct(F.coalesce(found, F.array().cast("array<string>")))
+    # one pass of a pattern that looks ahead for a gram and takes one character
+    runs = F.regexp_extract_all(F.lower(text), F.lit(f"(?s)(?=({'.' * GRAM}))."), 1)
+    return F.array_distinct(F.coalesce(runs, F.array().cast("array<string>")))
 
 
 def literal_pieces(pattern: str) -> list[str]:

@@ -8,6 +8,8 @@ from tidemark import schema as S
 from tidemark.functions.text import GRAM, containing, contains_ignoring_case, grams, is_id_query, literal_pieces, shares_word, tokens, trimmed
 
 RAREST = 4  # grams of a query that are intersected before texts are looked at
+BLOCK_BITS = 6  # ids of a block of grams: as many as a bigint has bits
+BLOCK = 1 << BLOCK_BITS
 MOST = 1000  # up to this many rows per group are cut out before the shuffle
 
 
@@ -69,18 +71,22 @@ def search_like(records: DataFrame, query: str, limit: int = S.SEARCH_SHOWN) ->
 
 
 def write_grams(records: DataFrame, path: str) -> None:
-    """The table (gram, id) of emails and names, laid out by gram, newest ids first.
+    """The table (gram, block, ids) of emails and names, laid out by gram, newest ids first.
 
-    A gram that stands in very many rows is cut by id, so no task has all of it. Rows without an id are left out.
+    A block is ``BLOCK`` ids in a row, ``ids`` a bit for each that has the gram; rows that lie together by id are put
+    together before the shuffle, and a text is cut up once. A gram that stands in very many rows is cut by block, so no
+    task has all of it. Rows without an id are left out.
     """
-    both = F.array_distinct(F.concat(grams(F.col("email")), grams(F.col("name"))))
-    rows = records.where(F.col("id").isNotNull()).select(F.explode(both).alias("gram"), "id")
-    newest = F.col("id").desc()
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("id").bitwiseAND(BLOCK - 1).cast("int"))
+    both = F.explode(F.concat(grams(F.col("email")), grams(F.col("name")))).alias("gram")
+    found = records.where(F.col("id").isNotNull()).select(both, F.shiftright("id", BLOCK_BITS).alias("block"), bit.alias("bit"))
+    rows = found.groupBy("gram", "block").agg(F.bit_or("bit").alias("ids"))
+    newest = F.col("block").desc()
     rows.repartitionByRange("gram", newest).sortWithinPartitions("gram", newest).write.parquet(path)
 
 
 def read_grams(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("gram STRING, id BIGINT").parquet(path)
+    return spark.read.schema("gram STRING, block BIGINT, ids BIGINT").parquet(path)
 
 
 def query_grams(spark: SparkSession, query: str) -> list[str]:
@@ -100,13 +106,15 @@ def search_grams(records: DataFrame, table: DataFrame, query: str, limit: int =
     wanted = query_grams(spark, query)[:MOST]  # any of them narrow the candidates, the texts decide
     if not wanted:
         return search_like(records, query, limit)
-    counts = table.where(F.col("gram").isin(wanted)).groupBy("gram").count().collect()  # one row per gram asked for
-    rows_of = dict.fromkeys(wanted, 0) | {r["gram"]: r["count"] for r in counts}
+    counts = table.where(F.col("gram").isin(wanted)).groupBy("gram").agg(F.sum(F.bit_count("ids")).alias("n")).collect()
+    rows_of = dict.fromkeys(wanted, 0) | {r["gram"]: r["n"] for r in counts}  # one row per gram asked for
     rarest = sorted(wanted, key=lambda gram: (rows_of[gram], gram))[:RAREST]
     if not rows_of[rarest[0]]:
         rarest = rarest[:1]  # no text has it
-    has = table.where(F.col("gram").isin(rarest)).groupBy("id").agg(F.count_distinct("gram").alias("n"))
-    candidates = has.where(F.col("n") == len(rarest)).select("id")
+    blocks = table.where(F.col("gram").isin(rarest)).groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.bit_and("ids").alias("ids"))
+    blocks = blocks.where((F.col("n") == len(rarest)) & (F.col("ids") != 0))
+    placed = blocks.select("block", "ids", F.explode(F.sequence(F.lit(0), F.lit(BLOCK - 1))).alias("at"))
+    candidates = placed.where(F.getbit("ids", F.col("at")) == 1).select((F.col("block") * BLOCK + F.col("at")).alias("id"))
     if query.isascii() and query.isdigit():
         candidates = candidates.union(spark.range(1).select(F.lit(query).try_cast("bigint")))
     near = records.join(candidates, "id", "left_semi")
