@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import search
 from tidemark.session import new_dir
-from tidemark.streaming import replicate as replication
+from tidemark.streaming import replicate as replication, tables as replica
 from tidemark.streaming.replicate import commit_batch
 from tidemark.streaming.tables import ReplicationTables
 
@@ -66,3 +66,19 @@ def test_few_queries_reach_the_reader(spark):
     assert "In(term, [" in plan
     many = spark.range(search.MOST + 5).select(F.col("id").alias("query_id"), F.concat(F.lit("w"), "id").alias("query"))
     assert search.asked_for(many) is None
+
+
+def test_compact_joins_terms_only_where_rows_were_replaced(spark, monkeypatch):
+    joined = []
+    plain = replica._without_older
+    monkeypatch.setattr(replica, "_without_older", lambda *given: joined.append(1) or plain(*given))
+    tables = ReplicationTables(new_dir(spark, "terms"), terms=True)
+    commit_batch(rows(spark, [(k, "ada", 1, False) for k in range(5)], 0), 0, tables, "backfill")
+    tables.compact(spark)
+    assert not joined
+    commit_batch(rows(spark, [(3, "grace", 2, False), (4, "stale", 0, False)], 10), 1, tables, "backfill")
+    tables.compact(spark)
+    assert joined
+    queries = spark.createDataFrame([(1, "ada"), (2, "grace"), (3, "stale")], "query_id BIGINT, query STRING")
+    found = search.search_many_terms(tables.search_terms(spark, search.asked_for(queries)), queries).collect()
+    assert sorted((r["query_id"], r["id"]) for r in found) == [(1, 0), (1, 1), (1, 2), (1, 4), (2, 3)]

@@ -133,13 +133,14 @@ def record_terms(records: DataFrame, *columns: str) -> DataFrame:
     none = F.array().cast("array<string>")
     worded = records.select("id", "email", "name", *columns, F.coalesce(tokens(F.col("name")), none).alias("_words"))
     whole_name = F.when(F.size("_words") == 0, F.array("name")).otherwise(none)
-    found_by = F.concat(
-        _terms("word", F.col("_words")),
-        _terms("name", whole_name),
-        _terms("email", F.array("email")),
-        _terms("id", F.array(F.col("id").cast("string"))),
-    )
-    return worded.select("id", *columns, F.inline(found_by))
+    sized = worded.select(
+        "id", *columns, F.size("_words").alias("_n"),
+        F.concat("_words", whole_name, F.array("email"), F.array(F.col("id").cast("string"))).alias("_terms"),
+    )
+    placed = sized.select("id", *columns, "_n", F.size("_terms").alias("_all"), F.posexplode("_terms").alias("_at", "term"))
+    kind = F.when(F.col("_at") < F.col("_n"), "word").when(F.col("_at") == F.col("_all") - 1, "id")
+    kind = kind.when(F.col("_at") == F.col("_all") - 2, "email").otherwise("name")
+    return placed.select("id", *columns, kind.alias("kind"), "term")
 
 
 def query_terms(queries: DataFrame) -> DataFrame:

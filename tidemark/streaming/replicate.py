@@ -136,9 +136,15 @@ def store_dead_letters(stored: DataFrame, tables: ReplicationTables, mode: str,
 
 
 def store_terms(stored: DataFrame, tables: ReplicationTables, mode: str, batch_ids: list[int]) -> None:
-    """Write what the accepted rows are found by, each batch's terms apart, laid out by term."""
-    terms = record_terms(accepted(stored), "version", "seq", "batch_id").repartitionByRange("kind", "term", "id")
-    tables.write_batches(terms.sortWithinPartitions("batch_id", "kind", "term"), "terms", mode, batch_ids)
+    """Write what the accepted rows are found by, each batch's terms apart, each file in the order of its terms.
+
+    Terms are written by the task that reads the rows; ``compact`` lays all of them out by term.
+    """
+    terms = record_terms(accepted(stored), "version", "seq", "batch_id")
+    if len(batch_ids) == 1:
+        tables.write_batch(terms.drop("batch_id").sortWithinPartitions("term", "kind"), "terms", mode, batch_ids[0])
+    else:
+        tables.write_batches(terms.sortWithinPartitions("batch_id", "term", "kind"), "terms", mode, batch_ids)
 
 
 def commit_batch(

@@ -29,6 +29,7 @@ DOCUMENT_LOG = S.RECORDS + ", seq BIGINT" + PARTITIONS
 ENTRY_LOG = S.DEAD_LETTERS.replace("batch_id STRING, ", "") + PARTITIONS
 MARK_LOG = "id BIGINT, replayed_at TIMESTAMP_NTZ" + PARTITIONS
 TERM_LOG = "kind STRING, term STRING, id BIGINT, version BIGINT, seq BIGINT" + PARTITIONS
+REPLACED_LOG = "id BIGINT, version BIGINT, seq BIGINT" + PARTITIONS
 START_LOG = "started_at TIMESTAMP_NTZ, owner STRING, number BIGINT" + PARTITIONS
 SNAPSHOT_LOG = "snapshot BIGINT, mode STRING, last_batch BIGINT"
 NEWEST = ("version", "seq", "batch_id", "mode")  # seq is given by the source; the order of files is not
@@ -270,8 +271,13 @@ class ReplicationTables:
         put(current_state(taken, order=NEWEST), "documents")
         if self.terms:
             recent = fixed(self._committed(spark, "terms", TERM_LOG, covered))
-            current = _current_terms(recent, self._snapshot(spark, last, "terms", TERM_LOG))
-            order = ["kind", "term", F.col("id").desc()]  # a frequent word is cut by id
+            before = self._snapshot(spark, last, "terms", TERM_LOG)
+            put(_replaced(recent, before), "replaced")  # known first, so that terms are joined only if there are some
+            replaced = self._snapshot(spark, snapshot, "replaced", REPLACED_LOG)
+            current = before.unionByName(recent)
+            if not replaced.isEmpty():
+                current = _without_older(current, replaced)
+            order = ["term", "kind", F.col("id").desc()]  # a frequent word is cut by id; terms differ early, kinds don't
             put(current.repartitionByRange(*order).sortWithinPartitions(*order), "terms")
         put(fixed(log).coalesce(1), "batch_log")
         ours = F.substring_index("batch_id", "-", 1).alias("mode"), F.substring_index("batch_id", "-", -1).cast("bigint").alias("batch_id")
@@ -281,8 +287,8 @@ class ReplicationTables:
         said.coalesce(1).write.mode("overwrite").parquet(self.path(f"snapshot_log/snapshot={snapshot}"))
 
 
-def _current_terms(recent: DataFrame, taken: DataFrame, asked: Column | None = None) -> DataFrame:
-    """Terms of each id's newest row, of a snapshot's terms and those of the batches since.
+def _replaced(recent: DataFrame, taken: DataFrame) -> DataFrame:
+    """Newest row of each id that has older ones too, in a snapshot's terms and those of the batches since.
 
     Only ids that stand in those batches can have changed: their newest row is found from the ids among the terms,
     which are few and narrow, and no text is read.
@@ -290,11 +296,20 @@ def _current_terms(recent: DataFrame, taken: DataFrame, asked: Column | None = N
     version = F.struct(*NEWEST).alias("_newest")
     touched = recent.where("kind = 'id'").select("id", version)
     before = taken.where("kind = 'id'").select("id", version).join(touched.select("id").distinct(), "id", "left_semi")
-    newest = touched.unionByName(before).groupBy("id").agg(F.max("_newest").alias("_newest"))
-    rows = taken.unionByName(recent)
-    rows = rows if asked is None else rows.where(asked)
+    newest = touched.unionByName(before).groupBy("id").agg(F.max("_newest").alias("_newest"), F.min("_newest").alias("_oldest"))
+    return newest.where("_newest != _oldest").select("id", "_newest.*")
+
+
+def _without_older(terms: DataFrame, replaced: DataFrame) -> DataFrame:
+    newest = replaced.select("id", F.struct(*NEWEST).alias("_newest"))
     kept = F.col("_newest").isNull() | (F.struct(*NEWEST) == F.col("_newest"))
-    return rows.join(newest, "id", "left").where(kept).drop("_newest")
+    return terms.join(newest, "id", "left").where(kept).drop("_newest")
+
+
+def _current_terms(recent: DataFrame, taken: DataFrame, asked: Column | None = None) -> DataFrame:
+    """Terms of each id's newest row."""
+    rows = taken.unionByName(recent)
+    return _without_older(rows if asked is None else rows.where(asked), _replaced(recent, taken))
 
 
 def feed_of(rows: DataFrame) -> DataFrame:
