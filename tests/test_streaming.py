@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import schema as S
 from tidemark.functions.times import utc
 import synth
+from tidemark import catalog
 from tidemark.operators import consume, upsert
 from tidemark.operators.dead_letters import has_replay_context, is_open
 from tidemark.plans import batches, reconcile, status
@@ -565,3 +566,25 @@ def test_a_smaller_redo_leaves_nothing_of_the_first_try(spark, tables, folder, m
     assert sync(later, tables, S.BACKFILL, datetime(2000, 1, 1), rows_per_batch=500) == 2
     assert tables.dead_letters(spark).count() == 0
     assert tables.feed(spark).count() == later.count() == tables.state(spark).count()
+
+
+def _written_events(spark, rows):
+    """Events of a few users as one file."""
+    folder, n = new_dir(spark, "given"), F.col("id")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + n).cast("timestamp_ntz")
+    spark.range(rows).select(
+        n.alias("event_id"), at.alias("ts"), (n % 7).alias("user_id"),
+        F.when(n % 5 == 0, "error").otherwise("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+    ).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_a_batch_of_events_is_many_files(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(catalog, "new_dir", lambda spark, name: made.setdefault(name, new_dir(spark, name)))
+    monkeypatch.setattr(catalog, "FILE_ROWS", 50, raising=False)
+    stored = catalog._replicated(spark, _written_events(spark, 1000))
+    files = spark.read.parquet(f"{made['events']}/events.parquet").groupBy(F.input_file_name()).count()
+    assert files.agg(F.sum("count"), F.max("count") < 100).first()[:] == (1000, True)
+    in_batch = stored.feed(spark).groupBy("batch_id").agg(F.min("seq"), F.max("seq"), F.count("seq"))
+    assert sorted(r[:] for r in in_batch.collect()) == [(n, 250 * n, 250 * n + 249, 250) for n in range(4)]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schema as S
 from tidemark.functions.times import utc
@@ -948,29 +949,32 @@ def search_replicated(spark, folder):
 # --- streams --------------------------------------------------------------------------------------
 
 
-FILES = 4
+PARTS = 4
+FILE_ROWS = 1 << 17  # rows of a file of events: what a task of a batch reads
 
 
-def _split_events(spark: SparkSession, folder: str) -> str:
-    """The events as files of their own in arrival order, so that a stream takes several batches."""
+def _stream_events(spark: SparkSession, folder: str, *starts: Callable[[DataFrame], StreamingQuery]) -> None:
+    """The events streamed in arrival order, in several batches, to each of the queries that are started.
+
+    A part of the events is written as files of ``FILE_ROWS`` rows and taken as one batch; then the queries go on
+    from their checkpoints with the next part. So files that tasks write side by side need no order among them.
+    """
     root = new_dir(spark, "events")
     events = read_table(spark, folder, "events")
-    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
-    width = (last - first) // FILES + 1
-    for n in range(FILES):
+    first, last, rows = events.agg(F.min("event_id"), F.max("event_id"), F.count("event_id")).first()
+    width = (last - first) // PARTS + 1
+    files = rows // PARTS // FILE_ROWS + 1
+    for n in range(PARTS):
         part = events.where(F.col("event_id").between(first + n * width, first + (n + 1) * width - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/events.parquet")
-    return root
-
-
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_table(spark, _split_events(spark, folder), "events", files_per_batch=1)
+        part.repartitionByRange(files, "event_id").write.mode("append").parquet(f"{root}/events.parquet")
+        for running in [start(stream_table(spark, root, "events")) for start in starts]:
+            running.awaitTermination()
 
 
 def _replicated(spark: SparkSession, folder: str) -> ReplicationTables:
     """The changes of all events replicated as a stream of several batches into a new folder."""
     tables = ReplicationTables(new_dir(spark, "replica"))
-    replicate(B.unordered(_event_stream(spark, folder)), tables, S.INCREMENTAL).awaitTermination()
+    _stream_events(spark, folder, lambda events: replicate(B.unordered(events), tables, S.INCREMENTAL))
     return tables
 
 
@@ -993,10 +997,8 @@ def stream_compacted_state(spark, folder):
 def stream_both_modes(spark, folder):
     """Both modes at once on the same tables: every row twice, and the state of one."""
     tables = ReplicationTables(new_dir(spark, "replica"))
-    root = _split_events(spark, folder)
-    source = lambda: B.unordered(stream_table(spark, root, "events", files_per_batch=1))
-    for running in [replicate(source(), tables, mode) for mode in (S.BACKFILL, S.INCREMENTAL)]:
-        running.awaitTermination()
+    in_mode = lambda mode: lambda events: replicate(B.unordered(events), tables, mode)
+    _stream_events(spark, folder, in_mode(S.BACKFILL), in_mode(S.INCREMENTAL))
     return tables.state(spark).select(*S.RECORD_COLUMNS, "seq")
 
 
@@ -1161,5 +1163,5 @@ def stream_consume_stateful(spark, folder):
 def stream_throughput(spark, folder):
     """Hourly buckets of a stream, from several batches."""
     root = new_dir(spark, "throughput")
-    count_throughput(B.attempt_rows(_event_stream(spark, folder)), root, "1 hour").awaitTermination()
+    _stream_events(spark, folder, lambda events: count_throughput(B.attempt_rows(events), root, "1 hour"))
     return counted(spark, root)
