@@ -588,3 +588,19 @@ def test_a_batch_of_events_is_many_files(spark, monkeypatch):
     assert files.agg(F.sum("count"), F.max("count") < 100).first()[:] == (1000, True)
     in_batch = stored.feed(spark).groupBy("batch_id").agg(F.min("seq"), F.max("seq"), F.count("seq"))
     assert sorted(r[:] for r in in_batch.collect()) == [(n, 250 * n, 250 * n + 249, 250) for n in range(4)]
+
+
+def test_a_message_is_parsed_once(spark, tables):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def body(n):
+        made.add(1)
+        return "{broken" if n % 10 == 0 else f'{{"event_id":"{n % 7}:1","record_id":{n % 7},"version":1}}'
+
+    messages = spark.range(100).select(F.col("id").alias("seq"), body("id").alias("value"))
+    consumer._consume_batch(messages, 0, tables, None)
+    counts = consumer.consumed(spark, tables).agg(F.count("event_id"), F.sum("duplicate_hits")).first()
+    assert counts[:] == (7, 83) and made.value == 100
+    unreadable = tables.read(spark, "unreadable", "seq BIGINT, value STRING").collect()
+    assert sorted(r[:] for r in unreadable) == [(n, "{broken") for n in range(0, 100, 10)]

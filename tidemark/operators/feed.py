@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schema as S
@@ -24,14 +27,31 @@ def feed_events(rows: DataFrame, emitted_at: Column) -> DataFrame:
     )
 
 
+def parsed_messages(messages: DataFrame) -> DataFrame:
+    """Messages with the fields of their event beside them, ``_readable``, and the text of those that are not.
+
+    The text is parsed by a generator: what is asked of its fields is not put into the parsing, which
+    would then be done once for each field.
+    """
+    fields = [f"_{c.split()[0]}" for c in S.EVENT.split(", ")]
+    parsed = messages.select("*", F.inline(F.array(F.from_json("value", S.EVENT))).alias(*fields))
+    readable = reduce(and_, [F.col(f).isNotNull() for f in fields])
+    flagged = parsed.withColumn("_readable", readable)
+    return flagged.withColumn("value", F.when(~F.col("_readable"), F.col("value")))
+
+
+def split_messages(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed messages as events, and the messages that cannot be read as one."""
+    names = [c.split()[0] for c in S.EVENT.split(", ")]
+    given = [c for c in parsed.columns if c != "_readable" and c not in [f"_{n}" for n in names]]
+    fields = [F.col(f"_{n}").alias(n) for n in names]
+    events = parsed.where("_readable").select(*fields, *[c for c in given if c != "value"])
+    return events, parsed.where("NOT _readable").select(*given)
+
+
 def parse_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split messages into events and those that cannot be read as one, which are kept whole."""
-    parsed = messages.withColumn("_event", F.from_json("value", S.EVENT))
-    complete = [F.col(f"_event.{c.split()[0]}").isNotNull() for c in S.EVENT.split(", ")]
-    readable = F.coalesce(complete[0] & complete[1] & complete[2], F.lit(False))
-    rest = [c for c in messages.columns if c != "value"]
-    events = parsed.where(readable).select("_event.*", *rest)
-    return events, parsed.where(~readable).drop("_event")
+    return split_messages(parsed_messages(messages))
 
 
 def changes(rows: DataFrame, mode: Column) -> DataFrame:

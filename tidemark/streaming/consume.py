@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schema as S
 from tidemark.operators.consume import consumed_events, merge_consumed
-from tidemark.operators.feed import parse_messages
+from tidemark.operators.feed import parse_messages, parsed_messages, split_messages
 from tidemark.operators.upsert import current_state
 from tidemark.session import subfolders
 from tidemark.sources.tables import NEVER_TOO_OLD
@@ -35,15 +35,21 @@ def feed_stream(
     return feed.select("seq", "value") if as_messages else feed.select("seq", *EVENT_COLUMNS)
 
 
-def _events(source: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    return parse_messages(source) if "value" in source.columns else (source, None)
+def _count_batch(events: DataFrame, batch_id: int, tables: ReplicationTables) -> None:
+    tables.write_batch(consumed_events(events), "consumed", ALL, batch_id)
 
 
 def _consume_batch(rows: DataFrame, batch_id: int, tables: ReplicationTables, compact_every: int | None) -> None:
-    events, unreadable = _events(rows)
-    tables.write_batch(consumed_events(events), "consumed", ALL, batch_id)
-    if unreadable is not None:
-        unreadable.write.mode("overwrite").parquet(tables.path(f"unreadable/batch_id={batch_id}"))
+    if "value" in rows.columns:
+        parsed = parsed_messages(rows).persist()  # texts are parsed once for both outputs; only unreadable ones are kept
+        try:
+            events, unreadable = split_messages(parsed)
+            _count_batch(events, batch_id, tables)
+            unreadable.write.mode("overwrite").parquet(tables.path(f"unreadable/batch_id={batch_id}"))
+        finally:
+            parsed.unpersist()
+    else:
+        _count_batch(rows, batch_id, tables)
     if compact_every and (batch_id + 1) % compact_every == 0:
         spark = rows.sparkSession
         folded = consumed(spark, tables, batch_id)
@@ -94,7 +100,7 @@ def consume_stateful(source: DataFrame, tables: ReplicationTables, trigger: dict
     """
     conf, provider = source.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(provider)
-    events, _ = _events(source)
+    events = parse_messages(source)[0] if "value" in source.columns else source
 
     def write(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(tables.path(f"counts/batch_id={batch_id}"))
